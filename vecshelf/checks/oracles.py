@@ -35,13 +35,16 @@ def without_spans(text: str) -> str:
     )
 
 
+HAN = r"\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}\x{20000}-\x{3ffff}"
+
+
 def tokens(text: str) -> str:
     runs = (
-        f"string_split_regex(regexp_replace(lower({text}), '(\\p{{Han}}+)', ' \\1 ', 'g'), "
+        f"string_split_regex(regexp_replace(lower({text}), '([{HAN}]+)', ' \\1 ', 'g'), "
         "'[^\\p{L}\\p{N}]+')"
     )
     return (
-        f"flatten(list_transform({runs}, lambda w: CASE WHEN regexp_full_match(w, '\\p{{Han}}+') "
+        f"flatten(list_transform({runs}, lambda w: CASE WHEN regexp_full_match(w, '[{HAN}]+') "
         "THEN list_transform(range(1, length(w)), lambda i: substr(w, i, 2)) "
         "WHEN w = '' THEN [] ELSE [w] END))"
     )

@@ -26,6 +26,7 @@ from vecshelf.operators.embed import (
 from vecshelf.operators.lists import neighbour_lists
 from vecshelf.plans.baseline import baseline_lists
 from vecshelf.plans.deep import deep_lists
+from vecshelf.session import durable, spread
 from vecshelf.sinks import records as R
 from vecshelf.sources.catalogue import named, read_catalogue
 from vecshelf.sources.labelled import FIELDS_TSV, parse_labelled
@@ -75,12 +76,14 @@ def dressed(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("　【福利秒杀】【"), F.col("source"), F.lit("】["), F.col("lang"),
         F.lit("](新品)[x["), F.col("lang"), F.lit("]] 苹果手机那些 "), F.col("text"), F.lit(" 源本\t "),
     )
-    return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), name.alias("name"))
+    docs = spread(table(spark, sf, "documents"))
+    return docs.select(F.col("doc_id").alias("id"), name.alias("name"))
 
 
 def document_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
-    return clean.tokenize(docs, "text").select("id", "tokens")
+    """The documents' tokens, written once: the queries below read them several times."""
+    docs = spread(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"))
+    return durable(clean.tokenize(docs, "text").select("id", "tokens"))
 
 
 def word_vectors(tokens: DataFrame, dim: int, column: str = "tokens") -> DataFrame:
@@ -467,7 +470,7 @@ def knn_names(spark, sf):
     """Names with many equal vectors, so that ties decide."""
     names = read_catalogue(table(spark, sf, "part"), "p_partkey", "p_name", None)
     rows = embed(names, "id", "name", lambda: HashingEncoder(ENCODER_DIM), ENCODER_DIM)
-    found = neighbours.knn(rows)
+    found = neighbours.knn(durable(rows.select("id", "embedding")))
     return found.withColumn("d2", r6("d2"))
 
 

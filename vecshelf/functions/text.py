@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from vecshelf.constants import BRACKET_SPAN, MARKERS, WHITESPACE
 
-# A letter or digit that is not a Chinese character.
-_WORD = r"[\p{L}\p{N}&&[^\p{IsHan}]]"
-# At each position: two Chinese characters, or a whole word if one starts here.
-_SEGMENT = rf"(?=(\p{{IsHan}}{{2}}|(?<!{_WORD}){_WORD}+))"
+# Chinese characters: extension A, the main block, compatibility, and the supplementary planes.
+HAN = r"\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}\x{20000}-\x{3ffff}"
+_FIRST_HAN = "㐀"
+# A run of letters and digits that are not Chinese (the plain ones named first, which is faster),
+# or a run of Chinese characters.
+_RUN = rf"[a-z0-9[\p{{L}}\p{{N}}&&[^{HAN}]]]++|[{HAN}]++"
 
 
 def remove_markers(text: Column, markers: Sequence[str] = MARKERS) -> Column:
@@ -30,16 +32,33 @@ def remove_bracket_spans(text: Column) -> Column:
     """Find all bracket spans, then remove each found span literally, one after the other.
 
     One removal may break a later span apart, which then stays: `[a](x)[b[a]]` gives `(x)[b]`.
+    `text` is used several times: pass a column, not an expression.
     """
     spans = F.regexp_extract_all(text, F.lit(BRACKET_SPAN), F.lit(0))
     removed = F.aggregate(spans, text, lambda acc, span: F.replace(acc, span, F.lit("")))
     return F.when(F.contains(text, F.lit("[")), removed).otherwise(text)
 
 
-def segment(text: Column, lower: bool = True) -> Column:
-    """Split into words; runs of Chinese characters become overlapping two-character tokens."""
-    source = F.lower(text) if lower else text
-    return F.regexp_extract_all(source, F.lit(_SEGMENT), F.lit(1))
+def runs(text: Column, lower: bool = True) -> Column:
+    """Runs of letters and digits; Chinese runs are kept apart from others."""
+    return F.regexp_extract_all(F.lower(text) if lower else text, F.lit(_RUN), F.lit(0))
+
+
+def split_chinese(words: Column) -> Column:
+    """Replace each Chinese run by its overlapping two-character pieces, in place.
+
+    A single character has none. `words` is used several times: pass a column, not an expression.
+    """
+
+    def pieces(word: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.length(word) - 1)
+        cut = F.transform(starts, lambda i: F.substring(word, i, F.lit(2)))
+        chinese = F.regexp_like(word, F.lit(rf"\A[{HAN}]"))
+        return F.when(~chinese, F.array(word)).when(F.length(word) > 1, cut).otherwise(F.array())
+
+    # Most text has no character from the first Chinese one on; a byte comparison tells.
+    maybe = F.exists(words, lambda w: w >= _FIRST_HAN)
+    return F.when(maybe, F.flatten(F.transform(words, pieces))).otherwise(words)
 
 
 def keep_tokens(tokens: Column, min_len: int = 2, stopwords: Iterable[str] = ()) -> Column:

@@ -57,9 +57,14 @@ def tokenize(
     lower: bool = True,
     out: str = "tokens",
 ) -> DataFrame:
-    """Add a token array. A user segmenter runs on Arrow batches; a row it fails on gets NULL."""
+    """Add a token array: words, and overlapping two-character pieces of Chinese runs.
+
+    A user segmenter runs on Arrow batches instead; a row it fails on gets NULL.
+    """
     if segmenter is None:
-        return df.withColumn(out, X.segment(F.col(col), lower))
+        return df.withColumn(out, X.runs(F.col(col), lower)).withColumn(
+            out, X.split_chinese(F.col(out))
+        )
 
     def one(text: str | None) -> list[str] | None:
         try:
@@ -115,7 +120,8 @@ def clean_baseline(
     `stopwords` is a list, or a `(stopword)` table (then `id` names the row key).
     Rows whose segmenter failed keep NULL in `tokens` and `clean`.
     """
-    bare = df.withColumn(out, X.remove_bracket_spans(X.remove_markers(F.col(name))))
+    bare = df.withColumn(out, X.remove_markers(F.col(name)))
+    bare = bare.withColumn(out, X.remove_bracket_spans(F.col(out)))
     cut = tokenize(bare, out, segmenter, lower)
     if isinstance(stopwords, DataFrame):
         kept = cut.withColumn("tokens", X.keep_tokens(F.col("tokens"), 2))

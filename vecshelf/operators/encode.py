@@ -112,18 +112,14 @@ def _lookup(table):
 def _encode_by_join(
     cut: DataFrame, id: str, names: Sequence[str], words: DataFrame, keep: Sequence[str]
 ) -> DataFrame:
-    sides = F.array(
-        *[
-            F.transform(
-                F.col(n),
-                lambda t, i, side=side: F.struct(
-                    F.lit(side).alias("side"), i.alias("place"), t.alias("token")
-                ),
-            )
-            for side, n in enumerate(names)
-        ]
-    )
-    tokens = cut.select(id, F.explode(F.flatten(sides)).alias("_w")).select(id, "_w.*")
+    def placed(side: int, name: str) -> Column:
+        word = lambda t, i: F.struct(
+            F.lit(side).alias("side"), i.alias("place"), t.alias("token")
+        )
+        return F.transform(F.col(name), word)
+
+    sides = F.flatten(F.array(*[placed(side, n) for side, n in enumerate(names)]))
+    tokens = cut.select(id, F.explode(sides).alias("_w")).select(id, "_w.*")
     coded = lookup_join(
         tokens, words.withColumnRenamed("id", "_code"), "token", spread=[id, "place"], how="left"
     ).groupBy(id).agg(

@@ -52,3 +52,16 @@ def durable(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/vecshelf-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Share out the rows of a small scan over all cores before heavy work on each row.
+
+    A scan with as many splits as cores, as any large one has, is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if _splits(scan) < cores else scan
+
+
+def _splits(scan: DataFrame) -> int:
+    return scan.rdd.getNumPartitions()
