@@ -40,7 +40,7 @@ def test_markers_then_strip(spark):
     assert out == list(given_.values())
 
 
-BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0        　"
+BLANKS = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def test_strip_equals_python(spark):

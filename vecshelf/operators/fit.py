@@ -56,10 +56,9 @@ def partial_sums(
     executors with map-side combining. `n` is the number of all rows, on every class. `_draw` feeds dropout.
     """
     n_classes, dim = weights.shape
-    shared = df.sparkSession.sparkContext.broadcast(H.unit_classes(weights))
+    unit = H.unit_classes(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit = shared.value
         sums = np.zeros((n_classes, dim))
         loss, hits, n = 0.0, 0, 0
         for batch in batches:

@@ -42,6 +42,7 @@ BLOCK_ROWS = (512, 16_384)
 MAX_PIVOTS = 1_024
 PIVOT_VALUES = 2 * 1024 * 1024  # numbers in all pivots, which the driver holds
 SLICE_VALUES = 4 * 1024 * 1024  # distances or differences held at a time
+MANY_CANDIDATES = 16  # per wanted neighbour; beyond, candidates are chosen in double precision
 
 
 def knn(
@@ -324,33 +325,60 @@ def nearest_in_block(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per query the `want` nearest rows of `x` by (rounded distance, row): sizes, d2, rows.
 
-    Distances from the matrix product choose the candidates, with room for its rounding error;
-    those are measured again by direct difference, so that equal vectors tie exactly.
+    Matrix products choose the candidates, with room for their rounding error; those are measured
+    again by direct difference, so that equal vectors tie exactly.
     """
-    xx = np.einsum("ij,ij->i", x, x)
-    qq = np.einsum("ij,ij->i", q, q)
+    if len(q) == 0:
+        return np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+    centre = x.mean(axis=0)  # moving all points changes no distance and keeps the errors small
+    single = _Rough(q - centre, x - centre, np.float32)
+    double = None
     sizes, dists, places = [], [], []
     step = max(SLICE_VALUES // max(len(x), 1), 1)
     for start in range(0, len(q), step):
-        part = q[start : start + step]
-        rough = qq[start : start + step, None] + xx[None, :] - 2.0 * (part @ x.T)
-        if len(x) > want:
-            kth = np.partition(rough, want - 1, axis=1)[:, want - 1]
-            room = 4 * 10.0**-TIE_DIGITS + 1e-11 * (qq[start : start + step] + xx.max())
-            row, col = np.nonzero(rough <= (kth + room)[:, None])
+        part = slice(start, start + step)
+        n = len(q[part])
+        if len(x) <= want:
+            row, col = (a.reshape(-1) for a in np.indices((n, len(x))))
         else:
-            row, col = (a.reshape(-1) for a in np.indices(rough.shape))
-        d2 = _measured(part, x, row, col)
+            row, col = single.candidates(part, want)
+            if len(row) > MANY_CANDIDATES * want * n:
+                double = double or _Rough(q - centre, x - centre, np.float64)
+                row, col = double.candidates(part, want)
+        d2 = _measured(q[part], x, row, col)
         order = np.lexsort((col, np.round(d2, TIE_DIGITS), row))
         row, col, d2 = row[order], col[order], d2[order]
-        first = np.searchsorted(row, np.arange(len(part)))
+        first = np.searchsorted(row, np.arange(n))
         keep = np.arange(len(row)) - first[row] < want
-        sizes.append(np.bincount(row[keep], minlength=len(part)))
+        sizes.append(np.bincount(row[keep], minlength=n))
         dists.append(d2[keep])
         places.append(col[keep])
     return np.concatenate(sizes), np.concatenate(dists), np.concatenate(places)
 
 
+class _Rough:
+    """Squared distances by matrix product in one number type, with a bound on their error."""
+
+    def __init__(self, q: np.ndarray, x: np.ndarray, kind: type):
+        self.q, self.x = q.astype(kind), x.astype(kind)
+        self.qq = np.einsum("ij,ij->i", q, q)
+        self.xx = np.einsum("ij,ij->i", x, x)
+        self.kind = kind
+        # A sum of `dim` products errs by at most dim * eps times the product of the lengths, and
+        # that product is at most half the sum of their squares.
+        self.error = 2.0 * (x.shape[1] + 8) * float(np.finfo(kind).eps)
+
+    def candidates(self, part: slice, want: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, item) that hold every query's `want` nearest and all that tie with them."""
+        rough = self.q[part] @ self.x.T
+        rough *= -2.0
+        rough += self.xx.astype(self.kind)[None, :]  # the query's own square shifts a row evenly
+        kth = np.partition(rough, want - 1, axis=1)[:, want - 1].astype(np.float64)
+        room = 4 * 10.0**-TIE_DIGITS + 2.0 * self.error * (self.qq[part] + self.xx.max())
+        limit = np.nextafter((kth + room).astype(self.kind), self.kind(np.inf))
+        return np.nonzero(rough <= limit[:, None])
+
+
 def _measured(q: np.ndarray, x: np.ndarray, row: np.ndarray, col: np.ndarray) -> np.ndarray:
     out = np.empty(len(row))
     step = max(SLICE_VALUES // max(x.shape[1], 1), 1)
