@@ -37,11 +37,14 @@ from vecshelf.operators.lookup import lookup_join
 from vecshelf.session import durable
 
 TIE_DIGITS = 9
-BLOCK_VALUES = 4 * 1024 * 1024  # numbers per block
+BLOCK_VALUES = 8 * 1024 * 1024  # numbers per block; a task holds two blocks and a few copies
 BLOCK_ROWS = (512, 16_384)
+SPLIT_ROWS = 2_048  # blocks do not get smaller than this just to use more cores
+CHUNK_ROWS = 512  # nor chunks of queries of a single block
 MAX_PIVOTS = 1_024
 PIVOT_VALUES = 2 * 1024 * 1024  # numbers in all pivots, which the driver holds
-SLICE_VALUES = 4 * 1024 * 1024  # distances or differences held at a time
+SLICE_VALUES = 1024 * 1024  # distances or differences held at a time
+STRANDS = 16  # a row's minimum over each strand bounds its k-th distance cheaply
 MANY_CANDIDATES = 16  # per wanted neighbour; beyond, candidates are chosen in double precision
 
 
@@ -93,12 +96,16 @@ def knn_lists(
     if n == 0 or (not alone and n_queries == 0):
         empty = F.array().cast(T.ArrayType(_entry(x)))
         return q.select("id", empty.alias("neighbours"))
+    cores = queries.sparkSession.sparkContext.defaultParallelism
     rows = block_rows or _block_rows(dim)
     same = W.partitionBy("k1", "k2").orderBy("id")
     reps = x.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= want)
     if n <= rows:
-        found = _search_one_block(reps, None if alone else q, want, n if alone else n_queries, rows)
+        asked = n if alone else n_queries
+        chunk = min(rows, max(CHUNK_ROWS, math.ceil(asked / cores)))
+        found = _search_one_block(reps, None if alone else q, want, math.ceil(asked / chunk))
     else:
+        rows = block_rows or min(rows, max(SPLIT_ROWS, math.ceil(n / cores)))
         found = _search_cells(reps, None if alone else q, want, n, dim, rows)
     mine = lookup_join(q.select("id", "k1", "k2"), found, ["k1", "k2"], spread=["id"])
     if drop == "self":
@@ -144,13 +151,10 @@ def _unique(q: DataFrame) -> DataFrame:
     return q.select("k1", "k2", "vec").dropDuplicates(["k1", "k2"])
 
 
-def _search_one_block(
-    reps: DataFrame, q: DataFrame | None, want: int, n_queries: int, rows: int
-) -> DataFrame:
+def _search_one_block(reps: DataFrame, q: DataFrame | None, want: int, chunks: int) -> DataFrame:
     """All items fit in one block; chunks of queries search it side by side."""
     unique = reps.where("copy = 1") if q is None else _unique(q)
     zero = F.lit(0)
-    chunks = max(1, math.ceil(n_queries / rows))
     asked = unique.select(
         "k1", "k2", "vec", zero.alias("cell"), zero.alias("sub"),
         F.pmod("k1", F.lit(chunks)).cast("int").alias("chunk"),
@@ -159,7 +163,7 @@ def _search_one_block(
         "id", "vec", zero.alias("cell"), zero.alias("sub"),
         F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"),
     )
-    return _search(asked, stock, want).select("k1", "k2", "list")
+    return _search(asked, stock, want, chunks).select("k1", "k2", "list")
 
 
 def _search_cells(
@@ -205,7 +209,8 @@ def _search_cells(
     # First pass: one block each, so a cell's queries are shared out among its blocks.
     chunks = {c: max(1, math.ceil(v / subs[c] / rows)) for c, v in visits.items()}
     first = durable(_search(
-        _with_chunk(_with_sub(asked, subs), chunks), _copied(stock, chunks), want, keep_vec=True
+        _with_chunk(_with_sub(asked, subs), chunks), _copied(stock, chunks), want,
+        sum(subs[c] * n for c, n in chunks.items()), keep_vec=True,
     ))
     # Second pass: the other blocks of every cell that may hold something closer.
     reach = cells.within(near, far, want)
@@ -222,7 +227,10 @@ def _search_cells(
         .withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("_subs") - 1)))
         .where((F.col("cell") != F.col("home")) | (F.col("sub") != F.col("home_sub")))
     )
-    second = _search(_with_chunk(others, again), _copied(stock, again), want)
+    second = _search(
+        _with_chunk(others, again), _copied(stock, again), want,
+        sum(subs[c] * n for c, n in again.items()),
+    )
     lists = first.select("k1", "k2", "list").unionByName(second.select("k1", "k2", "list"))
     return _merge(lists, want)
 
@@ -270,8 +278,14 @@ def _copied(stock: DataFrame, chunks: dict[int, int]) -> DataFrame:
     )
 
 
-def _search(asked: DataFrame, stock: DataFrame, want: int, keep_vec: bool = False) -> DataFrame:
-    """Best `want` items of the block for each query of the chunk, as one list per query."""
+def _search(
+    asked: DataFrame, stock: DataFrame, want: int, groups: int, keep_vec: bool = False
+) -> DataFrame:
+    """Best `want` items of the block for each query of the chunk, as one list per query.
+
+    The number of tasks is set here, since groups small in bytes are still much work and would
+    otherwise be merged by their size.
+    """
     entry = _entry(stock)
     fields = [
         T.StructField("k1", T.LongType()),
@@ -304,9 +318,16 @@ def _search(asked: DataFrame, stock: DataFrame, want: int, keep_vec: bool = Fals
         F.col("id").alias("item"), F.col("vec").alias("item_vec"),
         *[F.col(c).alias(f"item_{c}") for c in key],
     )
+    spark = asked.sparkSession
+    tasks = max(
+        4 * spark.sparkContext.defaultParallelism,
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+    )
+    tasks = max(1, min(groups, tasks))
+    item_key = [f"item_{c}" for c in key]
     return (
-        asked.groupBy(*key)
-        .cogroup(named.groupBy(*[f"item_{c}" for c in key]))
+        asked.repartition(tasks, *key).groupBy(*key)
+        .cogroup(named.repartition(tasks, *item_key).groupBy(*item_key))
         .applyInArrow(run, T.StructType(fields))
     )
 
@@ -360,9 +381,11 @@ class _Rough:
     """Squared distances by matrix product in one number type, with a bound on their error."""
 
     def __init__(self, q: np.ndarray, x: np.ndarray, kind: type):
-        self.q, self.x = q.astype(kind), x.astype(kind)
         self.qq = np.einsum("ij,ij->i", q, q)
         self.xx = np.einsum("ij,ij->i", x, x)
+        # |x|^2 - 2 q.x as one product; the query's own square would shift its row evenly.
+        self.q = np.hstack([-2.0 * q, np.ones((len(q), 1))]).astype(kind)
+        self.x = np.hstack([x, self.xx[:, None]]).astype(kind).T
         self.kind = kind
         # A sum of `dim` products errs by at most dim * eps times the product of the lengths, and
         # that product is at most half the sum of their squares.
@@ -370,13 +393,28 @@ class _Rough:
 
     def candidates(self, part: slice, want: int) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query, item) that hold every query's `want` nearest and all that tie with them."""
-        rough = self.q[part] @ self.x.T
-        rough *= -2.0
-        rough += self.xx.astype(self.kind)[None, :]  # the query's own square shifts a row evenly
-        kth = np.partition(rough, want - 1, axis=1)[:, want - 1].astype(np.float64)
+        rough = self.q[part] @ self.x
+        rows, items = rough.shape
         room = 4 * 10.0**-TIE_DIGITS + 2.0 * self.error * (self.qq[part] + self.xx.max())
-        limit = np.nextafter((kth + room).astype(self.kind), self.kind(np.inf))
-        return np.nonzero(rough <= limit[:, None])
+        width = items // STRANDS
+        if width < 2 * want:
+            return np.nonzero(rough <= self._limits(rough, want, room))
+        # Minima of different items: the want-th smallest is no less than that of all items, and
+        # only strands with a minimum within the limit need a closer look.
+        strands = rough[:, : width * STRANDS].reshape(rows, STRANDS, width)
+        least = strands.min(axis=1)
+        limits = self._limits(least, want, room)
+        row, place = np.nonzero(least <= limits)
+        hit, strand = np.nonzero(strands[row, :, place] <= limits[row])
+        rest_row, rest = np.nonzero(rough[:, width * STRANDS :] <= limits)
+        return (
+            np.concatenate([row[hit], rest_row]),
+            np.concatenate([strand * width + place[hit], rest + width * STRANDS]),
+        )
+
+    def _limits(self, values: np.ndarray, want: int, room: np.ndarray) -> np.ndarray:
+        kth = np.partition(values, want - 1, axis=1)[:, want - 1].astype(np.float64)
+        return np.nextafter((kth + room).astype(self.kind), self.kind(np.inf))[:, None]
 
 
 def _measured(q: np.ndarray, x: np.ndarray, row: np.ndarray, col: np.ndarray) -> np.ndarray:
