@@ -39,6 +39,8 @@ def test_csv_rejects(spark, tmp_path):
     assert sorted(tuple(r) for r in rejects.collect()) == [("", "field_count"), ("a,b,2", "field_count")]
     with pytest.raises(PySparkException, match="expected 2 fields"):
         read_labelled(spark, path).collect()
+    with pytest.raises(PySparkException, match="expected 2 fields"):
+        read_labelled(spark, path).count()
 
 
 def test_tsv(spark, tmp_path):

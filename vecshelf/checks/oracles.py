@@ -100,6 +100,9 @@ def ids_text(items: str) -> str:
     return f"array_to_string({items}, ',')"
 
 
+COMMON = f"""common AS (
+  SELECT token FROM (SELECT DISTINCT id, unnest(toks) AS token FROM doc_tokens)
+  GROUP BY token HAVING count(*) > {COMMON_DOCUMENTS})"""
 LINES = """lines AS (
   SELECT unnest(string_split(text, chr(10))) AS line, lang, ' ' || quality AS label
   FROM documents JOIN labels USING (doc_id))"""
@@ -271,10 +274,15 @@ def oracles() -> dict[str, str]:
 SELECT id, array_to_string(list_filter({tokens('name')},
   lambda t: length(t) > 1 AND t NOT IN ({in_list(STOPWORDS)})), ' ') AS clean FROM bare""",
         "bracket_spans": f"WITH {DRESSED} SELECT id, {without_spans('name')} AS clean FROM dressed",
-        "stopword_tokens": f"""WITH {DOC_TOKENS},
-common AS (
-  SELECT token FROM (SELECT DISTINCT id, unnest(toks) AS token FROM doc_tokens)
-  GROUP BY token HAVING count(*) > {COMMON_DOCUMENTS}),
+        "labelled_files": f"{CSV} SELECT value AS line FROM cut",
+        "stopword_file": f"WITH {DOC_TOKENS}, {COMMON} SELECT token AS stopword FROM common",
+        "word_vector_file": f"WITH {DOC_TOKENS}, {words('doc_tokens', WORD_DIM_NAMES)} SELECT token AS id, j AS place, {r6('v::FLOAT::DOUBLE')} AS value FROM words",
+        "segmenter_tokens": f"""SELECT doc_id AS id, array_to_string(list_filter(string_split(text, ' '),
+  lambda t: length(t) > 1 AND t NOT IN ({in_list(STOPWORDS)})), ' ') AS clean FROM documents WHERE contains(text, ',')""",
+        "segmenter_rejects": "SELECT doc_id AS id, text, 'segmenter_failed' AS reason FROM documents WHERE NOT contains(text, ',')",
+        "mapped_batches": "SELECT doc_id AS id, length(text) AS n FROM documents",
+        "saved_head": f"WITH {E}, {CENTROIDS}, k AS (SELECT class AS id, w FROM c) {long_list('k', 'w')}",
+        "stopword_tokens": f"""WITH {DOC_TOKENS}, {COMMON},
 kept AS (
   SELECT id, string_agg(token, ' ' ORDER BY place) AS clean
   FROM (SELECT id, unnest(toks) AS token, generate_subscripts(toks, 1) AS place FROM doc_tokens)

@@ -7,6 +7,7 @@ the whole text, as the tables hold none.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -24,12 +25,14 @@ from vecshelf.operators.embed import (
     sentence_vectors,
 )
 from vecshelf.operators.lists import neighbour_lists
-from vecshelf.plans.baseline import baseline_lists
+from vecshelf.plans.baseline import baseline_lists, baseline_tokens
 from vecshelf.plans.deep import deep_lists
-from vecshelf.session import durable, spread
+from vecshelf.session import durable, shared_folder, spread
 from vecshelf.sinks import records as R
+from vecshelf.sinks.heads import load_head, save_head
 from vecshelf.sources.catalogue import named, read_catalogue
-from vecshelf.sources.labelled import FIELDS_TSV, parse_labelled
+from vecshelf.sources.labelled import FIELDS_TSV, parse_labelled, read_labelled
+from vecshelf.sources.lists import read_stopwords, read_word_vectors
 
 STOPWORDS = ["the", "and", "des", "les", "und", "die", "der", "que", "los", "est", "那些"]
 COMMON_DOCUMENTS = 100  # a token in more documents than this is a stopword of the derived table
@@ -55,9 +58,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def scratch(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/check-{uuid.uuid4().hex}"
+
+
 def r6(value: Column | str) -> Column:
     """Six digits, and no negative zero."""
-    return F.round(value, 6) + F.lit(0.0)
+    column = F.col(value) if isinstance(value, str) else value
+    return F.round(column.cast("double"), 6) + F.lit(0.0)
 
 
 def long_form(df: DataFrame, id: str, vector: str) -> DataFrame:
@@ -163,6 +171,34 @@ def labelled_rejects(spark, sf):
     return rejects
 
 
+@query
+def labelled_files(spark, sf):
+    """Lines written to several files, each with a header line, and read back."""
+    path = scratch(spark)
+    lines = labelled_lines(spark, sf, ",", False).repartition(5)
+    lines.write.option("header", True).option("quote", "").option("sep", "\x01").csv(path)
+    good, rejects = read_labelled(spark, path, mode="reject")
+    return good.select(F.concat_ws(",", "query", "label").alias("line")).unionByName(
+        rejects.select(F.col("text").alias("line"))
+    )
+
+
+@query
+def stopword_file(spark, sf):
+    path = scratch(spark)
+    _common(document_tokens(spark, sf)).coalesce(1).write.text(path)
+    return read_stopwords(spark, path)
+
+
+@query
+def word_vector_file(spark, sf):
+    path = scratch(spark)
+    words = word_vectors(document_tokens(spark, sf), WORD_DIM_NAMES)
+    values = F.array_join(F.transform("vec", lambda v: v.cast("string")), " ")
+    words.select(F.concat_ws(" ", "token", values)).write.text(path)
+    return long_form(read_word_vectors(spark, path), "token", "vec")
+
+
 # Text
 
 
@@ -186,13 +222,38 @@ def bracket_spans(spark, sf):
 def stopword_tokens(spark, sf):
     """Stopwords from a table: the tokens found in many documents."""
     tokens = document_tokens(spark, sf)
-    common = (
+    kept = clean.drop_stopwords(tokens, "id", "tokens", _common(tokens))
+    return kept.select("id", X.join_tokens(F.col("tokens")).alias("clean"))
+
+
+def _common(tokens: DataFrame) -> DataFrame:
+    return (
         tokens.select("id", F.explode(F.array_distinct("tokens")).alias("stopword"))
         .groupBy("stopword").count()
         .where(F.col("count") > COMMON_DOCUMENTS)
+        .select("stopword")
     )
-    kept = clean.drop_stopwords(tokens, "id", "tokens", common.select("stopword"))
-    return kept.select("id", X.join_tokens(F.col("tokens")).alias("clean"))
+
+
+def _cut_at_blanks(text: str) -> list[str]:
+    """A user segmenter that fails on texts without a comma."""
+    if "," not in text:
+        raise ValueError("no comma")
+    return text.split(" ")
+
+
+@query
+def segmenter_tokens(spark, sf):
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("name"))
+    kept, _ = baseline_tokens(docs, STOPWORDS, _cut_at_blanks)
+    return kept.select("id", "clean")
+
+
+@query
+def segmenter_rejects(spark, sf):
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("name"))
+    _, rejects = baseline_tokens(docs, STOPWORDS, _cut_at_blanks)
+    return rejects
 
 
 # Encoding and batches
@@ -275,6 +336,18 @@ def _rows_text(col: str) -> Column:
     return F.array_join(F.transform(col, row), ";")
 
 
+@query
+def mapped_batches(spark, sf):
+    """A user function over batches of whole texts."""
+
+    def lengths(frames):
+        for frame in frames:
+            yield frame.assign(n=frame["text"].str.len())[["id", "n"]]
+
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    return batching.map_batches(docs, lengths, "id bigint, n bigint")
+
+
 # Vectors
 
 
@@ -338,6 +411,12 @@ def project_linear(spark, sf):
     return long_form(rows.withColumn("out", out), "id", "out")
 
 
+@query
+def dropout(spark, sf):
+    dropped = V.dropout(F.col("embedding"), F.col("id"), 0.1, SEED, 1)
+    return long_form(vectors(spark, sf).withColumn("out", dropped), "id", "out")
+
+
 # Margin head
 
 
@@ -427,6 +506,15 @@ def fit_head(spark, sf):
     return model.history_table(spark)
 
 
+@query
+def saved_head(spark, sf):
+    """Centroids saved as a head and read back."""
+    path = scratch(spark)
+    save_head(spark, fit.HeadState(head.class_matrix(_centroids(spark, sf)), step=100), path)
+    state = load_head(spark, path)
+    return long_form(fit.ArcHeadModel(state).weight_table(spark).withColumnRenamed("class", "id"), "id", "w")
+
+
 # Search, lists, records
 
 

@@ -158,6 +158,7 @@ def _search_one_block(reps: DataFrame, q: DataFrame | None, want: int, chunks: i
     asked = unique.select(
         "k1", "k2", "vec", zero.alias("cell"), zero.alias("sub"),
         F.pmod("k1", F.lit(chunks)).cast("int").alias("chunk"),
+        F.lit(None).cast("double").alias("bound"),
     )
     stock = reps.select(
         "id", "vec", zero.alias("cell"), zero.alias("sub"),
@@ -217,6 +218,7 @@ def _search_cells(
     routed = durable(
         first.select(
             "k1", "k2", "vec", F.col("cell").alias("home"), F.col("sub").alias("home_sub"),
+            F.when(F.size("list") >= want, F.element_at("list.d2", -1)).alias("bound"),
             F.explode(reach(F.col("vec"), F.col("cell"), F.col("list.d2"))).alias("cell"),
         )
     )
@@ -266,8 +268,9 @@ def _with_sub(df: DataFrame, subs: dict[int, int]) -> DataFrame:
 
 def _with_chunk(df: DataFrame, chunks: dict[int, int]) -> DataFrame:
     chunk = F.pmod("k1", F.col("_chunks")).cast("int")
+    bound = F.col("bound") if "bound" in df.columns else F.lit(None).cast("double").alias("bound")
     return _mapped(df, "cell", chunks, "_chunks").withColumn("chunk", chunk).select(
-        "k1", "k2", "vec", "cell", "sub", "chunk"
+        "k1", "k2", "vec", "cell", "sub", "chunk", bound
     )
 
 
@@ -283,6 +286,8 @@ def _search(
 ) -> DataFrame:
     """Best `want` items of the block for each query of the chunk, as one list per query.
 
+    Items beyond a query's `bound`, if it has one, are left out.
+
     The number of tasks is set here, since groups small in bytes are still much work and would
     otherwise be merged by their size.
     """
@@ -310,7 +315,11 @@ def _search(
         sizes, d2, place = nearest_in_block(
             to_matrix(left.column("vec")), to_matrix(right.column("item_vec")), want
         )
-        return left.select(cols).append_column("list", _as_lists(ids, sizes, d2, place))
+        bound = pc.fill_null(left.column("bound"), np.inf).to_numpy()
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        use = np.round(d2, TIE_DIGITS) <= np.round(bound, TIE_DIGITS)[row]
+        sizes = np.bincount(row[use], minlength=len(sizes))
+        return left.select(cols).append_column("list", _as_lists(ids, sizes, d2[use], place[use]))
 
     # Both sides may stem from one frame; new names keep their columns apart.
     key = ["cell", "sub", "chunk"]

@@ -60,10 +60,9 @@ def parse_labelled(
     named = [F.get("_f", F.lit(i)).alias(name) for i, name in enumerate(fields) if name]
     if mode == "fail":
         message = F.concat(F.lit(f"expected {len(fields)} fields: "), F.col("_line"))
-        checked = F.when(right, F.col("_f")).otherwise(
-            F.raise_error(message).cast("array<string>")
-        )
-        return split.select(checked.alias("_f")).select(*named)
+        # A filter, so that the check runs whichever columns are read.
+        checked = F.when(right, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+        return split.where(checked).select(*named)
     if mode != "reject":
         raise ValueError(mode)
     good, rejects = split_rejects(
