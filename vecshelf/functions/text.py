@@ -13,6 +13,7 @@ from vecshelf.constants import BRACKET_SPAN, MARKERS, WHITESPACE
 # Chinese characters: extension A, the main block, compatibility, and the supplementary planes.
 HAN = r"\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}\x{20000}-\x{3ffff}"
 _FIRST_HAN = "㐀"
+_PAIRS = rf"(?=([{HAN}]{{2}}))"
 # A run of letters and digits that are not Chinese (the plain ones named first, which is faster),
 # or a run of Chinese characters.
 _RUN = rf"[a-z0-9[\p{{L}}\p{{N}}&&[^{HAN}]]]++|[{HAN}]++"
@@ -51,10 +52,8 @@ def split_chinese(words: Column) -> Column:
     """
 
     def pieces(word: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.length(word) - 1)
-        cut = F.transform(starts, lambda i: F.substring(word, i, F.lit(2)))
-        chinese = F.regexp_like(word, F.lit(rf"\A[{HAN}]"))
-        return F.when(~chinese, F.array(word)).when(F.length(word) > 1, cut).otherwise(F.array())
+        pairs = F.regexp_extract_all(word, F.lit(_PAIRS), F.lit(1))
+        return F.when(F.regexp_like(word, F.lit(rf"\A[{HAN}]")), pairs).otherwise(F.array(word))
 
     # Most text has no character from the first Chinese one on; a byte comparison tells.
     maybe = F.exists(words, lambda w: w >= _FIRST_HAN)
