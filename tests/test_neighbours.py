@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from vecshelf.operators import lookup, neighbours
@@ -144,6 +145,12 @@ def test_bad_vectors(spark):
         neighbours.knn(df.where("id = 1"), df.where("id = 2"))
     with pytest.raises(ValueError):
         neighbours.knn(df.where("id = 1"), drop="last")
+    holes = spark.createDataFrame([(1, [1.0, None]), (2, [1.0, 2.0])], SCHEMA)
+    with pytest.raises(PySparkException, match="null value"):
+        neighbours.knn(holes).collect()
+    endless = spark.createDataFrame([(1, [1.0, float("nan")]), (2, [1.0, 2.0])], SCHEMA)
+    with pytest.raises(PySparkException, match="finite"):
+        neighbours.knn(endless).collect()
 
 
 def test_lists_as_text(spark):

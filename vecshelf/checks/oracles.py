@@ -276,7 +276,7 @@ SELECT id, array_to_string(list_filter({tokens('name')},
         "bracket_spans": f"WITH {DRESSED} SELECT id, {without_spans('name')} AS clean FROM dressed",
         "labelled_files": f"{CSV} SELECT value AS line FROM cut",
         "stopword_file": f"WITH {DOC_TOKENS}, {COMMON} SELECT token AS stopword FROM common",
-        "word_vector_file": f"WITH {DOC_TOKENS}, {words('doc_tokens', WORD_DIM_NAMES)} SELECT token AS id, j AS place, {r6('v::FLOAT::DOUBLE')} AS value FROM words",
+        "word_vector_file": f"WITH {DOC_TOKENS}, {words('doc_tokens', WORD_DIM_NAMES)} SELECT token AS id, j AS place, {r6('round(v, 4)')} AS value FROM words",
         "segmenter_tokens": f"""SELECT doc_id AS id, array_to_string(list_filter(string_split(text, ' '),
   lambda t: length(t) > 1 AND t NOT IN ({in_list(STOPWORDS)})), ' ') AS clean FROM documents WHERE contains(text, ',')""",
         "segmenter_rejects": "SELECT doc_id AS id, text, 'segmenter_failed' AS reason FROM documents WHERE NOT contains(text, ',')",

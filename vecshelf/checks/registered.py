@@ -194,7 +194,7 @@ def stopword_file(spark, sf):
 def word_vector_file(spark, sf):
     path = scratch(spark)
     words = word_vectors(document_tokens(spark, sf), WORD_DIM_NAMES)
-    values = F.array_join(F.transform("vec", lambda v: v.cast("string")), " ")
+    values = F.array_join(F.transform("vec", lambda v: F.round(v, 4).cast("string")), " ")
     words.select(F.concat_ws(" ", "token", values)).write.text(path)
     return long_form(read_word_vectors(spark, path), "token", "vec")
 
@@ -533,7 +533,7 @@ def knn_drop_first(spark, sf):
 @query
 def knn_blocks(spark, sf):
     """The same search through cells and blocks."""
-    found = neighbours.knn(vectors(spark, sf), block_rows=100)
+    found = neighbours.knn(vectors(spark, sf), block_rows=200)
     return found.withColumn("d2", r6("d2"))
 
 

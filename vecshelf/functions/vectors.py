@@ -26,7 +26,10 @@ def to_matrix(vectors: pa.Array) -> np.ndarray:
     sizes = pc.unique(pc.list_value_length(vectors))
     if len(sizes) != 1:
         raise ValueError(f"vectors of different length: {sizes.to_pylist()}")
-    values = vectors.flatten().to_numpy(zero_copy_only=False)
+    flat = vectors.flatten()
+    if flat.null_count:
+        raise ValueError("null value in a vector")
+    values = flat.to_numpy(zero_copy_only=False)
     return values.astype(np.float64, copy=False).reshape(rows, sizes[0].as_py())
 
 

@@ -18,6 +18,7 @@ from vecshelf.constants import BATCH_SIZE, MARGIN, MARGIN_SCALE, SEED
 from vecshelf.functions.text import hash_number
 from vecshelf.functions.vectors import DOUBLES, from_matrix, to_matrix, unit_rows
 from vecshelf.operators.batching import batches
+from vecshelf.session import durable
 
 MAX_CLASSES = 100_000
 MAX_WEIGHTS = 128 * 1024 * 1024
@@ -169,7 +170,8 @@ def evaluate(
         loss_of("_z", label, s).alias("scaled"),
         (top_class("_z") == F.col(label)).cast("double").alias("hit"),
     )
-    per_batch = batches(rows, id, batch_size).groupBy("batch_id").agg(
+    # Written first: ordering the rows reads them twice, and scoring is the costly part.
+    per_batch = batches(durable(rows), id, batch_size).groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.avg("loss").alias("mean_loss"),
         F.sum("loss").alias("loss"),

@@ -360,6 +360,8 @@ def nearest_in_block(
     """
     if len(q) == 0:
         return np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+    if not (np.isfinite(q).all() and np.isfinite(x).all()):
+        raise ValueError("vectors must be finite")
     centre = x.mean(axis=0)  # moving all points changes no distance and keeps the errors small
     single = _Rough(q - centre, x - centre, np.float32)
     double = None
