@@ -19,6 +19,7 @@ def spark():
             "spark.checkpoint.dir": f"{folder}/checkpoints",
             "spark.sql.warehouse.dir": f"{folder}/warehouse",
             "spark.driver.memory": "6g",
+            "spark.sql.shuffle.partitions": "4",
         },
     )
     yield session

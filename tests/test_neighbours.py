@@ -68,7 +68,7 @@ def test_queries_and_items_apart(spark, rows):
     assert lists(found) == brute(list(range(500, 570)), q, list(range(130)), x, 5, None)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.integers(0, 10**6), st.integers(3, 40), st.integers(1, 9), st.booleans())
 def test_blocks_do_not_matter(spark, seed, rows, k, grid):
     rng = np.random.default_rng(seed)
@@ -79,6 +79,15 @@ def test_blocks_do_not_matter(spark, seed, rows, k, grid):
     assert lists(neighbours.knn(df, k=k, block_rows=rows)) == expected
 
 
+def test_pivots_close_together_and_far_from_the_origin(spark):
+    """Rounding in the bounds must not hide anything."""
+    rng = np.random.default_rng(8)
+    x = np.float32(1000 + np.repeat(rng.normal(size=(12, 3)) * 0.05, 10, axis=0) + rng.normal(size=(120, 3)) * 1e-3)
+    ids = list(range(120))
+    found = neighbours.knn(frame(spark, ids, x), k=6, block_rows=12)
+    assert lists(found) == brute(ids, x, ids, x, 6, "self")
+
+
 def test_far_cells_are_left_out(spark):
     """In grouped data the second pass visits few blocks."""
     centres = np.arange(20)[:, None] * np.array([[100.0, 0.0]])

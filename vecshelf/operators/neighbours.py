@@ -475,10 +475,14 @@ class _Cells:
 
         Three lower bounds on the distance to anything in a cell: beyond its outer radius, inside
         its inner radius, and across the plane between its pivot and the query's own. `slack`
-        covers rounding, so that ties at the bound are still visited.
+        covers rounding, so that ties at the bound are still visited; planes between pivots too
+        close for that are not used.
         """
         p = self.pivots
-        norms = np.sqrt(np.einsum("ij,ij->i", p, p))
+        reach_of_pivots = np.sqrt(np.einsum("ij,ij->i", p, p)).max()
+        gaps = np.zeros((len(p), len(p)))
+        for part, d in self._distances(p):
+            gaps[part] = d
 
         @F.arrow_udf(T.ArrayType(T.IntegerType()))
         def reach(v: pa.Array, home: pa.Array, found: pa.Array) -> pa.Array:
@@ -497,11 +501,12 @@ class _Cells:
                 row = np.arange(len(mine))
                 low = np.maximum(d - far[None, :], near[None, :] - d)
                 # |x-p_j|^2 - |x-p_i|^2 over twice the pivots' distance: how far the plane is.
-                between = self._pivot_gaps(mine)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    plane = (d**2 - d[row, mine][:, None] ** 2) / (2.0 * between)
-                low = np.maximum(low, np.where(between > 0.0, plane, 0.0))
-                slack = 1e-6 * (size[part] + norms.max()) + 1e-9
+                between = gaps[mine]
+                scale = size[part] + reach_of_pivots
+                apart = between > 1e-3 * scale[:, None]
+                plane = (d**2 - d[row, mine][:, None] ** 2) / np.where(apart, 2.0 * between, np.inf)
+                low = np.maximum(low, plane)
+                slack = 1e-6 * scale + 1e-9
                 open_ = low <= (bound[part] + slack)[:, None]
                 open_ &= np.isfinite(far)[None, :]
                 counts.append(open_.sum(axis=1))
@@ -510,11 +515,3 @@ class _Cells:
             return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(cells)))
 
         return reach
-
-    def _pivot_gaps(self, cells: np.ndarray) -> np.ndarray:
-        used, where = np.unique(cells, return_inverse=True)
-        gaps = np.zeros((len(used), len(self.pivots)))
-        for part, d in self._distances(self.pivots[used]):
-            gaps[part] = d
-        gaps[np.arange(len(used)), used] = 0.0
-        return gaps[where]
