@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from vecshelf.checks.oracles import oracles
+from vecshelf.checks.registered import registered
 
 SF = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -34,12 +36,12 @@ def rows(columns, values):
     return sorted((tuple(plain(r[i]) for i in order) for r in values), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(registered()))
 def test_query(spark, duck, name):
-    df = entry_point.queries()[name](spark, SF)
+    df = registered()[name](spark, SF)
     mine = rows(df.columns, [tuple(r) for r in df.collect()])
     assert mine, "no rows"
-    sql = entry_point.oracle_sql().get(name)
+    sql = oracles().get(name)
     if sql is None:
         assert name in ("fit_head", "dropout")
         return
