@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecshelf.llm import exact_dedup, mixing, topk, url_filter
+from vecshelf.llm import (
+    bpe, exact_dedup, html_extract, language, mixing, near_dedup, quality, topk, toxicity, url_filter
+)
+from vecshelf.llm.common import remainder
 
 URL_RULES = [
     ("allow", "org/"),
@@ -33,6 +37,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_near_dedup(spark, sf):
+    return near_dedup.near_groups(table(spark, sf, "documents"), words=4)
+
+
+@query
+def op2_html_extract(spark, sf):
+    pages = table(spark, sf, "pages")
+    found = html_extract.extracted(pages, html_extract.fit(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_blocks", "n_kept")
+
+
 @query
 def op3_url_filter(spark, sf):
     pages = table(spark, sf, "pages")
@@ -45,6 +61,36 @@ def op4_source_mix(spark, sf):
     return mixing.mixed(table(spark, sf, "documents")).drop("source", "positions")
 
 
+@query
+def op5_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = language.fit(docs.where(remainder("doc_id", 4) != 2))
+    return language.identified(docs, model).select(
+        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans")
+    )
+
+
+@query
+def op6_quality(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    weights = quality.fit(docs, labels.where(remainder("doc_id", 5) != 0))
+    return quality.scored(docs, weights).select(
+        "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@query
+def op7_bpe(spark, sf):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokens = bpe.decoded(bpe.encoded(table(spark, sf, "documents"), path), path)
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op8_exact_dedup(spark, sf):
     return exact_dedup.exact_groups(table(spark, sf, "documents"))
@@ -56,6 +102,19 @@ def op9_top_k(spark, sf):
     return topk.top_k(vectors.where("vec_id % 20 = 0"), vectors)
 
 
+@query
+def op10_toxicity(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    index = toxicity.fit(docs, labels.where(remainder("doc_id", 3) != 1))
+    return toxicity.scored(docs, index).select(
+        "doc_id",
+        (remainder("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.REJECTED).cast("int").alias("predicted"),
+        F.size("evidence").alias("n_evidence"),
+    )
+
+
 _OP4 = r"""
 WITH sized AS (
     SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key,
