@@ -29,7 +29,7 @@ def test_vocab_order(spark, texts):
 def test_encode(spark, texts, limit):
     """Both ways of looking ids up give the same."""
     vocab = encode.build_vocab(texts, min_count=2)
-    coded = encode.encode(texts, "id", "tokens", vocab, max_seq_len=5, broadcast_tokens=limit)
+    coded = encode.encode(texts, "id", "tokens", vocab, max_seq_len=5, broadcast_bytes=limit)
     out = {r["id"]: (r["input_ids"], r["token_type_ids"]) for r in coded.collect()}
     assert out[1] == ([CLS_ID, 5, 4, 5, SEP_ID], [0] * 5)
     assert out[2] == ([CLS_ID, 4, UNK_ID, 6, SEP_ID], [0] * 5)
@@ -56,7 +56,7 @@ def test_pairs_cut_the_longer_side(spark, limit):
     vocab = spark.createDataFrame([("a", 10), ("b", 11)], "token string, id bigint")
     for room in (0, 7, 8):
         coded = encode.encode(
-            df, "id", "a", vocab, b="b", max_seq_len=room + 3, keep=["na", "nb"], broadcast_tokens=limit
+            df, "id", "a", vocab, b="b", max_seq_len=room + 3, keep=["na", "nb"], broadcast_bytes=limit
         )
         for r in coded.collect():
             na, nb = longest_first(r["na"], r["nb"], room)

@@ -88,9 +88,10 @@ def test_baseline_keeps_ids_with_their_lists(spark):
     tokens, rejects = baseline_tokens(catalogue, [], cut)
     assert tokens.count() == 5
     assert {(r["id"], r["reason"]) for r in rejects.collect()} == {(2, "segmenter_failed"), (6, "null_name")}
-    lists = {r["id"]: r["value"] for r in baseline_lists(catalogue, words, [], cut, dim=2, k=1).collect()}
+    lists = {r["id"]: r["value"] for r in baseline_lists(catalogue, words, [], cut, dim=2, k=1)[0].collect()}
     assert lists == {1: "3", 3: "1", 4: "5", 5: "4", 7: "1"}
-    fewer = baseline_lists(catalogue, words, [], cut, dim=2, k=1, skip_empty=True)
+    fewer, left = baseline_lists(catalogue, words, [], cut, dim=2, k=1, skip_empty=True)
+    assert {r["id"]: r["reason"] for r in left.collect()} == {2: "segmenter_failed", 6: "null_name", 7: "no_known_word"}
     assert {r["id"] for r in fewer.collect()} == {1, 3, 4, 5}
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from vecshelf.constants import BRACKET_SPAN, MARKERS, WHITESPACE
 from vecshelf.checks.registered import (
-    COMMON_DOCUMENTS,
+    COMMON_SHARE,
     ENCODER_DIM,
     NOW,
     SEED,
@@ -102,7 +102,7 @@ def ids_text(items: str) -> str:
 
 COMMON = f"""common AS (
   SELECT token FROM (SELECT DISTINCT id, unnest(toks) AS token FROM doc_tokens)
-  GROUP BY token HAVING count(*) > {COMMON_DOCUMENTS})"""
+  GROUP BY token HAVING count(*) > {COMMON_SHARE} * (SELECT count(*) FROM documents))"""
 LINES = """lines AS (
   SELECT unnest(string_split(text, chr(10))) AS line, lang, ' ' || quality AS label
   FROM documents JOIN labels USING (doc_id))"""
@@ -164,6 +164,42 @@ def ranked(queries: str, items: str, k: int, condition: str = "TRUE", skip: int
   WHERE rank > {skip} AND rank <= {k + skip}"""
 
 
+def scaled(factor: str) -> str:
+    """Neighbours of stretched vectors, ranked by exact distance and then by id."""
+    return f"""WITH {E}, f AS (SELECT id, list_transform(v, lambda x: x * {factor}::DOUBLE) AS v FROM e)
+SELECT id, neighbour_id, {r6(f'd2 / {factor}::DOUBLE / {factor}::DOUBLE')} AS d2, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY d2, neighbour_id) AS rank FROM (
+    SELECT a.id, b.id AS neighbour_id,
+      list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d2
+    FROM f a, f b WHERE a.id <> b.id))
+  WHERE rank <= 12"""
+
+
+TWO_NAMES = f"""WITH cat AS (
+  SELECT row_number() OVER (ORDER BY brand, name) AS id, brand, name
+  FROM (SELECT DISTINCT p_brand AS brand, p_name AS name FROM part)), {{hashed}},
+hb AS (SELECT h.id, brand, v FROM h JOIN cat USING (id)),
+near AS (
+  SELECT a.id AS row_id, a.brand AS id, b.brand AS neighbour_id, min(pow(list_distance(a.v, b.v), 2)) AS d2
+  FROM hb a, hb b WHERE a.brand <> b.brand GROUP BY ALL)
+SELECT id, neighbour_id, {r6('d2')} AS d2,
+  row_number() OVER (PARTITION BY row_id ORDER BY round(d2, 9), neighbour_id) AS rank
+FROM near QUALIFY rank <= 12"""
+
+DROPOUT = f"""WITH {E},
+x AS (SELECT id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e),
+z0 AS (SELECT id, x, i, (({md5_number(f"id || ':{SEED}:1'")}::UHUGEINT
+  + i::UHUGEINT * 11400714819323198485::UHUGEINT) % 18446744073709551616::UHUGEINT)::UBIGINT AS z FROM x),
+z1 AS (SELECT id, x, i, ((xor(z, z >> 30)::UHUGEINT * 13787848793156543929::UHUGEINT)
+  % 18446744073709551616::UHUGEINT)::UBIGINT AS z FROM z0),
+z2 AS (SELECT id, x, i, ((xor(z, z >> 27)::UHUGEINT * 10723151780598845931::UHUGEINT)
+  % 18446744073709551616::UHUGEINT)::UBIGINT AS z FROM z1),
+z3 AS (SELECT id, x, i, xor(z, z >> 31) AS z FROM z2)
+SELECT id, i - 1 AS place,
+  {r6('CASE WHEN (z >> 11)::DOUBLE / 9007199254740992.0::DOUBLE >= 0.1::DOUBLE THEN x / 0.9::DOUBLE ELSE 0 END')} AS value
+FROM z3"""
+
+
 def hashed(source: str, text: str, dim: int = ENCODER_DIM) -> str:
     """Hashing-encoder vectors as lists, for a table with `id` and a text expression."""
     number = md5_number("token")
@@ -261,7 +297,7 @@ def oracles() -> dict[str, str]:
     topped = "SELECT *, max(z) OVER (PARTITION BY id) AS top FROM"
     scored = f"WITH {E}, {CENTROIDS}, {COSINES}"
     clean_name = without_spans(without_markers("name"))
-    return {
+    found = {
         "catalogue_up": "SELECT DISTINCT p_brand AS id, p_name AS name FROM part WHERE p_type = 'ECONOMY'",
         "catalogue_one_row": "SELECT p_brand AS id, min(p_name) AS name FROM part WHERE p_type = 'ECONOMY' GROUP BY p_brand",
         "catalogue_rejects": "SELECT CASE WHEN lang = 'fr' THEN 'null_name' ELSE 'good' END AS reason, count(*) AS n FROM documents GROUP BY 1",
@@ -356,6 +392,22 @@ SELECT class, dim, {r6('(a - u * dot) / norm')} AS g FROM d""",
         "knn_drop_first": f"WITH {E} {ranked('e', 'e', 12, skip=1)}",
         "knn_blocks": f"WITH {E} {ranked('e', 'e', 12, other)}",
         "knn_cross": f"WITH {E}, {CENTROIDS}, k AS (SELECT class AS id, w AS v FROM c) {ranked('k', 'e', 13)}",
+        "knn_small": scaled("1e-6"),
+        "knn_small_blocks": scaled("1e-6"),
+        "knn_large": scaled("1e20"),
+        "knn_large_blocks": scaled("1e20"),
+        "knn_two_names": TWO_NAMES.format(hashed=hashed("cat", "name")),
+        "knn_two_names_blocks": TWO_NAMES.format(hashed=hashed("cat", "name")),
+        "knn_short": f"WITH {E}, {CENTROIDS}, k AS (SELECT class AS id, w AS v FROM c) {ranked('e', 'k', 12)}",
+        "list_purity": f"""WITH {E}, n AS ({ranked('e', 'e', 12, other)})
+SELECT n.id, {r6('avg((a.label = b.label)::INT)')} AS purity
+FROM n JOIN e a ON a.id = n.id JOIN e b ON b.id = n.neighbour_id GROUP BY n.id""",
+        "dropout": DROPOUT,
+        "publish_run": f"""WITH {E} SELECT 'dj_similar:deep:' || id AS key, value
+FROM ({listed(ranked('e', 'e', 12, other))}) WHERE id % 2 = 0""",
+        "run_summary_baseline": """WITH cat AS (SELECT DISTINCT p_partkey, nullif(p_name, 'small ring') AS name FROM part WHERE p_type = 'ECONOMY')
+SELECT count(*) AS loaded, count(name) AS cleaned, count(*) - count(name) AS rejected,
+  count(name) AS embedded, count(name) AS searched, TRUE AS balanced FROM cat""",
         "knn_cosine": f"WITH {MOVED} {ranked('m', 'm', 12, other)}",
         "knn_names": f"WITH cat AS (SELECT p_partkey AS id, p_name AS name FROM part), {hashed('cat', 'name')} {ranked('h', 'h', 12, other)}",
         "list_texts": f"WITH {E} {listed(ranked('e', 'e', 12, other))}",
@@ -390,3 +442,7 @@ FROM s LEFT JOIN d USING (id)""",
         "arm_metrics": f"""SELECT {md5_number("'ab:' || user_id")} % 2 AS arm, event_type, count(*) AS events,
   count(DISTINCT user_id) AS users, {r6('avg(value)')} AS mean_value FROM events GROUP BY 1, 2""",
     }
+    # The same results by the other code path.
+    twins = ("stopword_join stopword_tokens", "encode_single_join encode_single", "encode_pair_join encode_pair",
+             "sentence_vector_join sentence_vector")
+    return found | {a: found[b] for a, b in map(str.split, twins)}

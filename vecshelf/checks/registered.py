@@ -35,7 +35,7 @@ from vecshelf.sources.labelled import FIELDS_TSV, parse_labelled, read_labelled
 from vecshelf.sources.lists import read_stopwords, read_word_vectors
 
 STOPWORDS = ["the", "and", "des", "les", "und", "die", "der", "que", "los", "est", "那些"]
-COMMON_DOCUMENTS = 100  # a token in more documents than this is a stopword of the derived table
+COMMON_SHARE = 0.1  # a token in more of the documents than this is a stopword of the derived table
 WORD_DIM = 16
 WORD_DIM_NAMES = 8
 ENCODER_DIM = 32
@@ -226,11 +226,21 @@ def stopword_tokens(spark, sf):
     return kept.select("id", X.join_tokens(F.col("tokens")).alias("clean"))
 
 
+@query
+def stopword_join(spark, sf):
+    """The same by a join, with stopwords that repeat or are missing."""
+    tokens = document_tokens(spark, sf)
+    words = durable(_common(tokens))
+    words = words.union(words).union(words.limit(1).select(F.lit(None).cast("string")))
+    kept = clean.drop_stopwords(tokens, "id", "tokens", words, inline=0)
+    return kept.select("id", X.join_tokens(F.col("tokens")).alias("clean"))
+
+
 def _common(tokens: DataFrame) -> DataFrame:
     return (
         tokens.select("id", F.explode(F.array_distinct("tokens")).alias("stopword"))
         .groupBy("stopword").count()
-        .where(F.col("count") > COMMON_DOCUMENTS)
+        .where(F.col("count") > COMMON_SHARE * tokens.count())
         .select("stopword")
     )
 
@@ -272,8 +282,35 @@ def encode_single(spark, sf):
     return coded.select("id", id_text("input_ids").alias("input_ids"), id_text("token_type_ids").alias("token_type_ids"))
 
 
+def _worse(words: DataFrame) -> DataFrame:
+    """A vocabulary with each word a second time under a larger id, and rows without a word."""
+    again = words.select("token", (F.col("id") + 1_000_000).alias("id"), "count")
+    return words.union(again).union(again.select(F.lit(None).cast("string"), "id", "count"))
+
+
+@query
+def encode_single_join(spark, sf):
+    """The same by a join, for rows without ids, from a vocabulary with repeats and gaps."""
+    tokens = document_tokens(spark, sf)
+    words = _worse(encode.build_vocab(tokens, min_count=2))
+    rows = tokens.select(F.lit(None).cast("int").alias("none"), F.col("id").alias("doc"), "tokens")
+    coded = encode.encode(rows, "none", "tokens", words, max_seq_len=128, keep=["doc"], broadcast_bytes=0)
+    return coded.select(
+        F.col("doc").alias("id"), id_text("input_ids").alias("input_ids"), id_text("token_type_ids").alias("token_type_ids")
+    )
+
+
 @query
 def encode_pair(spark, sf):
+    return _encoded_pairs(spark, sf)
+
+
+@query
+def encode_pair_join(spark, sf):
+    return _encoded_pairs(spark, sf, broadcast_bytes=0)
+
+
+def _encoded_pairs(spark, sf, **options):
     turns = clean.tokenize(table(spark, sf, "conversations"), "text")
     words = encode.build_vocab(turns)
     asked = turns.where("role = 'user'").select("conv_id", "turn", F.col("tokens").alias("a"))
@@ -283,7 +320,7 @@ def encode_pair(spark, sf):
     pairs = asked.join(given, ["conv_id", "turn"]).select(
         F.concat_ws("-", "conv_id", "turn").alias("id"), "a", "b"
     )
-    coded = encode.encode(pairs, "id", "a", words, b="b", max_seq_len=50)
+    coded = encode.encode(pairs, "id", "a", words, b="b", max_seq_len=50, **options)
     return coded.select("id", id_text("input_ids").alias("input_ids"), id_text("token_type_ids").alias("token_type_ids"))
 
 
@@ -385,6 +422,17 @@ def sentence_vector_sup(spark, sf):
     return long_form(found, "id", "embedding")
 
 
+@query
+def sentence_vector_join(spark, sf):
+    """The same by a join, from a word table with repeats and gaps."""
+    tokens = document_tokens(spark, sf)
+    words = durable(word_vectors(tokens, WORD_DIM))
+    larger = words.select("token", F.transform("vec", lambda v: v + 1).alias("vec"))
+    words = words.union(larger).union(words.select(F.lit(None).cast("string"), "vec"))
+    found = sentence_vectors(tokens, "id", "tokens", words, WORD_DIM, broadcast_bytes=0)
+    return long_form(found, "id", "embedding")
+
+
 @query
 def l2_normalise(spark, sf):
     """Over vectors shifted and stretched, as the table's own have unit length."""
@@ -548,11 +596,69 @@ def knn_cross(spark, sf):
 @query
 def knn_cosine(spark, sf):
     moved = F.transform("embedding", lambda v: (v + 0.25) * (F.col("label") + 1))
-    unit = vectors(spark, sf).withColumn("embedding", V.l2_normalise(moved))
-    found = neighbours.knn(unit)
+    found = neighbours.knn(vectors(spark, sf).withColumn("embedding", moved), metric="cosine")
+    return found.withColumn("d2", r6("d2"))
+
+
+def _scaled(spark, sf, factor, **options):
+    stretched = F.transform("embedding", lambda v: v.cast("double") * factor)
+    found = neighbours.knn(vectors(spark, sf).withColumn("embedding", stretched), **options)
+    return found.withColumn("d2", r6(F.col("d2") / factor / factor))
+
+
+@query
+def knn_small(spark, sf):
+    return _scaled(spark, sf, 1e-6)
+
+
+@query
+def knn_small_blocks(spark, sf):
+    return _scaled(spark, sf, 1e-6, block_rows=200)
+
+
+@query
+def knn_large(spark, sf):
+    return _scaled(spark, sf, 1e20)
+
+
+@query
+def knn_large_blocks(spark, sf):
+    return _scaled(spark, sf, 1e20, block_rows=200)
+
+
+def _two_names(spark, sf, **options):
+    names = read_catalogue(table(spark, sf, "part"), "p_brand", "p_name", None)
+    rows = embed(names, "id", "name", lambda: HashingEncoder(ENCODER_DIM), ENCODER_DIM)
+    found = neighbours.knn(durable(rows.select("id", "embedding")), **options)
     return found.withColumn("d2", r6("d2"))
 
 
+@query
+def knn_two_names(spark, sf):
+    """Ids with many names: each name's list has different ids only."""
+    return _two_names(spark, sf)
+
+
+@query
+def knn_two_names_blocks(spark, sf):
+    return _two_names(spark, sf, block_rows=50)
+
+
+@query
+def knn_short(spark, sf):
+    """All vectors against the few class centroids: lists shorter than k."""
+    items = _centroids(spark, sf).select(F.col("class").alias("id"), F.col("w").alias("embedding"))
+    found = neighbours.knn(vectors(spark, sf), items, drop=None)
+    return found.withColumn("d2", r6("d2"))
+
+
+@query
+def list_purity(spark, sf):
+    rows = vectors(spark, sf)
+    found = compare.purity(neighbours.knn(rows), rows.select("id", "label"))
+    return found.withColumn("purity", r6("purity"))
+
+
 @query
 def knn_names(spark, sf):
     """Names with many equal vectors, so that ties decide."""
@@ -580,6 +686,18 @@ def publish_records(spark, sf):
     )
 
 
+@query
+def publish_run(spark, sf):
+    """Two runs publish to one folder; a reader of the compacted folder sees what is live."""
+    now = F.lit(NOW).cast("timestamp")
+    lists = durable(neighbour_lists(neighbours.knn(vectors(spark, sf))))
+    path, later = scratch(spark), scratch(spark)
+    R.publish(lists, "deep", now - F.expr("INTERVAL 8 DAYS"), path=path)
+    R.publish(lists.where("id % 2 = 0"), "deep", now - F.expr("INTERVAL 1 DAY"), path=path)
+    R.compact(spark, path, later, now)
+    return R.live(spark.read.parquet(later), now).select("key", "value")
+
+
 @query
 def live_records(spark, sf):
     """Every event as a write to the key of its user and type: the last wins, some have expired."""
@@ -606,7 +724,19 @@ def deep_lists_names(spark, sf):
 def baseline_lists_names(spark, sf):
     catalogue = read_catalogue(table(spark, sf, "part"), "p_partkey", "p_name", "p_type", "ECONOMY")
     words = word_vectors(clean.tokenize(catalogue, "name"), WORD_DIM_NAMES)
-    return baseline_lists(catalogue, words, ["small"], dim=WORD_DIM_NAMES)
+    lists, _ = baseline_lists(catalogue, words, ["small"], dim=WORD_DIM_NAMES)
+    return lists
+
+
+@query
+def run_summary_baseline(spark, sf):
+    parts = table(spark, sf, "part").withColumn("name", F.expr("nullif(p_name, 'small ring')"))
+    catalogue = read_catalogue(parts, "p_partkey", "name", "p_type", "ECONOMY")
+    words = word_vectors(clean.tokenize(catalogue, "name"), WORD_DIM_NAMES)
+    counts = RunCounts()
+    for result in baseline_lists(catalogue, words, dim=WORD_DIM_NAMES, counts=counts):
+        result.write.format("noop").mode("overwrite").save()
+    return counts.summary(spark, parts=("embedded", "rejected"))
 
 
 @query

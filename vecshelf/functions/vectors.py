@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vecshelf.functions.text import hash_number
+
 from vecshelf.constants import EPS_NORM
 
 DOUBLES = T.ArrayType(T.DoubleType())
@@ -100,7 +102,7 @@ def dropout(vector: Column, row_id: Column, p: float, seed: int, step: int) -> C
 
 
 def dropout_draw(row_id: Column, seed: int, step: int) -> Column:
-    return F.xxhash64(row_id, F.lit(seed), F.lit(step))
+    return hash_number(row_id, F.lit(seed), F.lit(step))
 
 
 def content_key(vector: Column) -> tuple[Column, Column]:

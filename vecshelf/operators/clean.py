@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from vecshelf.functions import text as X
 from vecshelf.operators.lookup import lookup_join
+from vecshelf.session import durable
 
 INLINE_STOPWORDS = 20_000
 
@@ -33,14 +34,21 @@ def parse_label(
 ) -> DataFrame:
     """Label text to BIGINT; blanks around it are allowed, junk and unknown classes become NULL."""
     stripped = X.strip_unicode(F.col(col))
-    number = F.when(
-        F.regexp_like(stripped, F.lit(r"\A[+-]?[0-9]{1,18}\z")), stripped
-    ).cast("bigint")
+    number = F.when(F.regexp_like(stripped, F.lit(r"\A[+-]?[0-9]+\z")), stripped).try_cast("bigint")
     if n_classes is not None:
         number = F.when((number >= 0) & (number < n_classes), number)
     return df.withColumn(out or col, number)
 
 
+def checked_labels(
+    df: DataFrame, id: str = "query", col: str = "label", n_classes: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Rows whose label is a class number, as BIGINT, and rejects `(id, text, reason)` for the others."""
+    parsed = parse_label(df, col, n_classes, out="_label")
+    good, rejects = split_rejects(parsed, id, col, {"label": F.col("_label").isNull()})
+    return good.withColumn(col, F.col("_label")).drop("_label"), rejects
+
+
 def drop_label(df: DataFrame, col: str = "label") -> DataFrame:
     return df.drop(col)
 
@@ -79,18 +87,20 @@ def tokenize(
     return df.withColumn(out, run(F.col(col)))
 
 
-def drop_stopwords(df: DataFrame, id: str, tokens: str, stopwords: DataFrame) -> DataFrame:
+def drop_stopwords(
+    df: DataFrame, id: str, tokens: str, stopwords: DataFrame, inline: int | None = None
+) -> DataFrame:
     """Stopword removal against a list of any size, keeping token order and repeats.
 
-    A list of at most `INLINE_STOPWORDS` words (checked) becomes a set inside the expression. A
-    longer one is joined to the distinct tokens of each row, hot tokens being split by the join.
-    `id` must be unique per row.
+    A list of at most `inline` (`INLINE_STOPWORDS`) words (counted first) becomes a set inside the expression. A
+    longer one is joined to the distinct tokens of each row, hot tokens being split by the join. NULL
+    is no stopword. `id` must be unique per row.
     """
-    head = stopwords.select("stopword").limit(INLINE_STOPWORDS + 1).collect()
-    if len(head) <= INLINE_STOPWORDS:
-        kept = X.keep_tokens(F.col(tokens), 0, [r["stopword"] for r in head])
+    words = durable(stopwords.select("stopword").where("stopword is not null").distinct())
+    if words.count() <= (INLINE_STOPWORDS if inline is None else inline):
+        kept = X.keep_tokens(F.col(tokens), 0, [r["stopword"] for r in words.collect()])
         return df.withColumn(tokens, kept)
-    return _drop_by_join(df, id, tokens, stopwords)
+    return _drop_by_join(df, id, tokens, words)
 
 
 def _drop_by_join(df: DataFrame, id: str, tokens: str, stopwords: DataFrame) -> DataFrame:

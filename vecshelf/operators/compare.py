@@ -35,6 +35,20 @@ def overlap(a: DataFrame, b: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
     )
 
 
+def purity(neighbours: DataFrame, labels: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
+    """`(id, purity)`: the share of an id's first `k` neighbours that carry its own label.
+
+    `neighbours` is `(id, neighbour_id, rank)`, `labels` is `(id, label)` with one row per id. Neighbours
+    without a label count as different; ids without one are left out.
+    """
+    own = labels.where("label is not null")
+    asked = neighbours.where(F.col("rank") <= k).join(own, "id")
+    theirs = own.select(F.col("id").alias("neighbour_id"), F.col("label").alias("_theirs"))
+    found = asked.join(theirs, "neighbour_id", "left")
+    same = F.coalesce(F.col("label") == F.col("_theirs"), F.lit(False)).cast("int")
+    return found.groupBy("id").agg(F.avg(same).alias("purity"))
+
+
 def arm_metrics(
     events: DataFrame,
     arms: int = 2,
@@ -51,6 +65,6 @@ def arm_metrics(
     )
     return per_user.groupBy("arm", "event_type").agg(
         F.sum("n").alias("events"),
-        F.count(F.lit(1)).alias("users"),
+        F.count(user).alias("users"),
         (F.sum("v") / F.sum("nv")).alias("mean_value"),
     )

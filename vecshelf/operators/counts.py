@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,8 @@ class RunCounts:
     column per stage and the balance check.
     """
 
-    def __init__(self):
+    def __init__(self, wait_s: float = 30.0):
+        self._wait_s = wait_s
         self._stages: dict[str, Observation] = {}
 
     def watch(self, stage: str, df: DataFrame) -> DataFrame:
@@ -24,7 +27,17 @@ class RunCounts:
         return df.observe(seen, F.count(F.lit(1)).alias("n"))
 
     def counts(self) -> dict[str, int]:
-        return {stage: seen.get["n"] for stage, seen in self._stages.items()}
+        return {stage: self._count(stage, seen) for stage, seen in self._stages.items()}
+
+    def _count(self, stage: str, seen: Observation) -> int:
+        """The count, once the stage's job is done; an error if no job ran over it."""
+        found: list[int] = []
+        waiting = threading.Thread(target=lambda: found.append(seen.get["n"]), daemon=True)
+        waiting.start()
+        waiting.join(self._wait_s)
+        if not found:
+            raise RuntimeError(f"no finished job has passed over stage {stage}")
+        return found[0]
 
     def summary(
         self, spark: SparkSession, whole: str = "loaded", parts: tuple[str, ...] = ("cleaned", "rejected")

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecshelf.functions.vectors import DOUBLES, from_matrix, l2_normalise, to_matrix, unit_rows
+from vecshelf.functions.vectors import DOUBLES, content_key, from_matrix, l2_normalise, to_matrix, unit_rows
 from vecshelf.operators.lookup import lookup_join
+from vecshelf.session import durable
 
 Encoder = Callable[[Sequence[str]], np.ndarray]
 
@@ -65,7 +66,7 @@ def embed(
     """Add the encoder's float vector of `text`. The encoder is built once per partition.
 
     With `distinct`, each different text is encoded once, however often it occurs, and the vectors
-    are joined back. Encoding is spread over `partitions` tasks (default: the larger of the
+    are joined back; rows without a text are left out. Encoding is spread over `partitions` tasks (default: the larger of the
     cluster's cores and the shuffle partitions), since its cost does not show in the byte sizes
     by which partitions get merged.
     """
@@ -93,9 +94,13 @@ def embed(
     if not distinct:
         schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))])
         return df.mapInArrow(run, schema)
-    texts = df.select(text).where(F.col(text).isNotNull()).distinct().repartition(partitions, text)
+    # Texts are told apart by two 64-bit hashes; the text itself goes to the encoder only.
+    k1, k2 = content_key(F.col(text))
+    keyed = durable(df.where(F.col(text).isNotNull()).withColumn("_k1", k1).withColumn("_k2", k2))
+    texts = keyed.select(text, "_k1", "_k2").dropDuplicates(["_k1", "_k2"]).repartition(partitions, "_k1", "_k2")
     schema = T.StructType([*texts.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))])
-    return lookup_join(df, texts.mapInArrow(run, schema), text, spread=[id])
+    encoded = texts.mapInArrow(run, schema).select("_k1", "_k2", out)
+    return lookup_join(keyed, encoded, ["_k1", "_k2"], spread=[id]).drop("_k1", "_k2")
 
 
 def sentence_vectors(
@@ -114,19 +119,20 @@ def sentence_vectors(
     unsupervised: mean of the unit word vectors; words with a zero vector do not count.
     supervised: plain mean of the word vectors and the end-of-sentence vector `eos`.
     Unknown tokens do not count; a text with nothing to average gets the zero vector and
-    `is_empty`. A word table of up to `broadcast_bytes` (checked) is broadcast and averaged in
-    Arrow batches; a larger one is joined on tokens counted per row.
+    `is_empty`. Of rows with one token the smallest vector counts; rows without token or vector do
+    not. A word table of up to `broadcast_bytes` (summed up first) is broadcast and averaged in Arrow
+    batches; a larger one is joined on tokens counted per row. Both ways give the same.
     """
     if mode not in ("unsupervised", "supervised"):
         raise ValueError(mode)
     if mode == "supervised" and (eos is None or len(eos) != dim):
         raise ValueError("supervised mode needs an end-of-sentence vector of the same dimension")
-    words = vectors.select("token", "vec")
-    limit = max(int(broadcast_bytes // (8 * dim)), 0)
-    head = words.limit(limit + 1).toArrow()
-    if head.num_rows > limit:
+    words = vectors.where("token is not null and vec is not null").groupBy("token")
+    words = durable(words.agg(F.min("vec").alias("vec")))
+    size = words.agg(F.sum(F.octet_length("token") + 8 * dim).alias("bytes")).first()["bytes"] or 0
+    if size > broadcast_bytes:
         return _average_by_join(df, id, tokens, words, dim, mode, eos, out)
-    model = df.sparkSession.sparkContext.broadcast(head)
+    model = df.sparkSession.sparkContext.broadcast(words.toArrow())
     average = _average(model, dim, mode, eos)
     return (
         df.select(id, average(F.col(tokens)).alias("_a"))
@@ -188,24 +194,24 @@ def _average_by_join(
         table = table.withColumn("vec", l2_normalise(F.col("vec"))).where(
             F.exists("vec", lambda v: v != 0.0)
         )
-    # Two rows may share an id (one product, two names), but not id and tokens and differ.
-    rows = df.select(id, F.xxhash64(tokens).alias("_row"), tokens)
-    counted = rows.select(id, "_row", F.explode(tokens).alias("token"))
-    counted = counted.groupBy(id, "_row", "token").count()
-    found = lookup_join(counted, table, "token", spread=[id, "_row"])
-    found = found.select(id, "_row", "vec", "count")
+    # Rows get a key of their own, written with them: ids may repeat or be missing.
+    rows = durable(df.select(id, F.monotonically_increasing_id().alias("_row"), tokens))
+    counted = rows.select("_row", F.explode(tokens).alias("token"))
+    counted = counted.where("token is not null").groupBy("_row", "token").count()
+    found = lookup_join(counted, table, "token", spread=["_row"])
+    found = found.select("_row", "vec", "count")
     if mode == "supervised":
         end = F.array(*[F.lit(float(v)) for v in eos])
         found = found.unionByName(
-            rows.select(id, "_row", end.alias("vec"), F.lit(1).cast("bigint").alias("count"))
+            rows.select("_row", end.alias("vec"), F.lit(1).cast("bigint").alias("count"))
         )
-    means = found.groupBy(id, "_row").agg(
+    means = found.groupBy("_row").agg(
         vector_to_array(
             Summarizer.mean(array_to_vector("vec"), F.col("count").cast("double"))
         ).alias("_mean")
     )
     zero = F.array_repeat(F.lit(0.0), dim)
-    return rows.select(id, "_row").join(means, [id, "_row"], "left").select(
+    return rows.select(id, "_row").join(means, "_row", "left").select(
         id, F.coalesce("_mean", zero).alias(out), F.col("_mean").isNull().alias("is_empty")
     )
 

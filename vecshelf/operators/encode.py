@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 from vecshelf.constants import CLS_ID, MAX_LEN, SEP_ID, SPECIAL_TOKENS, UNK_ID
 from vecshelf.operators.lookup import lookup_join
 from vecshelf.operators.ordering import with_position
+from vecshelf.session import durable
 
-BROADCAST_TOKENS = 500_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def build_vocab(df: DataFrame, tokens: str = "tokens", min_count: int = 1) -> DataFrame:
@@ -43,13 +44,14 @@ def encode(
     b: str | None = None,
     max_seq_len: int = MAX_LEN,
     keep: Sequence[str] = (),
-    broadcast_tokens: int = BROADCAST_TOKENS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """`[CLS] A [SEP]` or `[CLS] A [SEP] B [SEP]` as `input_ids` and `token_type_ids`.
 
-    Truncation counts the special tokens; of a pair the longer side is cut first. A vocabulary of
-    up to `broadcast_tokens` words (checked) is broadcast and looked up in Arrow batches, without a
-    shuffle. A larger one is joined. `id` must be unique per row.
+    Truncation counts the special tokens; of a pair the longer side is cut first. Of vocabulary rows
+    with one token the smallest id counts; rows without a token do not. A vocabulary of up to
+    `broadcast_bytes` (summed up first) is broadcast and looked up in Arrow batches, without a
+    shuffle. A larger one is joined. Both ways give the same, whatever the rows' ids.
     """
     texts = [a] if b is None else [a, b]
     room = max_seq_len - len(texts) - 1
@@ -66,10 +68,10 @@ def encode(
         ],
     )
     names = [f"_t{i}" for i in range(len(texts))]
-    words = vocab.select("token", "id")
-    head = words.limit(broadcast_tokens + 1).toArrow()
-    if head.num_rows <= broadcast_tokens:
-        lookup = _lookup(df.sparkSession.sparkContext.broadcast(head))
+    words = durable(vocab.where("token is not null").groupBy("token").agg(F.min("id").alias("id")))
+    size = words.agg(F.sum(F.octet_length("token") + 16).alias("bytes")).first()["bytes"] or 0
+    if size <= broadcast_bytes:
+        lookup = _lookup(df.sparkSession.sparkContext.broadcast(words.toArrow()))
         coded = cut.select(id, *keep, *[lookup(F.col(n)).alias(n) for n in names])
     else:
         coded = _encode_by_join(cut, id, names, words, keep)
@@ -119,10 +121,12 @@ def _encode_by_join(
         return F.transform(F.col(name), word)
 
     sides = F.flatten(F.array(*[placed(side, n) for side, n in enumerate(names)]))
-    tokens = cut.select(id, F.explode(sides).alias("_w")).select(id, "_w.*")
+    # Rows get a key of their own, written with them: ids may repeat or be missing.
+    cut = durable(cut.withColumn("_row", F.monotonically_increasing_id()))
+    tokens = cut.select("_row", F.explode(sides).alias("_w")).select("_row", "_w.*")
     coded = lookup_join(
-        tokens, words.withColumnRenamed("id", "_code"), "token", spread=[id, "place"], how="left"
-    ).groupBy(id).agg(
+        tokens, words.withColumnRenamed("id", "_code"), "token", spread=["_row", "place"], how="left"
+    ).groupBy("_row").agg(
         F.array_sort(
             F.collect_list(
                 F.struct("side", "place", F.coalesce("_code", F.lit(UNK_ID)).alias("code"))
@@ -137,6 +141,6 @@ def _encode_by_join(
         )
         return F.transform(mine, lambda x: x["code"])
 
-    return cut.select(id, *keep).join(coded, id, "left").select(
+    return cut.select(id, *keep, "_row").join(coded, "_row", "left").select(
         id, *keep, *[side_ids(i).alias(n) for i, n in enumerate(names)]
     )

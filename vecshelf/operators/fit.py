@@ -298,6 +298,8 @@ class ArcHead:
 
     def _start(self, spark: SparkSession, init: HeadState | np.ndarray | None) -> HeadState:
         if isinstance(init, HeadState):
+            if init.weights.shape != (self.n_classes, self.dim):
+                raise ValueError(f"saved weights {init.weights.shape}, expected {(self.n_classes, self.dim)}")
             return init
         if init is None:
             table = H.initial_weights(

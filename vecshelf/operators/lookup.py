@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 500_000
-MAX_HOT_KEYS = 1_000
 NULL_SPREAD = 64
 
 
@@ -23,9 +22,9 @@ def lookup_join(
     """Join `rows` to `table` (at most one row per key) on `key`; `how` is inner or left.
 
     Keys with more than `hot_rows` rows are split: their rows go to several salts, chosen by a hash
-    of the `spread` columns, and the table row is copied once per salt. The list of hot keys holds
-    at most `MAX_HOT_KEYS` entries, so broadcasting it is safe; a key beyond that list holds under
-    1/MAX_HOT_KEYS of all rows. No row is dropped on any path. Salts are a function of the row, so
+    of the `spread` columns, and the table row is copied once per salt. A hot key has over `hot_rows`
+    rows, so there are fewer than rows / hot_rows of them (200 000 for 10^11 rows) and their list can
+    be broadcast; keys should be short, such as hashes. No row is dropped on any path. Salts are a function of the row, so
     a re-run task sends its rows to the same place.
     """
     if how not in ("inner", "left"):
@@ -39,8 +38,6 @@ def lookup_join(
     hot = (
         rows.select(*keys).where(known).groupBy(*keys).count()
         .where(F.col("count") > hot_rows)
-        .orderBy(F.desc("count"), *keys)
-        .limit(MAX_HOT_KEYS)
         .select(*keys, F.ceil(F.col("count") / hot_rows).cast("int").alias("_splits"))
     )
     draw = F.xxhash64(*[F.col(c) for c in spread])

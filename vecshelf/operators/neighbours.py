@@ -1,6 +1,8 @@
 """Exact nearest neighbours by squared Euclidean distance.
 
-Rows are ranked by `(round(d2, 9), neighbour id)`. How the search is spread out:
+Rows are ranked by `(d2 rounded to 30 significant bits, neighbour id)`, whatever the vectors' scale. A
+list names each neighbour id once, at its nearest vector, however many vectors an id has. How the
+search is spread out:
 
 1. Copies. Items with one vector are cut to the `k + 1` smallest ids, which are the only ones that
    can show up in any list, and each different query vector is searched once. A vector shared by a
@@ -32,11 +34,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecshelf.constants import NEIGHBOURS
-from vecshelf.functions.vectors import content_key, from_matrix, to_matrix
+from vecshelf.functions.vectors import content_key, from_matrix, l2_normalise, to_matrix
 from vecshelf.operators.lookup import lookup_join
 from vecshelf.session import durable
 
-TIE_DIGITS = 9
+TIE_BITS = 30  # significant bits of a squared distance that count; about nine digits
+TIE_ROOM = 2.0 ** (2 - TIE_BITS)  # two distances that tie differ by less, relatively
+LARGEST = 1e150  # components beyond have no finite squared distance
 BLOCK_VALUES = 8 * 1024 * 1024  # numbers per block; a task holds two blocks and a few copies
 BLOCK_ROWS = (512, 16_384)
 SPLIT_ROWS = 2_048  # blocks do not get smaller than this just to use more cores
@@ -44,6 +48,7 @@ CHUNK_ROWS = 512  # nor chunks of queries of a single block
 MAX_PIVOTS = 1_024
 PIVOT_VALUES = 2 * 1024 * 1024  # numbers in all pivots, which the driver holds
 SLICE_VALUES = 1024 * 1024  # distances or differences held at a time
+GROUPS_PER_TASK = 8
 STRANDS = 16  # a row's minimum over each strand bounds its k-th distance cheaply
 MANY_CANDIDATES = 16  # per wanted neighbour; beyond, candidates are chosen in double precision
 
@@ -56,9 +61,10 @@ def knn(
     vector: str = "embedding",
     drop: str | None = "self",
     block_rows: int | None = None,
+    metric: str = "l2",
 ) -> DataFrame:
     """`(id, neighbour_id, d2, rank)`: the `k` nearest items of each query, rank from 1."""
-    lists = knn_lists(queries, items, k, id, vector, drop, block_rows)
+    lists = knn_lists(queries, items, k, id, vector, drop, block_rows, metric)
     return lists.select("id", F.posexplode("neighbours").alias("_p", "_n")).select(
         "id",
         F.col("_n.neighbour_id").alias("neighbour_id"),
@@ -75,49 +81,59 @@ def knn_lists(
     vector: str = "embedding",
     drop: str | None = "self",
     block_rows: int | None = None,
+    metric: str = "l2",
 ) -> DataFrame:
-    """`(id, neighbours ARRAY<STRUCT<d2, neighbour_id>>)`, nearest first.
+    """`(id, neighbours ARRAY<STRUCT<d2, neighbour_id>>)`, nearest first; one list per query row.
 
     Without `items`, the queries are searched among themselves. `drop="self"` removes the query's
     own id, `drop="first"` removes whatever comes first, `None` removes nothing. Fewer than `k`
-    items give a shorter list. Item ids are expected to be unique.
+    other ids give a shorter list. `metric="cosine"` compares the vectors scaled to unit length;
+    `d2` is then 2 - 2 cos.
     """
     if drop not in ("self", "first", None):
         raise ValueError(drop)
+    if metric not in ("l2", "cosine"):
+        raise ValueError(metric)
     alone = items is None
     want = k + (drop is not None)
-    q = _keyed(queries, id, vector)
-    x = q if alone else _keyed(items, id, vector)
+    q = _keyed(queries, id, vector, metric)
+    x = q if alone else _keyed(items, id, vector, metric)
     n, dim = _size(x, want)
     if not alone:
         n_queries, q_dim = _size(q, 1)
         if n and n_queries and q_dim != dim:
             raise ValueError(f"queries have {q_dim} dimensions, items {dim}")
     if n == 0 or (not alone and n_queries == 0):
-        empty = F.array().cast(T.ArrayType(_entry(x)))
+        empty = F.array().cast(T.ArrayType(T.StructType(_entry(x).fields[1:])))
         return q.select("id", empty.alias("neighbours"))
     cores = queries.sparkSession.sparkContext.defaultParallelism
     rows = block_rows or _block_rows(dim)
     same = W.partitionBy("k1", "k2").orderBy("id")
+    repeated = not x.groupBy("id").count().where("count > 1").isEmpty()
+    if repeated:
+        x = x.dropDuplicates(["k1", "k2", "id"])
     reps = x.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= want)
     if n <= rows:
         asked = n if alone else n_queries
         chunk = min(rows, max(CHUNK_ROWS, math.ceil(asked / cores)))
-        found = _search_one_block(reps, None if alone else q, want, math.ceil(asked / chunk))
+        found = _search_one_block(reps, None if alone else q, want, math.ceil(asked / chunk), repeated)
     else:
         rows = block_rows or min(rows, max(SPLIT_ROWS, math.ceil(n / cores)))
-        found = _search_cells(reps, None if alone else q, want, n, dim, rows)
+        found = _search_cells(reps, None if alone else q, want, n, dim, rows, repeated)
     mine = lookup_join(q.select("id", "k1", "k2"), found, ["k1", "k2"], spread=["id"])
     if drop == "self":
         left = F.filter("list", lambda e: e["neighbour_id"] != F.col("id"))
     else:
         left = F.slice("list", 2, want) if drop == "first" else F.col("list")
-    return mine.select("id", F.slice(left, 1, k).alias("neighbours"))
+    plain = F.transform(F.slice(left, 1, k), lambda e: F.struct(e["d2"].alias("d2"), e["neighbour_id"].alias("neighbour_id")))
+    return mine.select("id", plain.alias("neighbours"))
 
 
-def _keyed(df: DataFrame, id: str, vector: str) -> DataFrame:
+def _keyed(df: DataFrame, id: str, vector: str, metric: str = "l2") -> DataFrame:
     k1, k2 = content_key(F.col("vec"))
     rows = df.select(F.col(id).alias("id"), F.col(vector).alias("vec"))
+    if metric == "cosine":
+        rows = rows.withColumn("vec", l2_normalise(F.col("vec").cast("array<double>")))
     return rows.withColumn("k1", k1).withColumn("k2", k2)
 
 
@@ -141,6 +157,7 @@ def _block_rows(dim: int) -> int:
 def _entry(x: DataFrame) -> T.StructType:
     return T.StructType(
         [
+            T.StructField("tie", T.DoubleType()),
             T.StructField("d2", T.DoubleType()),
             T.StructField("neighbour_id", x.schema["id"].dataType),
         ]
@@ -151,7 +168,9 @@ def _unique(q: DataFrame) -> DataFrame:
     return q.select("k1", "k2", "vec").dropDuplicates(["k1", "k2"])
 
 
-def _search_one_block(reps: DataFrame, q: DataFrame | None, want: int, chunks: int) -> DataFrame:
+def _search_one_block(
+    reps: DataFrame, q: DataFrame | None, want: int, chunks: int, repeated: bool
+) -> DataFrame:
     """All items fit in one block; chunks of queries search it side by side."""
     unique = reps.where("copy = 1") if q is None else _unique(q)
     zero = F.lit(0)
@@ -164,11 +183,11 @@ def _search_one_block(reps: DataFrame, q: DataFrame | None, want: int, chunks: i
         "id", "vec", zero.alias("cell"), zero.alias("sub"),
         F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"),
     )
-    return _search(asked, stock, want, chunks).select("k1", "k2", "list")
+    return _search(asked, stock, want, chunks, repeated).select("k1", "k2", "list")
 
 
 def _search_cells(
-    reps: DataFrame, q: DataFrame | None, want: int, n: int, dim: int, rows: int
+    reps: DataFrame, q: DataFrame | None, want: int, n: int, dim: int, rows: int, repeated: bool
 ) -> DataFrame:
     """Two passes over cells; see the module text."""
     blocks = math.ceil(n / rows)
@@ -211,7 +230,7 @@ def _search_cells(
     chunks = {c: max(1, math.ceil(v / subs[c] / rows)) for c, v in visits.items()}
     first = durable(_search(
         _with_chunk(_with_sub(asked, subs), chunks), _copied(stock, chunks), want,
-        sum(subs[c] * n for c, n in chunks.items()), keep_vec=True,
+        sum(subs[c] * n for c, n in chunks.items()), repeated, keep_vec=True,
     ))
     # Second pass: the other blocks of every cell that may hold something closer.
     reach = cells.within(near, far, want)
@@ -231,20 +250,21 @@ def _search_cells(
     )
     second = _search(
         _with_chunk(others, again), _copied(stock, again), want,
-        sum(subs[c] * n for c, n in again.items()),
+        sum(subs[c] * n for c, n in again.items()), repeated,
     )
     lists = first.select("k1", "k2", "list").unionByName(second.select("k1", "k2", "list"))
-    return _merge(lists, want)
+    return _merge(lists, want, repeated)
 
 
-def _merge(lists: DataFrame, want: int) -> DataFrame:
+def _merge(lists: DataFrame, want: int, repeated: bool) -> DataFrame:
     """The best `want` entries per query; the window drops the rest before the shuffle."""
     entry = F.col("e")
-    best = W.partitionBy("k1", "k2").orderBy(
-        F.round(entry["d2"], TIE_DIGITS), entry["neighbour_id"]
-    )
+    best = W.partitionBy("k1", "k2").orderBy(entry["tie"], entry["neighbour_id"])
+    entries = lists.select("k1", "k2", F.explode("list").alias("e"))
+    if repeated:  # an id may have been found in several blocks
+        entries = entries.groupBy("k1", "k2", entry["neighbour_id"]).agg(F.min("e").alias("e"))
     ranked = (
-        lists.select("k1", "k2", F.explode("list").alias("e"))
+        entries.select("k1", "k2", "e")
         .withColumn("r", F.row_number().over(best))
         .where(F.col("r") <= want)
     )
@@ -282,7 +302,7 @@ def _copied(stock: DataFrame, chunks: dict[int, int]) -> DataFrame:
 
 
 def _search(
-    asked: DataFrame, stock: DataFrame, want: int, groups: int, keep_vec: bool = False
+    asked: DataFrame, stock: DataFrame, want: int, groups: int, repeated: bool, keep_vec: bool = False
 ) -> DataFrame:
     """Best `want` items of the block for each query of the chunk, as one list per query.
 
@@ -313,11 +333,12 @@ def _search(
         right = right.take(pc.sort_indices(right, sort_keys=[("item", "ascending")]))
         ids = right.column("item").combine_chunks()
         sizes, d2, place = nearest_in_block(
-            to_matrix(left.column("vec")), to_matrix(right.column("item_vec")), want
+            to_matrix(left.column("vec")), to_matrix(right.column("item_vec")), want,
+            ids.dictionary_encode().indices.to_numpy() if repeated else None,
         )
         bound = pc.fill_null(left.column("bound"), np.inf).to_numpy()
         row = np.repeat(np.arange(len(sizes)), sizes)
-        use = np.round(d2, TIE_DIGITS) <= np.round(bound, TIE_DIGITS)[row]
+        use = tie_key(d2) <= tie_key(bound)[row]
         sizes = np.bincount(row[use], minlength=len(sizes))
         return left.select(cols).append_column("list", _as_lists(ids, sizes, d2[use], place[use]))
 
@@ -328,11 +349,12 @@ def _search(
         *[F.col(c).alias(f"item_{c}") for c in key],
     )
     spark = asked.sparkSession
-    tasks = max(
+    # Groups are whole blocks, so a few of them are enough for a task, however many there are.
+    least = max(
         4 * spark.sparkContext.defaultParallelism,
         int(spark.conf.get("spark.sql.shuffle.partitions")),
     )
-    tasks = max(1, min(groups, tasks))
+    tasks = max(1, min(groups, max(least, groups // GROUPS_PER_TASK)))
     item_key = [f"item_{c}" for c in key]
     return (
         asked.repartition(tasks, *key).groupBy(*key)
@@ -343,27 +365,68 @@ def _search(
 
 def _as_lists(ids: pa.Array, sizes, d2: np.ndarray, place: np.ndarray) -> pa.ListArray:
     entries = pa.StructArray.from_arrays(
-        [pa.array(d2, pa.float64()), ids.take(pa.array(place, pa.int64()))],
-        names=["d2", "neighbour_id"],
+        [pa.array(tie_key(d2)), pa.array(d2, pa.float64()), ids.take(pa.array(place, pa.int64()))],
+        names=["tie", "d2", "neighbour_id"],
     )
     offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), entries)
 
 
+def tie_key(d2: np.ndarray) -> np.ndarray:
+    """Squared distances rounded to TIE_BITS significant bits: equal keys tie."""
+    fraction, exponent = np.frexp(d2)
+    return np.ldexp(np.round(np.ldexp(fraction, TIE_BITS)), exponent - TIE_BITS)
+
+
 def nearest_in_block(
-    q: np.ndarray, x: np.ndarray, want: int
+    q: np.ndarray, x: np.ndarray, want: int, groups: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per query the `want` nearest rows of `x` by (rounded distance, row): sizes, d2, rows.
+    """Per query the `want` nearest rows of `x` by (tie key, row): sizes, d2, rows.
+
+    With `groups`, a number from 0 per row of `x`, only the nearest row of each group counts.
+    """
+    if groups is None:
+        return _nearest_rows(q, x, want)
+    goal = min(want, len(np.unique(groups)))
+    left, ask = np.arange(len(q)), want
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    while len(left):
+        ask = min(ask, len(x))
+        sizes, d2, place = _nearest_rows(q[left], x, ask)
+        row = np.repeat(np.arange(len(left)), sizes)
+        _, first = np.unique(row * (int(groups.max()) + 1) + groups[place], return_index=True)
+        first.sort()
+        row, d2, place = row[first], d2[first], place[first]
+        counts = np.bincount(row, minlength=len(left))
+        full = counts >= goal
+        begin = np.cumsum(counts) - counts
+        keep = full[row] & (np.arange(len(row)) - begin[row] < want)
+        found.append((left[row[keep]], d2[keep], place[keep]))
+        left, ask = left[~full], 4 * ask
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+    row, d2, place = (np.concatenate(c) for c in zip(*found))
+    order = np.argsort(row, kind="stable")
+    return np.bincount(row, minlength=len(q)), d2[order], place[order]
+
 
-    Matrix products choose the candidates, with room for their rounding error; those are measured
+def _nearest_rows(q: np.ndarray, x: np.ndarray, want: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Matrix products choose the candidates, with room for their rounding error; those are measured
     again by direct difference, so that equal vectors tie exactly.
     """
     if len(q) == 0:
         return np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
-    if not (np.isfinite(q).all() and np.isfinite(x).all()):
-        raise ValueError("vectors must be finite")
-    centre = x.mean(axis=0)  # moving all points changes no distance and keeps the errors small
-    single = _Rough(q - centre, x - centre, np.float32)
+    largest = max(np.abs(q).max(initial=0), np.abs(x).max(initial=0))
+    if not largest <= LARGEST:
+        raise ValueError("vectors must be finite, and small enough for finite distances")
+    # Moving all points changes no distance and keeps the errors small; a common scale keeps the
+    # products within the number type.
+    centre = x.mean(axis=0)
+    far = max(np.abs(q - centre).max(initial=0), np.abs(x - centre).max(initial=0)) or 1.0
+    near_q, near_x = (q - centre) / far, (x - centre) / far
+    single = _Rough(near_q, near_x, np.float32)
+    if single.weak:
+        single = _Rough(near_q, near_x, np.float64)
     double = None
     sizes, dists, places = [], [], []
     step = max(SLICE_VALUES // max(len(x), 1), 1)
@@ -375,14 +438,17 @@ def nearest_in_block(
         else:
             row, col = single.candidates(part, want)
             if len(row) > MANY_CANDIDATES * want * n:
-                double = double or _Rough(q - centre, x - centre, np.float64)
+                double = double or _Rough(near_q, near_x, np.float64)
                 row, col = double.candidates(part, want)
         d2 = _measured(q[part], x, row, col)
-        order = np.lexsort((col, np.round(d2, TIE_DIGITS), row))
+        order = np.lexsort((col, tie_key(d2), row))
         row, col, d2 = row[order], col[order], d2[order]
         first = np.searchsorted(row, np.arange(n))
         keep = np.arange(len(row)) - first[row] < want
-        sizes.append(np.bincount(row[keep], minlength=n))
+        found = np.bincount(row[keep], minlength=n)
+        if (found < min(want, len(x))).any():
+            raise ArithmeticError("candidates were lost")
+        sizes.append(found)
         dists.append(d2[keep])
         places.append(col[keep])
     return np.concatenate(sizes), np.concatenate(dists), np.concatenate(places)
@@ -401,12 +467,14 @@ class _Rough:
         # A sum of `dim` products errs by at most dim * eps times the product of the lengths, and
         # that product is at most half the sum of their squares.
         self.error = 2.0 * (x.shape[1] + 8) * float(np.finfo(kind).eps)
+        # Squares so small against the common scale could vanish in single precision.
+        self.weak = kind == np.float32 and (self.qq.min() + self.xx.max()) < 1e-12
 
     def candidates(self, part: slice, want: int) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query, item) that hold every query's `want` nearest and all that tie with them."""
         rough = self.q[part] @ self.x
         rows, items = rough.shape
-        room = 4 * 10.0**-TIE_DIGITS + 2.0 * self.error * (self.qq[part] + self.xx.max())
+        room = (2.0 * self.error + TIE_ROOM) * (self.qq[part] + self.xx.max())
         width = items // STRANDS
         if width < 2 * want:
             return np.nonzero(rough <= self._limits(rough, want, room))
@@ -493,7 +561,7 @@ class _Cells:
             ends = np.cumsum(lengths)
             bound = np.full(len(x), np.inf)
             full = lengths >= want
-            bound[full] = np.sqrt(values[ends[full] - 1] + 4 * 10.0**-TIE_DIGITS)
+            bound[full] = np.sqrt(values[ends[full] - 1] * (1 + TIE_ROOM))
             size = np.sqrt(np.einsum("ij,ij->i", x, x)) if len(x) else np.zeros(0)
             counts, cells = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int32)]
             for part, d in self._distances(x) if len(x) else ():
@@ -506,7 +574,7 @@ class _Cells:
                 apart = between > 1e-3 * scale[:, None]
                 plane = (d**2 - d[row, mine][:, None] ** 2) / np.where(apart, 2.0 * between, np.inf)
                 low = np.maximum(low, plane)
-                slack = 1e-6 * scale + 1e-9
+                slack = 1e-6 * scale
                 open_ = low <= (bound[part] + slack)[:, None]
                 open_ &= np.isfinite(far)[None, :]
                 counts.append(open_.sum(axis=1))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vecshelf.constants import BASELINE_DIM, NEIGHBOURS
 from vecshelf.operators.clean import clean_baseline, split_rejects
+from vecshelf.operators.counts import RunCounts
 from vecshelf.operators.embed import sentence_vectors
 from vecshelf.operators.lists import format_lists
 from vecshelf.operators.neighbours import knn_lists
@@ -21,9 +22,9 @@ def baseline_tokens(
     stopwords: Iterable[str] | DataFrame = (),
     segmenter: Callable[[str], Iterable[str]] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """`(id, tokens, clean)` and the rejects (no name, or the segmenter failed)."""
+    """`(id, tokens, clean)` and the rejects (no id or name, or the segmenter failed)."""
     good, unnamed = named(catalogue)
-    cut = clean_baseline(good, "name", stopwords, segmenter, id="id")
+    cut = durable(clean_baseline(good, "name", stopwords, segmenter, id="id"))
     kept, failed = split_rejects(
         cut, "id", "name", {"segmenter_failed": F.col("tokens").isNull()}
     )
@@ -41,12 +42,23 @@ def baseline_lists(
     eos=None,
     drop: str | None = "self",
     skip_empty: bool = False,
-) -> DataFrame:
-    """`(id, value)`. Names without any known word have the zero vector and tie with each other;
-    `skip_empty` leaves them out of the search."""
-    tokens, _ = baseline_tokens(catalogue, stopwords, segmenter)
-    vectors = sentence_vectors(tokens, "id", "tokens", word_vectors, dim, mode, eos)
+    counts: RunCounts | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """`(id, value)`, each product's nearest products as text, and the rejects.
+
+    Names without any known word have the zero vector and tie with each other; `skip_empty` sends
+    them to the rejects instead.
+    """
+    watch = counts.watch if counts else (lambda _, df: df)
+    loaded = durable(watch("loaded", catalogue))
+    tokens, rejects = baseline_tokens(loaded, stopwords, segmenter)
+    cleaned = durable(watch("cleaned", tokens))
+    vectors = sentence_vectors(cleaned, "id", "tokens", word_vectors, dim, mode, eos)
     if skip_empty:
-        vectors = vectors.where(~F.col("is_empty"))
-    vectors = durable(vectors.select("id", "embedding"))
-    return format_lists(knn_lists(vectors, k=k, drop=drop))
+        vectors = durable(vectors)
+        empty = vectors.where("is_empty").select("id", F.lit("").alias("text"), F.lit("no_known_word").alias("reason"))
+        rejects = rejects.unionByName(empty)
+        vectors = vectors.where("not is_empty")
+    vectors = durable(watch("embedded", vectors.select("id", "embedding")))
+    lists = watch("searched", format_lists(knn_lists(vectors, k=k, drop=drop)))
+    return lists, watch("rejected", rejects)

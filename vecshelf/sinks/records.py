@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from itertools import islice
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecshelf.constants import KEY_PREFIX, TTL_SECONDS
 from vecshelf.functions.text import record_key
+from vecshelf.session import durable
 
 Writer = Callable[[list[tuple]], None]
 
@@ -47,6 +48,12 @@ def live(published: DataFrame, now: Column) -> DataFrame:
     return latest(published).where(F.col("expires_at") > now)
 
 
+def compact(spark: SparkSession, path: str, to: str, now: Column) -> DataFrame:
+    """Write the live records of `path` to the new folder `to`; superseded and expired ones go."""
+    live(spark.read.parquet(path), now).write.parquet(to)
+    return spark.read.parquet(to)
+
+
 def publish(
     lists: DataFrame,
     model: str | None,
@@ -57,14 +64,15 @@ def publish(
     writer: Callable[[], Writer] | None = None,
     batch: int = 10_000,
 ) -> DataFrame:
-    """Make records and write them, one per key; returns them.
+    """Make records and write them, one per key; returns them. Records are computed once for all targets.
 
-    `path`: appended as Parquet; readers use `latest` or `live`, so a repeated run is harmless.
+    `path`: appended as Parquet; readers use `latest` or `live`, so a repeated run is harmless, and
+    `compact` takes out what no reader sees.
     `writer`: called once per partition to open an external store; the function it gives gets the
     records in batches of `(key, value, expires_at)`. Setting a key twice to the same record must
     be harmless there, since a lost task runs again.
     """
-    made = latest(records(lists, model, now, prefix, ttl_s))
+    made = durable(latest(records(lists, model, now, prefix, ttl_s)))
     if path is not None:
         made.write.mode("append").parquet(path)
     if writer is not None:

@@ -32,5 +32,6 @@ def read_catalogue(
 
 
 def named(catalogue: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with a name, and rejects for those without."""
-    return split_rejects(catalogue, "id", "name", {"null_name": F.col("name").isNull()})
+    """Rows with an id and a name, and rejects for those without."""
+    checks = {"null_id": F.col("id").isNull(), "null_name": F.col("name").isNull()}
+    return split_rejects(catalogue, "id", "name", checks)
