@@ -2,12 +2,13 @@
 
 import contextlib
 import io
+import os
 
 from pyspark.sql import functions as F
 
 from vecshelf.operators import clean, encode
 from vecshelf.operators.lookup import lookup_join
-from vecshelf.session import durable, shared_folder, spread
+from vecshelf.session import durable, owned, shared_folder, spread
 from vecshelf.sources.catalogue import read_catalogue
 
 SF = "/root/testdata/sf0.001"
@@ -52,11 +53,11 @@ def test_copies_are_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan(found)
 
 
-def test_lookup_broadcasts_only_the_bounded_list(spark):
+def test_lookup_broadcasts_hot_keys_without_a_one_task_limit(spark):
     left = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     right = left.select("text").distinct().withColumn("v", F.lit(1))
     text = plan(lookup_join(left, right, "text", spread=["doc_id"]))
-    assert "TakeOrderedAndProject" in text
+    assert "BroadcastHashJoin" in text and "Limit" not in text
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
@@ -72,3 +73,11 @@ def test_spread_leaves_large_scans_alone(spark):
     assert spread(scan).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(0, 100, 1, 16)
     assert spread(many) is many
+
+
+def test_owned_folders_go_with_their_block(spark):
+    with owned(spark):
+        inside = durable(spark.range(3))
+        assert inside.count() == 3
+        path = inside.inputFiles()[0].rpartition("/")[0]
+    assert not os.path.exists(path.removeprefix("file://"))

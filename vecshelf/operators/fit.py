@@ -36,6 +36,7 @@ from vecshelf.functions.vectors import (
     unit_rows,
 )
 from vecshelf.operators import head as H
+from vecshelf.session import owned
 
 _PARTIAL = "class bigint, sums array<double>, loss double, hits bigint, n bigint"
 
@@ -322,7 +323,8 @@ class ArcHead:
         return part.where(turn == batch)
 
     def _evaluate(self, dev, state, id, embedding, label, step) -> dict:
-        found = H.evaluate(dev, state.weights, id, embedding, label, s=self.s).first()
+        with owned(dev.sparkSession):
+            found = H.evaluate(dev, state.weights, id, embedding, label, s=self.s).first()
         return {
             "step": step,
             "dev_loss": found["loss_batch_mean"],

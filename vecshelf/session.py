@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,10 +52,34 @@ def durable(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/vecshelf-{uuid.uuid4().hex}"
+    for folders in _owners:
+        folders.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_owners: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def owned(spark: SparkSession) -> Iterator[None]:
+    """Delete what `durable` writes within this block when it ends.
+
+    Put the whole run in it, the writing of its results included: frames made inside cannot be read
+    after it.
+    """
+    folders: list[str] = []
+    _owners.append(folders)
+    try:
+        yield
+    finally:
+        _owners[:] = [held for held in _owners if held is not folders]
+        jvm = spark.sparkContext._jvm
+        for folder in folders:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Share out the rows of a small scan over all cores before heavy work on each row.
 
