@@ -342,6 +342,18 @@ SELECT batch_id, count(*) AS n_rows, max(width) AS width,
 FROM padded GROUP BY batch_id""",
         "embed_names": f"WITH cat AS (SELECT p_partkey AS id, p_name AS name FROM part), {hashed('cat', 'name')} {long_list('h', 'v')}",
         "embed_documents": f"WITH cat AS (SELECT doc_id AS id, text FROM documents), {hashed('cat', 'text')} {long_list('h', 'v')}",
+        "embed_ids": f"""WITH {DOC_TOKENS}, {vocabulary('doc_tokens')}, {coded('doc_tokens', 'toks', '48', 'cd')},
+ids AS (SELECT id, unnest(flatten([[2], coalesce(ids, []), [3]])) * 2654435761 % 4294967296 AS n
+        FROM doc_tokens LEFT JOIN cd USING (id)),
+slots AS (SELECT id, n % {ENCODER_DIM} AS place, sum(1 - 2 * ((n // {ENCODER_DIM}) % 2)) AS v FROM ids GROUP BY 1, 2)
+SELECT d.id, j AS place, {r6('coalesce(v, 0)::DOUBLE')} AS value
+FROM doc_tokens d CROSS JOIN range({ENCODER_DIM}) t(j) LEFT JOIN slots s ON s.id = d.id AND s.place = t.j""",
+        "train_head_run": f"""{CSV}, good AS (SELECT f[1] AS text FROM cut WHERE len(f) = 2),
+toks AS (SELECT {tokens('text')} AS toks FROM good)
+SELECT (SELECT count(*) FROM cut) AS loaded, (SELECT count(*) FROM cut WHERE len(f) <> 2) AS rejected,
+  (SELECT count(*) FROM good) AS embedded, TRUE AS balanced,
+  4 + (SELECT count(DISTINCT t) FROM (SELECT unnest(toks) AS t FROM toks)) AS words,
+  (SELECT count(*) FROM cut WHERE len(f) <> 2) AS reject_rows, 2 * {ENCODER_DIM} AS saved_values, 1 AS evaluations""",
         "sentence_vector": f"WITH {DOC_TOKENS}, {words('doc_tokens', WORD_DIM)}, {averaged('doc_tokens', WORD_DIM)} SELECT id, j AS place, {r6('v')} AS value FROM means",
         "sentence_vector_sup": f"WITH {DOC_TOKENS}, {words('doc_tokens', WORD_DIM)}, {averaged('doc_tokens', WORD_DIM, True)} SELECT id, j AS place, {r6('v')} AS value FROM means",
         "l2_normalise": f"WITH {MOVED} {long_list('m', 'v')}",

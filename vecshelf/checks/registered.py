@@ -14,12 +14,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vecshelf.constants import MAX_LEN_INFER
 from vecshelf.functions import text as X
 from vecshelf.functions import vectors as V
 from vecshelf.operators import batching, clean, compare, encode, fit, head, neighbours
 from vecshelf.operators.counts import RunCounts
 from vecshelf.operators.embed import (
     HashingEncoder,
+    HashingIdEncoder,
     dimension_range,
     embed,
     sentence_vectors,
@@ -27,6 +29,7 @@ from vecshelf.operators.embed import (
 from vecshelf.operators.lists import neighbour_lists
 from vecshelf.plans.baseline import baseline_lists, baseline_tokens
 from vecshelf.plans.deep import deep_lists
+from vecshelf.plans.train import train_head
 from vecshelf.session import durable, shared_folder, spread
 from vecshelf.sinks import records as R
 from vecshelf.sinks.heads import load_head, save_head
@@ -405,6 +408,17 @@ def embed_documents(spark, sf):
     )
 
 
+@query
+def embed_ids(spark, sf):
+    """An encoder over token ids, cut to the length that lists are made with."""
+    tokens = document_tokens(spark, sf)
+    coded = encode.encode(tokens, "id", "tokens", encode.build_vocab(tokens), max_seq_len=MAX_LEN_INFER)
+    columns = ["input_ids", "token_type_ids"]
+    return long_form(
+        embed(coded, "id", columns, lambda: HashingIdEncoder(ENCODER_DIM), ENCODER_DIM), "id", "embedding"
+    )
+
+
 @query
 def sentence_vector(spark, sf):
     tokens = document_tokens(spark, sf)
@@ -752,6 +766,29 @@ def run_summary(spark, sf):
     return counts.summary(spark, parts=("embedded", "rejected"))
 
 
+@query
+def train_head_run(spark, sf):
+    """Labelled files to a saved head: the counts of a whole training run, read back from its folder."""
+    files, saved = scratch(spark), scratch(spark)
+    lines = labelled_lines(spark, sf, ",", False)
+    lines.write.option("header", True).option("quote", "").option("sep", "\x01").csv(files)
+    run = train_head(
+        spark, files, lambda: HashingIdEncoder(ENCODER_DIM), ENCODER_DIM, n_classes=2, dev_path=files,
+        save_path=saved, epochs=2, lr=0.05, save_every=2, log_every=1,
+    )
+    vocab = spark.read.parquet(f"{saved}/vocab/step=2")
+    state = load_head(spark, saved, 2)
+    evaluated = [h for h in run.model.history if "dev_loss" in h]
+    return run.counts.select("loaded", "rejected", "embedded", "balanced").withColumns(
+        {
+            "words": F.lit(vocab.count()),
+            "reject_rows": F.lit(run.rejects.count()),
+            "saved_values": F.lit(int(state.weights.size)).cast("bigint"),
+            "evaluations": F.lit(len(evaluated)).cast("bigint"),
+        }
+    )
+
+
 @query
 def list_overlap(spark, sf):
     """Lists by distance against lists by angle of shifted vectors."""

@@ -18,7 +18,7 @@ from vecshelf.functions.vectors import DOUBLES, content_key, from_matrix, l2_nor
 from vecshelf.operators.lookup import lookup_join
 from vecshelf.session import durable
 
-Encoder = Callable[[Sequence[str]], np.ndarray]
+Encoder = Callable[..., np.ndarray]  # one list per input column, one matrix row per input row
 
 BROADCAST_BYTES = 256 * 1024 * 1024
 GATHER_VALUES = 8 * 1024 * 1024  # numbers gathered at a time while averaging
@@ -53,10 +53,27 @@ class HashingEncoder:
         return out
 
 
+class HashingIdEncoder:
+    """The same for token ids and their segment numbers: an id adds plus or minus (1 + segment)."""
+
+    def __init__(self, dim: int):
+        self.dim = dim
+
+    def __call__(self, ids: Sequence[Sequence[int]], kinds: Sequence[Sequence[int]]) -> np.ndarray:
+        sizes = [len(row) for row in ids]
+        flat = np.array([i for row in ids for i in row], dtype=np.int64)
+        kind = np.array([i for row in kinds for i in row], dtype=np.int64)
+        number = flat * 2_654_435_761 % 2**32
+        sign = 1 - 2 * (number // self.dim % 2)
+        at = np.repeat(np.arange(len(sizes)), sizes) * self.dim + number % self.dim
+        sums = np.bincount(at, sign * (1 + kind), len(sizes) * self.dim)
+        return sums.reshape(len(sizes), self.dim).astype(np.float32)
+
+
 def embed(
     df: DataFrame,
     id: str,
-    text: str,
+    text: str | Sequence[str],
     encoder_factory: Callable[[], Encoder],
     dim: int,
     distinct: bool = True,
@@ -65,12 +82,14 @@ def embed(
 ) -> DataFrame:
     """Add the encoder's float vector of `text`. The encoder is built once per partition.
 
-    With `distinct`, each different text is encoded once, however often it occurs, and the vectors
+    `text` names the input column, or several, such as token ids and segment numbers; the encoder
+    gets one list per column. With `distinct`, each different input is encoded once, however often it occurs, and the vectors
     are joined back; rows without a text are left out. Encoding is spread over `partitions` tasks (default: the larger of the
     cluster's cores and the shuffle partitions), since its cost does not show in the byte sizes
     by which partitions get merged.
     """
     spark = df.sparkSession
+    inputs = [text] if isinstance(text, str) else list(text)
     if partitions is None:
         partitions = max(
             spark.sparkContext.defaultParallelism,
@@ -83,7 +102,7 @@ def embed(
             if batch.num_rows == 0:
                 continue
             encoder = encoder or encoder_factory()
-            matrix = np.asarray(encoder(batch.column(text).to_pylist()), dtype=np.float32)
+            matrix = np.asarray(encoder(*[batch.column(c).to_pylist() for c in inputs]), dtype=np.float32)
             if matrix.shape != (batch.num_rows, dim):
                 raise ValueError(f"encoder gave {matrix.shape}, expected {(batch.num_rows, dim)}")
             yield pa.RecordBatch.from_arrays(
@@ -94,10 +113,11 @@ def embed(
     if not distinct:
         schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))])
         return df.mapInArrow(run, schema)
-    # Texts are told apart by two 64-bit hashes; the text itself goes to the encoder only.
-    k1, k2 = content_key(F.col(text))
-    keyed = durable(df.where(F.col(text).isNotNull()).withColumn("_k1", k1).withColumn("_k2", k2))
-    texts = keyed.select(text, "_k1", "_k2").dropDuplicates(["_k1", "_k2"]).repartition(partitions, "_k1", "_k2")
+    # Inputs are told apart by two 64-bit hashes; they themselves go to the encoder only.
+    k1, k2 = content_key(F.struct(*inputs))
+    there = df.where(" and ".join(f"`{c}` is not null" for c in inputs))
+    keyed = durable(there.withColumn("_k1", k1).withColumn("_k2", k2))
+    texts = keyed.select(*inputs, "_k1", "_k2").dropDuplicates(["_k1", "_k2"]).repartition(partitions, "_k1", "_k2")
     schema = T.StructType([*texts.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))])
     encoded = texts.mapInArrow(run, schema).select("_k1", "_k2", out)
     return lookup_join(keyed, encoded, ["_k1", "_k2"], spread=[id]).drop("_k1", "_k2")
