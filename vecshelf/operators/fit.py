@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
@@ -36,7 +37,7 @@ from vecshelf.functions.vectors import (
     unit_rows,
 )
 from vecshelf.operators import head as H
-from vecshelf.session import owned
+from vecshelf.session import durable, owned
 
 _PARTIAL = "class bigint, sums array<double>, loss double, hits bigint, n bigint"
 
@@ -251,12 +252,21 @@ class ArcHead:
         model = ArcHeadModel(state)
         total = self.epochs * self.sub_batches
         rows = df.select(id, embedding, label).persist()
+        epoch_rows = contextlib.ExitStack()
+        laid, laid_epoch = rows, -1
         try:
             seen = hits = 0
             clock, logged = time.monotonic(), state.step
             for step in range(state.step, total):
                 epoch, batch = divmod(step, self.sub_batches)
-                part = self._sub_batch(rows, id, epoch, batch, step)
+                if self.sub_batches > 1 and epoch != laid_epoch:
+                    # Each epoch deals its rows out once; a step then reads its own part only.
+                    epoch_rows.close()
+                    epoch_rows.enter_context(owned(spark))
+                    turn = F.pmod(F.xxhash64(F.lit(self.seed), F.lit(epoch), F.col(id)), F.lit(self.sub_batches))
+                    laid, laid_epoch = durable(rows.withColumn("_turn", turn.cast("int")), by="_turn"), epoch
+                part = laid if self.sub_batches == 1 else laid.where(F.col("_turn") == batch)
+                part = part.withColumn("_draw", dropout_draw(F.col(id), self.seed, step))
                 sums = partial_sums(
                     part, state.weights, label, embedding, self.s, self.m, self.easy, self.dropout
                 ).collect()
@@ -294,6 +304,7 @@ class ArcHead:
                     if save_path is not None:
                         save_head(spark, state, save_path, vocab)
         finally:
+            epoch_rows.close()
             rows.unpersist()
         return model
 
@@ -315,13 +326,6 @@ class ArcHead:
     def _rate(self, step: int, total: int) -> float:
         return rate_at(step, total, self.lr, self.warmup)
 
-    def _sub_batch(self, rows: DataFrame, id: str, epoch: int, batch: int, step: int) -> DataFrame:
-        part = rows.withColumn("_draw", dropout_draw(F.col(id), self.seed, step))
-        if self.sub_batches == 1:
-            return part
-        turn = F.pmod(F.xxhash64(F.lit(self.seed), F.lit(epoch), F.col(id)), F.lit(self.sub_batches))
-        return part.where(turn == batch)
-
     def _evaluate(self, dev, state, id, embedding, label, step) -> dict:
         with owned(dev.sparkSession):
             found = H.evaluate(dev, state.weights, id, embedding, label, s=self.s).first()

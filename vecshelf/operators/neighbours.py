@@ -232,19 +232,21 @@ def _search_cells(
         _with_chunk(_with_sub(asked, subs), chunks), _copied(stock, chunks), want,
         sum(subs[c] * n for c, n in chunks.items()), repeated, keep_vec=True,
     ))
-    # Second pass: the other blocks of every cell that may hold something closer.
+    # Second pass: the other blocks of every cell that may hold something closer. What is written
+    # has each query's vector once, beside the numbers of those cells.
     reach = cells.within(near, far, want)
     routed = durable(
         first.select(
             "k1", "k2", "vec", F.col("cell").alias("home"), F.col("sub").alias("home_sub"),
             F.when(F.size("list") >= want, F.element_at("list.d2", -1)).alias("bound"),
-            F.explode(reach(F.col("vec"), F.col("cell"), F.col("list.d2"))).alias("cell"),
+            reach(F.col("vec"), F.col("cell"), F.col("list.d2")).alias("cells"),
         )
     )
-    calls = {r["cell"]: r["count"] for r in routed.groupBy("cell").count().collect()}
+    called = routed.select(F.explode("cells").alias("cell")).groupBy("cell").count()
+    calls = {r["cell"]: r["count"] for r in called.collect()}
     again = {c: math.ceil(v / rows) for c, v in calls.items()}
     others = (
-        _mapped(routed, "cell", subs, "_subs")
+        _mapped(routed.withColumn("cell", F.explode("cells")).drop("cells"), "cell", subs, "_subs")
         .withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("_subs") - 1)))
         .where((F.col("cell") != F.col("home")) | (F.col("sub") != F.col("home_sub")))
     )

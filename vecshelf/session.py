@@ -44,8 +44,8 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write `df` once to the shared folder and read on from there.
+def durable(df: DataFrame, by: str | None = None) -> DataFrame:
+    """Write `df` once to the shared folder and read on from there; `by` names a column to lay it out by.
 
     Used where several jobs read a result, or must see the same rows. A written table survives the
     loss of executors, cuts the lineage, and later jobs read only the columns they need.
@@ -54,7 +54,7 @@ def durable(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/vecshelf-{uuid.uuid4().hex}"
     for folders in _owners:
         folders.append(path)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
