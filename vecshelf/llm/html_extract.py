@@ -24,6 +24,7 @@ PATH, WORDS, OTHER, HIDDEN = 384, 32, 6, 24
 INPUT = PATH + WORDS + OTHER
 TRAIN_PAGES = 300  # bound of the sample
 TRAIN_BLOCKS = 150  # of a sampled page that training reads
+RUNNING_WORDS = 8  # of a block that is taken for content where the markup does not say
 EPOCHS, BATCH, RATE = 14, 16, 0.01
 SEED = 41
 
@@ -211,6 +212,11 @@ def train(pages: list[Page], epochs: int = EPOCHS) -> Labeller:
     for page in pages:
         page = Page(page.paths[:TRAIN_BLOCKS], page.texts[:TRAIN_BLOCKS])
         labels = [place_says(p) for p in page.paths]
+        if True not in labels:  # no container that says so: running text is content
+            labels = [
+                True if said is None and "a" not in path and len(text.split()) >= RUNNING_WORDS else said
+                for said, path, text in zip(labels, page.paths, page.texts)
+            ]
         if any(label is not None for label in labels):
             examples += [(page, labels), _planted(page, labels, rng), _planted(page, labels, rng)]
     ready = []
