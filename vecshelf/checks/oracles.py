@@ -297,6 +297,20 @@ def oracles() -> dict[str, str]:
     topped = "SELECT *, max(z) OVER (PARTITION BY id) AS top FROM"
     scored = f"WITH {E}, {CENTROIDS}, {COSINES}"
     clean_name = without_spans(without_markers("name"))
+    gradient = f"""{scored},
+y AS ({topped} (SELECT id, label, class, cos, {margin()} AS z FROM z)),
+p AS (SELECT *, exp(z - top) / sum(exp(z - top)) OVER (PARTITION BY id) AS p FROM y),
+g AS (
+  SELECT id, class, 64.0 * (p - CASE WHEN class = label THEN 1 ELSE 0 END)
+    * CASE WHEN class = label AND cos > cos(pi() - 0.4) THEN cos(0.4::DOUBLE)
+        + sin(0.4::DOUBLE) * cos / greatest(sqrt(greatest(1 - cos * cos, 0)), 1e-7) ELSE 1 END
+    / (SELECT count(*) FROM e) AS g FROM p),
+x AS (SELECT id, unnest(v) / norm AS x, generate_subscripts(v, 1) - 1 AS dim
+      FROM (SELECT id, v, sqrt(list_dot_product(v, v)) AS norm FROM e)),
+a AS (SELECT class, dim, sum(g * x) AS a FROM g JOIN x USING (id) GROUP BY class, dim),
+u AS (SELECT class, unnest(w) / norm AS u, generate_subscripts(w, 1) - 1 AS dim, norm
+      FROM (SELECT class, w, sqrt(list_dot_product(w, w)) AS norm FROM c)),
+d AS (SELECT *, sum(a * u) OVER (PARTITION BY class) AS dot FROM a JOIN u USING (class, dim))"""
     found = {
         "catalogue_up": "SELECT DISTINCT p_brand AS id, p_name AS name FROM part WHERE p_type = 'ECONOMY'",
         "catalogue_one_row": "SELECT p_brand AS id, min(p_name) AS name FROM part WHERE p_type = 'ECONOMY' GROUP BY p_brand",
@@ -385,21 +399,13 @@ SELECT count(*) AS n,
   {r6('(SELECT avg(b) FROM (SELECT avg(loss) AS b FROM l GROUP BY batch_id))')} AS loss_batch_mean,
   {r6('avg(loss)')} AS loss_row_mean, {r6('avg(scaled)')} AS loss_scaled, {r6('avg(hit)')} AS accuracy FROM l""",
         "predict": f"{scored} SELECT id, arg_max(class, (cos, -class)) AS predicted FROM z GROUP BY id",
-        "grad_step": f"""{scored},
-y AS ({topped} (SELECT id, label, class, cos, {margin()} AS z FROM z)),
-p AS (SELECT *, exp(z - top) / sum(exp(z - top)) OVER (PARTITION BY id) AS p FROM y),
-g AS (
-  SELECT id, class, 64.0 * (p - CASE WHEN class = label THEN 1 ELSE 0 END)
-    * CASE WHEN class = label AND cos > cos(pi() - 0.4) THEN cos(0.4::DOUBLE)
-        + sin(0.4::DOUBLE) * cos / greatest(sqrt(greatest(1 - cos * cos, 0)), 1e-7) ELSE 1 END
-    / (SELECT count(*) FROM e) AS g FROM p),
-x AS (SELECT id, unnest(v) / norm AS x, generate_subscripts(v, 1) - 1 AS dim
-      FROM (SELECT id, v, sqrt(list_dot_product(v, v)) AS norm FROM e)),
-a AS (SELECT class, dim, sum(g * x) AS a FROM g JOIN x USING (id) GROUP BY class, dim),
-u AS (SELECT class, unnest(w) / norm AS u, generate_subscripts(w, 1) - 1 AS dim, norm
-      FROM (SELECT class, w, sqrt(list_dot_product(w, w)) AS norm FROM c)),
-d AS (SELECT *, sum(a * u) OVER (PARTITION BY class) AS dot FROM a JOIN u USING (class, dim))
-SELECT class, dim, {r6('(a - u * dot) / norm')} AS g FROM d""",
+        "grad_step": f"{gradient} SELECT class, dim, {r6('(a - u * dot) / norm')} AS g FROM d",
+        # The first AdamW step: both moments are the gradient's own, so the move is nearly its sign.
+        "fit_step": f"""{gradient}, g2 AS (SELECT class, dim, u * norm AS w, (a - u * dot) / norm AS g FROM d)
+SELECT class AS id, dim AS place, {r6('w * (1 - 0.05::DOUBLE * 1e-4::DOUBLE) - 0.05::DOUBLE * g / (abs(g) + 1e-8::DOUBLE)')} AS value FROM g2""",
+        "learning_rate": """SELECT vec_id AS step, round(CASE WHEN vec_id < n // 4 THEN 1e-5::DOUBLE * vec_id / (n // 4)
+  ELSE 1e-5::DOUBLE * (n - vec_id) / (n - n // 4) END * 1e6, 9) + 0.0 AS rate
+FROM embeddings, (SELECT count(*) AS n FROM embeddings)""",
         "knn_self": f"WITH {E} {ranked('e', 'e', 12, other)}",
         "knn_drop_first": f"WITH {E} {ranked('e', 'e', 12, skip=1)}",
         "knn_blocks": f"WITH {E} {ranked('e', 'e', 12, other)}",

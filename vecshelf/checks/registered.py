@@ -568,6 +568,28 @@ def fit_head(spark, sf):
     return model.history_table(spark)
 
 
+@query
+def fit_step(spark, sf):
+    """One whole step of fitting, from the class centroids: gradient, AdamW, decay."""
+    rows, start = vectors(spark, sf), head.class_matrix(_centroids(spark, sf))
+    model = fit.ArcHead(
+        n_classes=start.shape[0], dim=start.shape[1], epochs=1, lr=0.05, warmup=0.0, dropout=0.0
+    ).fit(rows, init=start)
+    return long_form(model.weight_table(spark).withColumnRenamed("class", "id"), "id", "w")
+
+
+@query
+def learning_rate(spark, sf):
+    """The rate of each step of a run with as many steps as there are vectors, in millionths."""
+    total = vectors(spark, sf).count()
+
+    @F.pandas_udf("double")
+    def rate(steps):
+        return steps.map(lambda step: fit.rate_at(step, total))
+
+    return vectors(spark, sf).select(F.col("id").alias("step"), (F.round(rate("id") * 1e6, 9) + 0.0).alias("rate"))
+
+
 @query
 def saved_head(spark, sf):
     """Centroids saved as a head and read back."""
