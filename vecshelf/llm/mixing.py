@@ -72,9 +72,8 @@ def source_targets(
     reached = F.when(F.col("level") <= F.col("most") / F.col("weight"), F.struct("place", "level"))
     chosen = F.min(reached).over(Window.partitionBy(F.lit(1)))["level"]
     target = F.least("most", chosen * F.col("weight"))
-    return levels.select("source", "source_size", "rank", target.alias("target")).withColumn(
-        "whole", F.sum("target").over(Window.partitionBy(F.lit(1)))
-    )
+    whole = F.sum("source_size").over(Window.partitionBy(F.lit(1))) * float(min(share, repeats))
+    return levels.select("source", "source_size", "rank", target.alias("target"), whole.alias("whole"))
 
 
 def mixed(

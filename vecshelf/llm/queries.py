@@ -58,7 +58,8 @@ def op3_url_filter(spark, sf):
 
 @query
 def op4_source_mix(spark, sf):
-    return mixing.mixed(table(spark, sf, "documents")).drop("source", "positions")
+    mixed = mixing.mixed(table(spark, sf, "documents")).withColumn("first_position", F.get("positions", F.lit(0)))
+    return mixed.drop("source", "positions").orderBy(F.asc_nulls_last("first_position"), "doc_id")
 
 
 @query
@@ -115,6 +116,26 @@ def op10_toxicity(spark, sf):
     )
 
 
+def _inverse_sql(schedule: mixing.Schedule, share: str) -> str:
+    """When a schedule's integral reaches a share of its whole, as `mixing.inverse_demand` has it."""
+    whole, done, cases = mixing.integral(schedule), 0.0, ""
+    for (x, v), (y, w) in zip(schedule, schedule[1:]):
+        slope = (w - v) / (y - x)
+        need = f"greatest({share} * {whole}::DOUBLE - {done}::DOUBLE, 0::DOUBLE)"
+        root = f"({v}::DOUBLE + sqrt(greatest({v * v}::DOUBLE + {2 * slope}::DOUBLE * {need}, 0::DOUBLE)))"
+        done += (v + w) / 2 * (y - x)
+        cases += (
+            f" WHEN {share} * {whole}::DOUBLE <= {done}::DOUBLE THEN "
+            f"least({x}::DOUBLE + CASE WHEN {root} > 0 THEN 2 * {need} / {root} ELSE 0 END, {y}::DOUBLE)"
+        )
+    return f"CASE{cases} ELSE {schedule[-1][0]}::DOUBLE END"
+
+
+_POSITION = " ".join(
+    f"WHEN {i} THEN {_inverse_sql(schedule, 'least((before + size / 2.0::DOUBLE) / target, 1::DOUBLE)')}"
+    for i, schedule in enumerate(mixing.SCHEDULES)
+)
+
 _OP4 = r"""
 WITH sized AS (
     SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key,
@@ -136,23 +157,27 @@ levels AS (
     FROM ranked WINDOW o AS (ORDER BY most / weight, rnk)
 ),
 targets AS (
-    SELECT source, source_size,
+    SELECT source, source_size, (rnk - 1) % 3 AS kind, sum(source_size) OVER () * 1.5::DOUBLE AS whole,
         least(most, weight * (SELECT arg_min(level, place) FROM levels WHERE level <= most / weight)) AS target
     FROM levels
 ),
 placed AS (
-    SELECT s.doc_id, s.size, t.source_size, t.target,
+    SELECT s.doc_id, s.size, t.source_size, t.target, t.kind, t.whole,
         coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, s.doc_id, s.size
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
         CASE WHEN t.source_size > 0 THEN CAST(floor(t.target / t.source_size) AS BIGINT) ELSE 0 END AS passes
     FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
-)
-SELECT doc_id, size, source_size, target,
-    CAST(CASE WHEN size > 0 THEN size * (passes
+),
+taken AS (
+    SELECT *, CAST(CASE WHEN size > 0 THEN size * (passes
         + CASE WHEN before + size / 2.0::DOUBLE <= target - passes * source_size THEN 1 ELSE 0 END)
         ELSE 0 END AS BIGINT) AS taken
-FROM placed
-"""
+    FROM placed
+)
+SELECT doc_id, size, source_size, target, taken,
+    CASE WHEN taken > 0 THEN (CASE kind POSITION END) * whole END AS first_position
+FROM taken
+""".replace("POSITION", _POSITION)
 
 _OP8 = r"""
 WITH rows AS (
