@@ -19,7 +19,8 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """`(value)`: all lines but the first of each file, found by position and never by content.
 
     The first line of a file is the first row of its block that starts at byte 0. A task reads a
-    block's rows in order, so one narrow pass finds it.
+    block's rows in order, so one narrow pass over these blocks finds it; lines of other blocks do not
+    leave the JVM.
     """
     lines = spark.read.text(path).select(
         "value",
@@ -42,7 +43,8 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
                     keep[rows[first]] = False
             yield batch.select(["value"]).filter(pa.array(keep))
 
-    return lines.mapInArrow(skip_headers, "value string")
+    rest = lines.where("not head").select("value")
+    return rest.union(lines.where("head").mapInArrow(skip_headers, "value string"))
 
 
 def parse_labelled(
