@@ -226,21 +226,19 @@ def _search_cells(
         visits = {r["cell"]: r["count"] for r in asked.groupBy("cell").count().collect()}
 
     stock = _with_sub(located.select("id", "k2", "vec", "cell"), subs)
-    # First pass: one block each, so a cell's queries are shared out among its blocks.
+    # First pass: one block each, so a cell's queries are shared out among its blocks. What is written
+    # has each query's vector once, beside the numbers of the cells that may hold something closer.
     chunks = {c: max(1, math.ceil(v / subs[c] / rows)) for c, v in visits.items()}
-    first = durable(_search(
+    reach = cells.within(near, far, want)
+    first = _search(
         _with_chunk(_with_sub(asked, subs), chunks), _copied(stock, chunks), want,
         sum(subs[c] * n for c, n in chunks.items()), repeated, keep_vec=True,
-    ))
-    # Second pass: the other blocks of every cell that may hold something closer. What is written
-    # has each query's vector once, beside the numbers of those cells.
-    reach = cells.within(near, far, want)
-    routed = durable(
-        first.select(
-            "k1", "k2", "vec", F.col("cell").alias("home"), F.col("sub").alias("home_sub"),
-            F.when(F.size("list") >= want, F.element_at("list.d2", -1)).alias("bound"),
-            reach(F.col("vec"), F.col("cell"), F.col("list.d2")).alias("cells"),
-        )
+    )
+    first = durable(first.withColumn("cells", reach(F.col("vec"), F.col("cell"), F.col("list.d2"))))
+    # Second pass: the other blocks of those cells.
+    routed = first.select(
+        "k1", "k2", "vec", F.col("cell").alias("home"), F.col("sub").alias("home_sub"),
+        F.when(F.size("list") >= want, F.element_at("list.d2", -1)).alias("bound"), "cells",
     )
     called = routed.select(F.explode("cells").alias("cell")).groupBy("cell").count()
     calls = {r["cell"]: r["count"] for r in called.collect()}
