@@ -18,7 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecshelf.llm.common import bounded_sample, coded, text_of, text_slices
+from vecshelf.llm.common import BLOCK_BYTES, bounded_sample, coded, text_of, text_slices
+from vecshelf.llm.near_dedup import shingle_sets
 from vecshelf.session import durable
 
 TRAIN_ROWS = 24_000  # bound of the labelled sample
@@ -28,8 +29,11 @@ LEAST_Z = 4.3  # how sure a term's difference must be, as hundreds of thousands
 PREFIXES = range(4, 9)
 NEIGHBOURS = 15
 BLOCK = 64  # entries
+SINGLY = 6  # blocks that are read one by one before the rest is read together
 PRIOR_WEIGHT = 0.5
 SEED = 23
+SIEVES = 6  # MinHash values by which near copies among the examples are told
+_SIEVE = np.random.default_rng(SEED).integers(1, 2**63, SIEVES, dtype=np.uint64) * 2 + 1
 EVIDENCE = 3  # neighbours that are shown
 REJECTED = 0.7
 
@@ -140,9 +144,24 @@ def nearest(index: Entries, places: np.ndarray, weights: np.ndarray, k: int) ->
     n_blocks = index.most.shape[1]
     reach = weights @ index.most[places]
     found_e, found_s, worst = [], [], 0.0
-    for block in np.argsort(-reach, kind="stable"):
+    order = np.argsort(-reach, kind="stable")
+    for n, block in enumerate(order):
         if reach[block] <= 0 or reach[block] < worst:
             break
+        if n == SINGLY:
+            # Many blocks can still matter: read the postings of all of them in one pass.
+            left = order[n:]
+            left = left[(reach[left] >= worst) & (reach[left] > 0)]
+            scores = np.zeros(n_blocks * BLOCK)
+            for term, w in zip(places, weights):
+                a, b = index.pointers[term * n_blocks], index.pointers[(term + 1) * n_blocks]
+                scores[index.postings[a:b]] += w * index.weights[a:b]
+            open_ = np.zeros(n_blocks, bool)
+            open_[left] = True
+            hit = np.flatnonzero((scores > 0) & (scores >= worst) & np.repeat(open_, BLOCK))
+            found_e.append(hit)
+            found_s.append(scores[hit])
+            break
         scores = np.zeros(BLOCK)
         for term, w in zip(places, weights):
             a, b = index.pointers[term * n_blocks + block], index.pointers[term * n_blocks + block + 1]
@@ -171,25 +190,56 @@ def vote(index: Entries, entries: np.ndarray, cosines: np.ndarray) -> float:
     return float((weight @ share + PRIOR_WEIGHT * base) / (weight.sum() + PRIOR_WEIGHT))
 
 
+def _unlike(examples: DataFrame) -> DataFrame:
+    """Examples (id, label, text) without most of their near copies.
+
+    Else the words of a text that was often copied would look telling. Of examples that share one of
+    SIEVES MinHash values of their five-word shingles the one with the smallest id stays, value by value.
+    """
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, 2):
+                least = [[int(v) for v in _least(s)] for s in shingle_sets(part.column(2).to_pylist(), 5)]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(least, pa.list_(pa.int64()))], names=["id", "label", "text", "least"]
+                )
+
+    signed = durable(examples.mapInArrow(sign, "id long, label int, text string, least array<long>"))
+    left = signed.select("id", "least")
+    for i in range(SIEVES):
+        key = F.coalesce(F.get("least", F.lit(i)), F.col("id"))
+        kept = left.groupBy(key.alias("key")).agg(F.min("id").alias("id"))
+        left = left.join(kept.select("id"), "id", "left_semi")
+    return signed.join(F.broadcast(left.select("id")), "id", "left_semi").select("id", "label", "text")
+
+
+def _least(shingles: np.ndarray) -> np.ndarray:
+    if not len(shingles):
+        return np.zeros(0, np.int64)
+    return np.multiply.outer(shingles, _SIEVE).min(axis=0).view(np.int64)
+
+
 def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic",
         rows: int = TRAIN_ROWS) -> Entries:
     """The index of a sample of about `rows` labelled rows.
 
-    Null labels and ids are left out; an id with several labels takes the rounded mean. Terms are counted in
-    Spark; the driver gets at most TERMS terms and the sample's term lists, never texts.
+    Null labels and ids are left out; an id, or a text, with several labels takes the rounded mean. Near
+    copies are one example. Terms are counted in Spark; the driver gets at most TERMS terms and the
+    sample's term lists, never texts.
     """
     known = (
         labels.where(F.col(label).isNotNull() & F.col(id).isNotNull())
         .groupBy(F.col(id).cast("long").alias("id")).agg((F.avg(label) >= 0.5).cast("int").alias("label"))
     )
     sample = bounded_sample(known, "id", rows, SEED)
-    chosen = durable(
+    chosen = (
         docs.select(F.col(id).cast("long").alias("id"), text_of(text).alias("text"))
         .join(F.broadcast(sample), "id")
-        # Copies of one text are one example; else the words of a text often copied would look telling.
         .groupBy("text").agg(F.min("id").alias("id"), (F.avg("label") >= 0.5).cast("int").alias("label"))
         .select("id", "label", "text")
     )
+    chosen = durable(_unlike(chosen))
     totals = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
     no, yes = totals.get(0, 0), totals.get(1, 0)
 
@@ -283,6 +333,8 @@ def without_toxic(docs: DataFrame, index: Entries, text: str = "text", limit: fl
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         reader = TermReader(sent.value.vocabulary)
         for texts in parts:
-            yield pd.Series([o[0] for o in score_texts(texts.tolist(), sent.value, reader)], dtype="float64")
+            block = texts.str.len().cumsum() // BLOCK_BYTES
+            scores = [o[0] for _, run in texts.groupby(block) for o in score_texts(run.tolist(), sent.value, reader)]
+            yield pd.Series(scores, dtype="float64")
 
     return docs.where(score(text_of(text)) < limit)
