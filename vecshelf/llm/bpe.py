@@ -31,7 +31,7 @@ _LATIN = re.compile(
     rf"|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+"
 )
 _WORDS = regex.compile(PATTERN)
-BLOCK_BYTES = 8 << 20  # text whose words share one index
+BLOCK_BYTES = 4 << 20  # text whose words share one index; a longer row is its own block
 REMEMBERED = 300_000  # words
 REMEMBERED_IDS = 3_000_000
 
@@ -140,7 +140,8 @@ class PairIndex:
         while self.active:
             rank = heapq.heappop(self.active)
             held = self.lists.pop(rank)
-            at = np.unique(np.concatenate(held))
+            at = np.sort(np.concatenate(held))
+            at = at[np.append(True, at[1:] != at[:-1])]
             left, right = vocab.left[rank], vocab.right[rank]
             at = at[(symbols[at] == left) & (symbols[after[at]] == right)]
             if not len(at):
@@ -174,6 +175,14 @@ def _apart(at: np.ndarray, after: np.ndarray) -> np.ndarray:
     return at[place % 2 == 0]
 
 
+class _Codes(dict):
+    """Words numbered in order of first use."""
+
+    def __missing__(self, word) -> int:
+        self[word] = code = len(self)
+        return code
+
+
 class Encoder:
     """Encodes blocks of texts; keeps the ids of words it has met, up to a bound."""
 
@@ -182,8 +191,8 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.codes: dict[str | tuple[str], int] = {}
-        self.sizes = np.zeros(0, np.int64)
+        self.codes = _Codes()
+        self.sizes = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.int32)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -200,16 +209,17 @@ class Encoder:
             else:
                 found = words_of(text)
             per_text[i] = len(found)
-            words += [codes.setdefault(w, len(codes)) for w in found]
+            words.extend(map(codes.__getitem__, found))
         fresh = list(codes)[known:] if len(codes) > known else []
         if fresh:
             self._learn(fresh)
-        code = np.array(words, np.int64)
+        code = np.array(words, np.int32)
+        del words
         sizes = self.sizes[code]
-        starts = (np.cumsum(self.sizes) - self.sizes)[code]
-        inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        ids = self.ids[np.repeat(starts, sizes) + inner]
         ends = np.concatenate([[0], np.cumsum(sizes)])
+        # Where each word's ids lie, less where they go: places of ids are a range plus this shift.
+        shift = ((np.cumsum(self.sizes) - self.sizes)[code] - ends[:-1]).astype(np.int32)
+        ids = self.ids[np.repeat(shift, sizes) + np.arange(ends[-1], dtype=np.int32)]
         bounds = np.concatenate([[0], np.cumsum(per_text)])
         return ids, np.diff(ends[bounds])
 
@@ -222,7 +232,7 @@ class Encoder:
             ends = np.cumsum(sizes)
             ids = np.insert(ids, ends[added], [self.vocab.added[fresh[i][0]] for i in added])
             sizes[added] = 1
-        self.sizes = np.concatenate([self.sizes, sizes])
+        self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])
         self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
 
 
