@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecshelf.llm.common import text_of, text_slices
+from vecshelf.llm.common import text_of, text_rows, text_slices
 
 #: How byte-level BPE cuts text into words: a fixed value of the vocabulary's kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -254,7 +254,7 @@ def encoded(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text")
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["doc_id", "ids"])
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>")
+    return text_rows(rows).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decoded(tokens: DataFrame, path: str) -> DataFrame:

@@ -15,10 +15,23 @@ from pyspark.sql import functions as F
 BLOCK_BYTES = 4 << 20  # text that a task works on at once, unless one row alone is longer
 BROADCAST_ROWS = 1_000_000  # of fixed-width rows: at most some 16 MB sent, 64 MB hashed
 
+ARROW_ROWS = 1_000  # rows of whole texts that go to a Python worker at a time
+
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def text_rows(df: DataFrame) -> DataFrame:
+    """`df`, whose rows hold whole texts, with Arrow batches of ARROW_ROWS rows instead of Spark's default.
+
+    The setting is the session's; one that the user has chosen stays.
+    """
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return df
+
+
 def text_slices(batch: pa.RecordBatch, column: int, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about `limit` bytes of `column`; one row at least."""
     if not batch.num_rows:

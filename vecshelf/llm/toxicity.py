@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecshelf.llm.common import BLOCK_BYTES, bounded_sample, coded, text_of, text_slices
+from vecshelf.llm.common import BLOCK_BYTES, bounded_sample, coded, text_of, text_rows, text_slices
 from vecshelf.llm.near_dedup import shingle_sets
 from vecshelf.session import durable
 
@@ -205,7 +205,7 @@ def _unlike(examples: DataFrame) -> DataFrame:
                     [*part.columns, pa.array(least, pa.list_(pa.int64()))], names=["id", "label", "text", "least"]
                 )
 
-    signed = durable(examples.mapInArrow(sign, "id long, label int, text string, least array<long>"))
+    signed = durable(text_rows(examples).mapInArrow(sign, "id long, label int, text string, least array<long>"))
     left = signed.select("id", "least")
     for i in range(SIEVES):
         key = F.coalesce(F.get("least", F.lit(i)), F.col("id"))
@@ -320,7 +320,7 @@ def scored(docs: DataFrame, index: Entries, id: str = "doc_id", text: str = "tex
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "evidence"])
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    return rows.mapInArrow(
+    return text_rows(rows).mapInArrow(
         run, "doc_id long, score double, evidence array<struct<doc_id:long,cosine:double,toxic:double>>"
     )
 
@@ -337,4 +337,4 @@ def without_toxic(docs: DataFrame, index: Entries, text: str = "text", limit: fl
             scores = [o[0] for _, run in texts.groupby(block) for o in score_texts(run.tolist(), sent.value, reader)]
             yield pd.Series(scores, dtype="float64")
 
-    return docs.where(score(text_of(text)) < limit)
+    return text_rows(docs).where(score(text_of(text)) < limit)
