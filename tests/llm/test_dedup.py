@@ -116,3 +116,22 @@ def test_near_against_brute_force(spark):
     left = near_dedup.without_near_copies(docs, words=4)
     assert left.columns == docs.columns
     assert {r.doc_id for r in left.collect()} == {i for i in texts if want[i] == i} | {None}
+
+
+def test_copies_of_one_original_that_are_unlike_each_other(spark):
+    """Each of many copies is linked with the original only, which is not the smallest id."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    texts = {500: " ".join(base)}
+    for i in range(400):
+        copy = list(base)
+        for k in range(5):  # each changed word breaks four shingles
+            copy[rng.randrange(40) + 40 * k] = f"x{i}_{k}"
+        texts[i if i < 500 else i + 1] = " ".join(copy)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    sets = {i: shingles(t, 4) for i, t in texts.items()}
+    links = [(500, i) for i in texts if i != 500 and 100 * len(sets[i] & sets[500]) >= 80 * len(sets[i] | sets[500])]
+    links += [(a, b) for a in texts for b in texts if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    want = closure(links, texts)
+    assert sum(w == want[500] for w in want.values()) > 350
+    assert {r.doc_id: r.component_id for r in near_dedup.near_groups(docs, words=4).collect()} == want
