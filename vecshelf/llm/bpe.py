@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecshelf.llm.common import text_of, text_rows, text_slices
+from vecshelf.llm.common import text_of, text_rows, text_slices, tidy
 
 #: How byte-level BPE cuts text into words: a fixed value of the vocabulary's kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -32,8 +32,8 @@ _LATIN = re.compile(
 )
 _WORDS = regex.compile(PATTERN)
 BLOCK_BYTES = 4 << 20  # text whose words share one index; a longer row is its own block
-REMEMBERED = 300_000  # words
-REMEMBERED_IDS = 3_000_000
+REMEMBERED = 200_000  # words
+REMEMBERED_IDS = 2_000_000
 
 
 def byte_symbols() -> list[str]:
@@ -254,7 +254,7 @@ def encoded(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text")
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["doc_id", "ids"])
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    return text_rows(rows).mapInArrow(run, "doc_id long, ids array<int>")
+    return text_rows(rows).mapInArrow(tidy(run), "doc_id long, ids array<int>")
 
 
 def decoded(tokens: DataFrame, path: str) -> DataFrame:
@@ -277,4 +277,4 @@ def decoded(tokens: DataFrame, path: str) -> DataFrame:
                 texts.append(b"".join(map(table.__getitem__, values)).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
-    return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
+    return tokens.select("doc_id", "ids").mapInArrow(tidy(run), "doc_id long, ids array<int>, text string")

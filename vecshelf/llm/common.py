@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -12,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 4 << 20  # text that a task works on at once, unless one row alone is longer
+BLOCK_BYTES = 2 << 20  # text that a task works on at once, unless one row alone is longer
 BROADCAST_ROWS = 1_000_000  # of fixed-width rows: at most some 16 MB sent, 64 MB hashed
 
 ARROW_ROWS = 1_000  # rows of whole texts that go to a Python worker at a time
@@ -21,6 +23,25 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`run`, a task's work on batches, giving freed memory back to the system at its end.
+
+    Workers are used again, and what allocators keep back would otherwise add up from task to task.
+    """
+
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim is not None:
+                trim(0)
+
+    return whole
+
+
 def text_rows(df: DataFrame) -> DataFrame:
     """`df`, whose rows hold whole texts, with Arrow batches of ARROW_ROWS rows instead of Spark's default.
 

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecshelf.llm.common import bounded_sample, coded, hashes, text_of, text_rows, text_slices
+from vecshelf.llm.common import bounded_sample, coded, hashes, text_of, text_rows, text_slices, tidy
 from vecshelf.llm.html_blocks import blocks
 
 PATH, WORDS, OTHER, HIDDEN = 384, 32, 6, 24
@@ -320,4 +320,4 @@ def extracted(pages: DataFrame, model: Labeller, id: str = "page_id", url: str =
                 )
 
     rows = pages.select(F.col(id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), text_of(html).alias("html"))
-    return text_rows(rows).mapInArrow(run, "page_id long, url string, text string, n_blocks int, n_kept int")
+    return text_rows(rows).mapInArrow(tidy(run), "page_id long, url string, text string, n_blocks int, n_kept int")

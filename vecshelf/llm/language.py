@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecshelf.llm.common import bounded_sample, text_of, text_rows, text_slices
+from vecshelf.llm.common import bounded_sample, text_of, text_rows, text_slices, tidy
 
 BUCKETS = 1 << 16
 TRAIN_ROWS = 16_000  # bound of the sample learned from
@@ -156,7 +156,7 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
                     names=["lang", "place", "n"],
                 )
 
-    counted = text_rows(sample.select("lang", "text")).mapInArrow(count, "lang string, place long, n long")
+    counted = text_rows(sample.select("lang", "text")).mapInArrow(tidy(count), "lang string, place long, n long")
     found = counted.groupBy("lang", "place").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(found["lang"].unique())
     counts = np.zeros((BUCKETS + len(_NAMES), len(languages)))
@@ -221,5 +221,5 @@ def identified(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "t
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), text_of(text).alias("text"))
     return text_rows(rows).mapInArrow(
-        run, "doc_id long, lang_pred string, score double, spans array<struct<start:long,end:long,lang:string>>"
+        tidy(run), "doc_id long, lang_pred string, score double, spans array<struct<start:long,end:long,lang:string>>"
     )

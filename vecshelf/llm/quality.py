@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecshelf.llm.common import bounded_sample, coded, hashes, mix64, text_of, text_rows, text_slices
+from vecshelf.llm.common import bounded_sample, coded, hashes, mix64, text_of, text_rows, text_slices, tidy
 
 BITS = 18
 TRAIN_ROWS = 16_000  # bound of the labelled sample
@@ -147,4 +147,4 @@ def scored(docs: DataFrame, weights: np.ndarray, id: str = "doc_id", text: str =
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    return text_rows(rows).mapInArrow(run, "doc_id long, score double")
+    return text_rows(rows).mapInArrow(tidy(run), "doc_id long, score double")

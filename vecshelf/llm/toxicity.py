@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecshelf.llm.common import BLOCK_BYTES, bounded_sample, coded, text_of, text_rows, text_slices
+from vecshelf.llm.common import BLOCK_BYTES, bounded_sample, coded, text_of, text_rows, text_slices, tidy
 from vecshelf.llm.near_dedup import shingle_sets
 from vecshelf.session import durable
 
@@ -205,7 +205,7 @@ def _unlike(examples: DataFrame) -> DataFrame:
                     [*part.columns, pa.array(least, pa.list_(pa.int64()))], names=["id", "label", "text", "least"]
                 )
 
-    signed = durable(text_rows(examples).mapInArrow(sign, "id long, label int, text string, least array<long>"))
+    signed = durable(text_rows(examples).mapInArrow(tidy(sign), "id long, label int, text string, least array<long>"))
     left = signed.select("id", "least")
     for i in range(SIEVES):
         key = F.coalesce(F.get("least", F.lit(i)), F.col("id"))
@@ -256,7 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
                 columns = [pa.array(c.astype(np.int64)) for c in columns]
                 yield pa.RecordBatch.from_arrays(columns, names=["term", "texts", "toxic"])
 
-    counts = chosen.mapInArrow(count, "term long, texts long, toxic long").groupBy("term").agg(
+    counts = chosen.mapInArrow(tidy(count), "term long, texts long, toxic long").groupBy("term").agg(
         F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic")
     )
     p, q = (F.col("toxic") + 0.5) / (yes + 1.0), (F.col("texts") - F.col("toxic") + 0.5) / (no + 1.0)
@@ -279,7 +279,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
                     [part.column(0), part.column(1), *lists], names=["id", "label", "places", "counts"]
                 )
 
-    examples = chosen.mapInArrow(read, "id long, label int, places array<long>, counts array<long>").collect()
+    examples = chosen.mapInArrow(tidy(read), "id long, label int, places array<long>, counts array<long>").collect()
     return build(vocabulary, idf, sorted(tuple(r) for r in examples))
 
 
@@ -321,7 +321,7 @@ def scored(docs: DataFrame, index: Entries, id: str = "doc_id", text: str = "tex
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), text_of(text).alias("text"))
     return text_rows(rows).mapInArrow(
-        run, "doc_id long, score double, evidence array<struct<doc_id:long,cosine:double,toxic:double>>"
+        tidy(run), "doc_id long, score double, evidence array<struct<doc_id:long,cosine:double,toxic:double>>"
     )
 
 
@@ -329,12 +329,15 @@ def without_toxic(docs: DataFrame, index: Entries, text: str = "text", limit: fl
     """The rows of `docs` whose text scores below `limit`, with all their columns."""
     sent = docs.sparkSession.sparkContext.broadcast(index)
 
-    @F.pandas_udf("double")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def scores(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         reader = TermReader(sent.value.vocabulary)
         for texts in parts:
             block = texts.str.len().cumsum() // BLOCK_BYTES
-            scores = [o[0] for _, run in texts.groupby(block) for o in score_texts(run.tolist(), sent.value, reader)]
-            yield pd.Series(scores, dtype="float64")
+            found = [o[0] for _, run in texts.groupby(block) for o in score_texts(run.tolist(), sent.value, reader)]
+            yield pd.Series(found, dtype="float64")
+
+    @F.pandas_udf("double")
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from tidy(scores)(parts)
 
     return text_rows(docs).where(score(text_of(text)) < limit)
