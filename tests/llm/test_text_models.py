@@ -207,6 +207,17 @@ def test_toxic_filter_keeps_clean_rows(spark):
     assert {r.doc_id for r in left.collect()} == {i for i in range(240) if i % 3}
 
 
+def test_toxic_texts_of_rare_words_find_their_example(spark):
+    docs, labels = labelled(spark, "toxic")
+    rare = [(900 + i, " ".join(f"rare{i}x{j}" for j in range(20)), "s", 0) for i in range(3)]
+    known = spark.createDataFrame([(900, 1), (901, 0)], "doc_id long, toxic int")
+    both = docs.union(spark.createDataFrame([*rare, (910, rare[0][1], "s", 0)], docs.schema))
+    index = toxicity.fit(both, labels.union(known))
+    found = {r.doc_id: r for r in toxicity.scored(both, index).where("doc_id >= 900").collect()}
+    assert [(e.doc_id, e.toxic) for e in found[910].evidence[:1]] == [(900, 1.0)] and abs(found[910].evidence[0].cosine - 1) < 1e-6
+    assert found[910].score >= toxicity.REJECTED > found[901].score and found[902].score < toxicity.REJECTED
+
+
 def test_nearest_is_exact():
     rng = np.random.default_rng(5)
     examples = []

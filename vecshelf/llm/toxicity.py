@@ -1,14 +1,15 @@
-"""Toxicity from the nearest labelled examples by exact TF-IDF cosine.
+"""Toxicity from the nearest labelled examples by exact cosine of weighted TF-IDF vectors.
 
-Terms are words and their beginnings; the vocabulary keeps those that tell toxic from other examples.
-Examples with equal vectors are one entry that counts all of them. Entries are cut into blocks, and
-each block keeps the largest weight of each term: blocks are read in order of what they can reach
-and the search ends when no block can reach the k-th best cosine, so neighbours are exact.
+Terms are words and their beginnings; every term of the examples is in the index, weighing less the
+less it tells toxic from other examples. Examples with equal vectors are one entry that counts all of
+them. Postings are read in order of a text's weights until what is left, by the largest weight of each
+term and by the length of the rest of the vector, can lift few entries above the k-th best; those are
+then measured on their whole vectors, so neighbours are exact.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -23,13 +24,13 @@ from vecshelf.llm.near_dedup import shingle_sets
 from vecshelf.session import durable
 
 TRAIN_ROWS = 24_000  # bound of the labelled sample
-TERMS = 4_096  # bound of the vocabulary
-LEAST_TEXTS = 4  # examples that hold a term
-LEAST_Z = 4.3  # how sure a term's difference must be, as hundreds of thousands are tried
+INDEX_BYTES = 1 << 30  # bound of the index that is sent to the workers
+SURE_Z = 4.3  # a term that differs so surely has its full weight, as hundreds of thousands are tried
+LEAST_WORTH = 1e-3  # of a term that does not differ at all
 PREFIXES = range(4, 9)
 NEIGHBOURS = 15
-BLOCK = 64  # entries
-SINGLY = 6  # blocks that are read one by one before the rest is read together
+MEASURED = 64  # entries that are always few enough to be measured on their whole vectors
+LONG_LIST = 64  # postings of a term that are added on their own
 PRIOR_WEIGHT = 0.5
 SEED = 23
 SIEVES = 6  # MinHash values by which near copies among the examples are told
@@ -48,26 +49,33 @@ def word_terms(word: str) -> list[int]:
 
 
 class TermReader:
-    """Term counts of texts for a vocabulary (term hash to place); remembers a bounded number of words."""
+    """Term counts of texts for a vocabulary (sorted term hashes); remembers a bounded number of words."""
 
-    def __init__(self, vocabulary: dict[int, int] | None, remembered: int = 200_000):
+    def __init__(self, vocabulary: np.ndarray | None, remembered: int = 50_000):
         self.vocabulary, self.remembered, self.known = vocabulary, remembered, {}
 
-    def places(self, word: str) -> list[int]:
-        if word not in self.known:
-            if len(self.known) >= self.remembered:
-                self.known = {}
-            terms = word_terms(word)
-            if self.vocabulary is not None:
-                terms = [self.vocabulary[t] for t in terms if t in self.vocabulary]
-            self.known[word] = terms
-        return self.known[word]
+    def learn(self, words: list[str]) -> None:
+        """Remember the places of the terms of new words."""
+        found = [word_terms(w) for w in words]
+        if self.vocabulary is not None:
+            sizes = [len(f) for f in found]
+            terms = np.array([t for f in found for t in f], np.int64)
+            at = np.searchsorted(self.vocabulary, terms)
+            held = np.zeros(len(terms), bool)
+            inside = at < len(self.vocabulary)
+            held[inside] = self.vocabulary[at[inside]] == terms[inside]
+            places, held, ends = at.tolist(), held.tolist(), np.cumsum(sizes).tolist()
+            found = [[places[i] for i in range(b - n, b) if held[i]] for n, b in zip(sizes, ends)]
+        self.known.update(zip(words, found))
 
     def counts(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each text its distinct terms and how often each occurs."""
         split = [t.split() for t in texts]
         codes, distinct = coded([w for ws in split for w in ws])
-        found = [self.places(w) for w in distinct]
+        if len(self.known) >= self.remembered:
+            self.known = {}
+        self.learn([w for w in distinct if w not in self.known])
+        found = [self.known[w] for w in distinct]
         sizes = np.array([len(f) for f in found], np.int64)
         flat = np.array([t for f in found for t in f], np.int64)
         starts = np.cumsum(sizes) - sizes
@@ -85,98 +93,134 @@ class TermReader:
 
 
 class Entries(NamedTuple):
-    """Distinct example vectors: term lists in CSR form over blocks, and what they count."""
+    """Distinct example vectors: postings by term, term lists by entry, and what entries count."""
 
-    vocabulary: dict[int, int]
-    idf: np.ndarray
-    pointers: np.ndarray  # [term, block]: where the postings of a term in a block begin
+    vocabulary: np.ndarray  # sorted term hashes
+    worth: np.ndarray  # weight of each term
+    pointers: np.ndarray  # where the postings of a term begin
     postings: np.ndarray  # entries, by term and then entry
     weights: np.ndarray
-    most: np.ndarray  # [term, block]: the largest weight
+    most: np.ndarray  # [term, 1]: the largest weight
+    starts: np.ndarray  # where the terms of an entry begin
+    terms: np.ndarray  # by entry and then term
+    levels: np.ndarray  # how often the term occurs, at most 4
+    lengths: np.ndarray  # of the entries' vectors before they are scaled to 1
     examples: np.ndarray
     positives: np.ndarray
     ids: np.ndarray  # the smallest example id of each entry
     blank: tuple[int, int]  # examples without a term, and toxic ones of them
 
 
-def vector(places: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    weights = (1 + np.log(counts)) * idf[places]
+_LEVELS = 1 + np.log(np.maximum(np.arange(5), 1))
+
+
+def vector(places: np.ndarray, counts: np.ndarray, worth: np.ndarray) -> np.ndarray:
+    weights = (1 + np.log(counts)) * worth[places]
     return weights / np.sqrt(weights @ weights)
 
 
-def build(vocabulary: list[int], idf: np.ndarray, examples: list[tuple[int, int, list[int], list[int]]]) -> Entries:
-    """The index of examples (id, label, places, counts)."""
-    entries: dict[tuple, list] = {}
+def build(vocabulary: list[int], worth: np.ndarray, examples: Iterable[tuple[int, int, list[int], list[int]]]) -> Entries:
+    """The index of examples (id, label, places, counts); `vocabulary` is sorted."""
+    entries: dict[bytes, int] = {}
     blank = [0, 0]
+    held, terms, levels = [], [], []
     for id_, label, places, counts in examples:
         if not len(places):
             blank[0] += 1
             blank[1] += label
             continue
         # Counts above 3 are one level, so that equal evidence meets in one entry.
-        key = (tuple(places), tuple(min(c, 4) for c in counts))
-        held = entries.setdefault(key, [0, 0, id_])
-        held[0] += 1
-        held[1] += label
-        held[2] = min(held[2], id_)
-    keys = sorted(entries, key=lambda k: (-idf[k[0][0]], k))  # like entries share blocks
-    n_blocks = max(1, -(-len(keys) // BLOCK))
-    rows = []
-    for e, (places, counts) in enumerate(keys):
-        p = np.array(places)
-        rows.append((p, np.full(len(p), e), vector(p, np.array(counts), idf)))
-    terms, owners, weights = (
-        (np.concatenate(x) for x in zip(*rows)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-    )
-    order = np.lexsort((owners, terms))
-    terms, owners, weights = terms[order], owners[order], weights[order]
-    cell = terms * n_blocks + owners // BLOCK
-    pointers = np.searchsorted(cell, np.arange(len(vocabulary) * n_blocks + 1))
-    most = np.zeros((len(vocabulary), n_blocks), np.float32)
-    np.maximum.at(most, (terms, owners // BLOCK), weights.astype(np.float32) * np.float32(1.000001))
-    held = [entries[k] for k in keys]
+        own, level = np.asarray(places, np.int32), np.minimum(counts, 4).astype(np.uint8)
+        e = entries.setdefault(xxhash.xxh3_128_digest(own.tobytes() + level.tobytes()), len(held))
+        if e == len(held):
+            held.append([0, 0, id_])
+            terms.append(own)
+            levels.append(level)
+        held[e][0] += 1
+        held[e][1] += label
+        held[e][2] = min(held[e][2], id_)
+    sizes = np.array([len(t) for t in terms], np.int64)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    lengths = np.array([np.sqrt(((_LEVELS[n] * worth[t]) ** 2).sum()) for t, n in zip(terms, levels)], np.float64)
+    terms = np.concatenate([np.zeros(0, np.int32), *terms])
+    levels = np.concatenate([np.zeros(0, np.uint8), *levels])
+    if 20 * len(vocabulary) + 11 * len(terms) > INDEX_BYTES:
+        raise ValueError(f"{len(terms)} terms of examples are over INDEX_BYTES; fit on fewer rows")
+    small = np.uint16 if len(held) < 1 << 16 else np.uint32
+    order = np.argsort(terms, kind="stable")
+    postings = np.repeat(np.arange(len(held), dtype=small), sizes)[order]
+    weights = (_LEVELS.astype(np.float32)[levels] * worth.astype(np.float32)[terms])[order]
+    del order
+    weights /= lengths.astype(np.float32)[postings]
+    pointers = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=len(vocabulary)))]).astype(np.int64)
+    most = np.zeros((len(vocabulary), 1), np.float32)
+    used = np.flatnonzero(np.diff(pointers))
+    if len(used):
+        most[used, 0] = np.maximum.reduceat(weights, pointers[used]) * np.float32(1.00001)
     columns = [np.array([h[i] for h in held], np.int64) for i in range(3)]
-    return Entries({t: i for i, t in enumerate(vocabulary)}, idf, pointers, owners, weights, most, *columns, tuple(blank))
+    return Entries(
+        np.array(vocabulary, np.int64), worth, pointers, postings, weights, most, starts, terms, levels, lengths, *columns,
+        tuple(blank),
+    )
 
 
-def nearest(index: Entries, places: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k entries of highest cosine above 0, ties to the earlier entry, and their cosines."""
-    n_blocks = index.most.shape[1]
-    reach = weights @ index.most[places]
-    found_e, found_s, worst = [], [], 0.0
-    order = np.argsort(-reach, kind="stable")
-    for n, block in enumerate(order):
-        if reach[block] <= 0 or reach[block] < worst:
-            break
-        if n == SINGLY:
-            # Many blocks can still matter: read the postings of all of them in one pass.
-            left = order[n:]
-            left = left[(reach[left] >= worst) & (reach[left] > 0)]
-            scores = np.zeros(n_blocks * BLOCK)
-            for term, w in zip(places, weights):
-                a, b = index.pointers[term * n_blocks], index.pointers[(term + 1) * n_blocks]
-                scores[index.postings[a:b]] += w * index.weights[a:b]
-            open_ = np.zeros(n_blocks, bool)
-            open_[left] = True
-            hit = np.flatnonzero((scores > 0) & (scores >= worst) & np.repeat(open_, BLOCK))
-            found_e.append(hit)
-            found_s.append(scores[hit])
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions of runs that begin at `starts`."""
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _measured(index: Entries, entries: np.ndarray, places: np.ndarray, weights: np.ndarray, dense: np.ndarray) -> np.ndarray:
+    """Cosines of entries on their whole vectors; `dense` is zero before and after."""
+    dense[places] = weights * index.worth[places]
+    a, n = index.starts[entries], index.starts[entries + 1] - index.starts[entries]
+    at = _spans(a, n)
+    products = dense[index.terms[at]] * _LEVELS[index.levels[at]]
+    dense[places] = 0
+    return np.add.reduceat(products, np.cumsum(n) - n) / index.lengths[entries]
+
+
+def nearest(
+    index: Entries, places: np.ndarray, weights: np.ndarray, k: int, dense: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The k entries of highest cosine above 0, ties to the earlier entry, and their cosines.
+
+    `dense` is a buffer of zeros as long as the vocabulary.
+    """
+    order = np.argsort(-weights, kind="stable")
+    by, w = places[order], weights[order]
+    starts, sizes = index.pointers[by], index.pointers[by + 1] - index.pointers[by]
+    # What the terms from here on can add to any entry; vectors have length 1.
+    reach = np.append(np.cumsum((w * index.most[by, 0])[::-1])[::-1], 0)
+    rest = np.minimum(reach, np.sqrt(np.append(np.cumsum((w * w)[::-1])[::-1], 0)) * 1.00001)
+    left = np.append(np.cumsum(sizes[::-1])[::-1], 0)
+    mean = len(index.terms) / max(1, len(index.ids))
+    scores = np.zeros(len(index.ids))
+    at = 0
+    for aim in (0.3, 0.15, 0.07, 0.03, 0.01, 0.003, 0.001, 0.0):
+        upto = max(at, int(np.searchsorted(-rest, -aim)))
+        if upto == at:
+            continue
+        part = np.arange(at, upto)
+        for i in part[sizes[part] > LONG_LIST]:
+            a, b = starts[i], starts[i] + sizes[i]
+            scores[index.postings[a:b]] += w[i] * index.weights[a:b]
+        part = part[sizes[part] <= LONG_LIST]
+        if len(part):
+            where = _spans(starts[part], sizes[part])
+            scores += np.bincount(
+                index.postings[where], np.repeat(w[part], sizes[part]) * index.weights[where], len(scores)
+            )
+        at = upto
+        worst = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else 0.0
+        open_ = np.flatnonzero((scores + rest[at] * 1.00001 >= worst * 0.99999) & (scores + rest[at] > 0))
+        if not left[at] or len(open_) <= max(MEASURED, left[at] / mean):
             break
-        scores = np.zeros(BLOCK)
-        for term, w in zip(places, weights):
-            a, b = index.pointers[term * n_blocks + block], index.pointers[term * n_blocks + block + 1]
-            scores[index.postings[a:b] - block * BLOCK] += w * index.weights[a:b]
-        hit = np.flatnonzero(scores > 0)
-        found_e.append(hit + block * BLOCK)
-        found_s.append(scores[hit])
-        if sum(map(len, found_s)) >= k:
-            merged = np.concatenate(found_s)
-            worst = np.partition(merged, len(merged) - k)[len(merged) - k]
-    if not found_e:
+    if not len(open_):
         return np.zeros(0, np.int64), np.zeros(0)
-    e, s = np.concatenate(found_e), np.concatenate(found_s)
-    best = np.lexsort((e, -s))[:k]
-    return e[best], s[best]
+    s = _measured(index, open_, places, weights, np.zeros(len(index.worth)) if dense is None else dense)
+    open_, s = open_[s > 0], s[s > 0]
+    best = np.lexsort((open_, -s))[:k]
+    return open_[best], s[best]
 
 
 def vote(index: Entries, entries: np.ndarray, cosines: np.ndarray) -> float:
@@ -225,8 +269,8 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     """The index of a sample of about `rows` labelled rows.
 
     Null labels and ids are left out; an id, or a text, with several labels takes the rounded mean. Near
-    copies are one example. Terms are counted in Spark; the driver gets at most TERMS terms and the
-    sample's term lists, never texts.
+    copies are one example. Terms are counted in Spark; the driver gets the terms and the sample's term
+    lists, at most INDEX_BYTES, never texts.
     """
     known = (
         labels.where(F.col(label).isNotNull() & F.col(id).isNotNull())
@@ -261,37 +305,41 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     )
     p, q = (F.col("toxic") + 0.5) / (yes + 1.0), (F.col("texts") - F.col("toxic") + 0.5) / (no + 1.0)
     z = F.abs(p - q) / F.sqrt(p / (yes + 1.0) + q / (no + 1.0))
-    kept = (
-        counts.where(F.col("texts") >= LEAST_TEXTS).withColumn("z", z).where(F.col("z") >= LEAST_Z)
-        .orderBy(F.desc("z"), "term").limit(TERMS).select("term", "texts").collect()
-    )
-    vocabulary = [r["term"] for r in kept]
-    idf = np.log(1 + (no + yes + 1) / np.array([r["texts"] + 1 for r in kept] or [1.0], np.float64))
-    places = {t: i for i, t in enumerate(vocabulary)}
+    told = counts.select("term", "texts", z.alias("z")).toArrow().sort_by("term")
+    vocabulary, texts, sure = (told.column(c).to_numpy() for c in ("term", "texts", "z"))
+    worth = np.log(1 + (no + yes + 1) / (texts + 1.0)) * np.maximum(LEAST_WORTH, np.minimum(1, sure / SURE_Z) ** 4)
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = TermReader(places, 50_000)
+        reader = TermReader(sent.value, 50_000)
         for batch in batches:
             for part in text_slices(batch, 2):
-                found = list(reader.counts(part.column(2).to_pylist()))
-                lists = [pa.array([f[i] for f in found], pa.list_(pa.int64())) for i in range(2)]
+                found = [(t, np.minimum(n, 4)) for t, n in reader.counts(part.column(2).to_pylist())]
+                lists = [pa.array([f[i] for f in found], pa.list_(kind)) for i, kind in enumerate((pa.int32(), pa.int8()))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), *lists], names=["id", "label", "places", "counts"]
                 )
 
-    examples = chosen.mapInArrow(tidy(read), "id long, label int, places array<long>, counts array<long>").collect()
-    return build(vocabulary, idf, sorted(tuple(r) for r in examples))
+    examples = chosen.mapInArrow(tidy(read), "id long, label int, places array<int>, counts array<byte>").toArrow()
+    sent.destroy()
+    return build(vocabulary, worth, _rows(examples.sort_by("id")))
+
+
+def _rows(examples: pa.Table) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    for batch in examples.to_batches():
+        lists = [[x.values.to_numpy() for x in batch.column(c)] for c in (2, 3)]
+        yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), *lists)
 
 
 def score_texts(texts: list[str], index: Entries, reader: TermReader) -> list[tuple[float, list[tuple]]]:
     """For each text its score and evidence."""
     plain = (vote(index, np.zeros(0, np.int64), np.zeros(0)), [])
-    out = []
+    out, dense = [], np.zeros(len(index.worth))
     for places, counts in reader.counts(texts):
         if not len(places):
             out.append(plain)
             continue
-        e, s = nearest(index, places, vector(places, np.minimum(counts, 4), index.idf), NEIGHBOURS)
+        e, s = nearest(index, places, vector(places, np.minimum(counts, 4), index.worth), NEIGHBOURS, dense)
         share = index.positives[e] / index.examples[e]
         shown = zip(index.ids[e[:EVIDENCE]].tolist(), s[:EVIDENCE].tolist(), share[:EVIDENCE].tolist())
         out.append((vote(index, e, s), list(shown)))
