@@ -218,6 +218,22 @@ def test_toxic_texts_of_rare_words_find_their_example(spark):
     assert found[910].score >= toxicity.REJECTED > found[901].score and found[902].score < toxicity.REJECTED
 
 
+def test_examples_that_share_a_passage_all_stay(spark):
+    docs, labels = labelled(spark, "toxic")
+    shared = " ".join(f"shared{j}" for j in range(60))
+    rows = [(900 + i, f"{shared} " + " ".join(f"own{i}x{j}" for j in range(40)), "s", 0) for i in range(20)]
+    copies = [(950 + i, rows[0][1] + f" end{i}", "s", 0) for i in range(5)]
+    both = docs.union(spark.createDataFrame(rows + copies, docs.schema))
+    known = labels.union(spark.createDataFrame([(r[0], r[0] % 2) for r in rows + copies], labels.schema))
+    index = toxicity.fit(both, known)
+    assert index.examples.sum() + index.blank[0] == 265
+    assert set(index.ids.tolist()) >= {r[0] for r in rows + copies}
+    found = toxicity.scored(both, index).where("doc_id between 900 and 919").collect()
+    assert {r.evidence[0].doc_id: r.evidence[0].toxic for r in found} == {i: i % 2 for i in range(900, 920)}
+    mass = {r.id: r.mass for r in toxicity._weighed(both.selectExpr("doc_id AS id", "0 AS label", "text")).collect()}
+    assert [round(mass[i], 6) for i in (900, 950, 954, 901, 0)] == [round(1 / 6, 6)] * 3 + [1, 1]
+
+
 def test_nearest_is_exact():
     rng = np.random.default_rng(5)
     examples = []

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecshelf.llm.common import BLOCK_BYTES, bounded_sample, coded, text_of, text_rows, text_slices, tidy
-from vecshelf.llm.near_dedup import shingle_sets
+from vecshelf.llm.near_dedup import near_groups
 from vecshelf.session import durable
 
 TRAIN_ROWS = 24_000  # bound of the labelled sample
@@ -33,8 +33,6 @@ MEASURED = 64  # entries that are always few enough to be measured on their whol
 LONG_LIST = 64  # postings of a term that are added on their own
 PRIOR_WEIGHT = 0.5
 SEED = 23
-SIEVES = 6  # MinHash values by which near copies among the examples are told
-_SIEVE = np.random.default_rng(SEED).integers(1, 2**63, SIEVES, dtype=np.uint64) * 2 + 1
 EVIDENCE = 3  # neighbours that are shown
 REJECTED = 0.7
 
@@ -234,34 +232,17 @@ def vote(index: Entries, entries: np.ndarray, cosines: np.ndarray) -> float:
     return float((weight @ share + PRIOR_WEIGHT * base) / (weight.sum() + PRIOR_WEIGHT))
 
 
-def _unlike(examples: DataFrame) -> DataFrame:
-    """Examples (id, label, text) without most of their near copies.
+def _weighed(examples: DataFrame) -> DataFrame:
+    """Examples (id, label, text) with their mass: near copies, confirmed on full sets, share a mass of 1.
 
-    Else the words of a text that was often copied would look telling. Of examples that share one of
-    SIEVES MinHash values of their five-word shingles the one with the smallest id stays, value by value.
+    Else the words of a text that was often copied would look telling.
     """
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(batch, 2):
-                least = [[int(v) for v in _least(s)] for s in shingle_sets(part.column(2).to_pylist(), 5)]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(least, pa.list_(pa.int64()))], names=["id", "label", "text", "least"]
-                )
-
-    signed = durable(text_rows(examples).mapInArrow(tidy(sign), "id long, label int, text string, least array<long>"))
-    left = signed.select("id", "least")
-    for i in range(SIEVES):
-        key = F.coalesce(F.get("least", F.lit(i)), F.col("id"))
-        kept = left.groupBy(key.alias("key")).agg(F.min("id").alias("id"))
-        left = left.join(kept.select("id"), "id", "left_semi")
-    return signed.join(F.broadcast(left.select("id")), "id", "left_semi").select("id", "label", "text")
-
-
-def _least(shingles: np.ndarray) -> np.ndarray:
-    if not len(shingles):
-        return np.zeros(0, np.int64)
-    return np.multiply.outer(shingles, _SIEVE).min(axis=0).view(np.int64)
+    examples = durable(examples)
+    classes = near_groups(examples, "id").groupBy(F.col("doc_id").alias("id")).agg(F.min("component_id").alias("class"))
+    classed = durable(examples.select("id").join(classes, "id"))
+    sizes = classed.groupBy("class").agg(F.count("*").alias("size"))
+    mass = classed.distinct().join(sizes, "class").select("id", (1 / F.col("size")).alias("mass"))
+    return examples.join(F.broadcast(mass), "id").select("id", "label", "text", "mass")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -269,7 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     """The index of a sample of about `rows` labelled rows.
 
     Null labels and ids are left out; an id, or a text, with several labels takes the rounded mean. Near
-    copies are one example. Terms are counted in Spark; the driver gets the terms and the sample's term
+    copies all stay, but count as one where terms are weighed. Terms are counted in Spark; the driver gets the terms and the sample's term
     lists, at most INDEX_BYTES, never texts.
     """
     known = (
@@ -283,25 +264,26 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
         .groupBy("text").agg(F.min("id").alias("id"), (F.avg("label") >= 0.5).cast("int").alias("label"))
         .select("id", "label", "text")
     )
-    chosen = durable(_unlike(chosen))
-    totals = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
-    no, yes = totals.get(0, 0), totals.get(1, 0)
+    chosen = durable(_weighed(chosen))
+    totals = {r["label"]: r["mass"] for r in chosen.groupBy("label").agg(F.round(F.sum("mass"), 6).alias("mass")).collect()}
+    no, yes = totals.get(0, 0.0), totals.get(1, 0.0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = TermReader(None, 50_000)
         for batch in batches:
             for part in text_slices(batch, 2):
-                marks = part.column(1).to_numpy()
+                marks, mass = part.column(1).to_numpy(), part.column(3).to_numpy()
                 found = [t for t, _ in reader.counts(part.column(2).to_pylist())]
                 terms = np.concatenate([np.zeros(0, np.int64), *found])
-                toxic = np.repeat(marks, [len(f) for f in found])
+                sizes = [len(f) for f in found]
+                weight, toxic = np.repeat(mass, sizes), np.repeat(mass * marks, sizes)
                 distinct, place = np.unique(terms, return_inverse=True)
-                columns = [distinct, np.bincount(place, minlength=len(distinct)), np.bincount(place, toxic, len(distinct))]
-                columns = [pa.array(c.astype(np.int64)) for c in columns]
-                yield pa.RecordBatch.from_arrays(columns, names=["term", "texts", "toxic"])
+                sums = [pa.array(np.bincount(place, w, len(distinct))) for w in (weight, toxic)]
+                yield pa.RecordBatch.from_arrays([pa.array(distinct), *sums], names=["term", "texts", "toxic"])
 
-    counts = chosen.mapInArrow(tidy(count), "term long, texts long, toxic long").groupBy("term").agg(
-        F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic")
+    # Sums to six places, the same however rows are dealt.
+    counts = chosen.mapInArrow(tidy(count), "term long, texts double, toxic double").groupBy("term").agg(
+        F.round(F.sum("texts"), 6).alias("texts"), F.round(F.sum("toxic"), 6).alias("toxic")
     )
     p, q = (F.col("toxic") + 0.5) / (yes + 1.0), (F.col("texts") - F.col("toxic") + 0.5) / (no + 1.0)
     z = F.abs(p - q) / F.sqrt(p / (yes + 1.0) + q / (no + 1.0))
