@@ -226,8 +226,9 @@ def test_examples_that_share_a_passage_all_stay(spark):
     both = docs.union(spark.createDataFrame(rows + copies, docs.schema))
     known = labels.union(spark.createDataFrame([(r[0], r[0] % 2) for r in rows + copies], labels.schema))
     index = toxicity.fit(both, known)
-    assert index.examples.sum() + index.blank[0] == 265
-    assert set(index.ids.tolist()) >= {r[0] for r in rows + copies}
+    entries = index.entries()
+    assert entries.examples.sum() + entries.blank[0] == 265
+    assert set(entries.ids.tolist()) >= {r[0] for r in rows + copies}
     found = toxicity.scored(both, index).where("doc_id between 900 and 919").collect()
     assert {r.evidence[0].doc_id: r.evidence[0].toxic for r in found} == {i: i % 2 for i in range(900, 920)}
     mass = {r.id: r.mass for r in toxicity._weighed(both.selectExpr("doc_id AS id", "0 AS label", "text")).collect()}

@@ -9,6 +9,8 @@ then measured on their whole vectors, so neighbours are exact.
 
 from __future__ import annotations
 
+import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -30,6 +32,7 @@ LEAST_WORTH = 1e-3  # of a term that does not differ at all
 PREFIXES = range(4, 9)
 NEIGHBOURS = 15
 MEASURED = 64  # entries that are always few enough to be measured on their whole vectors
+SORTED = 2_000_000  # postings that are sorted at once
 LONG_LIST = 64  # postings of a term that are added on their own
 PRIOR_WEIGHT = 0.5
 SEED = 23
@@ -121,36 +124,48 @@ def build(vocabulary: list[int], worth: np.ndarray, examples: Iterable[tuple[int
     """The index of examples (id, label, places, counts); `vocabulary` is sorted."""
     entries: dict[bytes, int] = {}
     blank = [0, 0]
-    held, terms, levels = [], [], []
+    held, terms, levels = [], array("i"), bytearray()
     for id_, label, places, counts in examples:
         if not len(places):
             blank[0] += 1
             blank[1] += label
             continue
         # Counts above 3 are one level, so that equal evidence meets in one entry.
-        own, level = np.asarray(places, np.int32), np.minimum(counts, 4).astype(np.uint8)
-        e = entries.setdefault(xxhash.xxh3_128_digest(own.tobytes() + level.tobytes()), len(held))
+        own, level = np.asarray(places, np.int32).tobytes(), np.minimum(counts, 4).astype(np.uint8).tobytes()
+        e = entries.setdefault(xxhash.xxh3_128_digest(own + level), len(held))
         if e == len(held):
-            held.append([0, 0, id_])
-            terms.append(own)
-            levels.append(level)
+            held.append([0, 0, id_, len(level)])
+            terms.frombytes(own)
+            levels += level
+            if 20 * len(vocabulary) + 11 * len(levels) > INDEX_BYTES:
+                raise ValueError(f"the terms of {len(held)} examples are over INDEX_BYTES; fit on fewer rows")
         held[e][0] += 1
         held[e][1] += label
         held[e][2] = min(held[e][2], id_)
-    sizes = np.array([len(t) for t in terms], np.int64)
+    sizes = np.array([h[3] for h in held], np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes)])
-    lengths = np.array([np.sqrt(((_LEVELS[n] * worth[t]) ** 2).sum()) for t, n in zip(terms, levels)], np.float64)
-    terms = np.concatenate([np.zeros(0, np.int32), *terms])
-    levels = np.concatenate([np.zeros(0, np.uint8), *levels])
-    if 20 * len(vocabulary) + 11 * len(terms) > INDEX_BYTES:
-        raise ValueError(f"{len(terms)} terms of examples are over INDEX_BYTES; fit on fewer rows")
-    small = np.uint16 if len(held) < 1 << 16 else np.uint32
-    order = np.argsort(terms, kind="stable")
-    postings = np.repeat(np.arange(len(held), dtype=small), sizes)[order]
-    weights = (_LEVELS.astype(np.float32)[levels] * worth.astype(np.float32)[terms])[order]
-    del order
-    weights /= lengths.astype(np.float32)[postings]
-    pointers = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=len(vocabulary)))]).astype(np.int64)
+    terms, levels = np.frombuffer(terms, np.int32), np.frombuffer(levels, np.uint8)
+    # Sorted by term a run of entries at a time, which needs less memory than all at once.
+    cuts = np.unique(np.append(np.searchsorted(starts, np.arange(0, len(terms) + 1, SORTED)), len(held)))
+    runs = [(a, b, slice(starts[a], starts[b])) for a, b in zip(cuts, cuts[1:])]
+    lengths = np.zeros(len(held))
+    next_ = np.zeros(len(vocabulary) + 1, np.int64)
+    for a, b, at in runs:
+        next_[1:] += np.bincount(terms[at], minlength=len(vocabulary))
+        squares = (_LEVELS[levels[at]] * worth[terms[at]]) ** 2
+        lengths[a:b] = np.sqrt(np.add.reduceat(squares, starts[a:b] - starts[a]))
+    pointers = np.cumsum(next_)
+    next_ = pointers.copy()
+    postings = np.zeros(len(terms), np.uint16 if len(held) < 1 << 16 else np.uint32)
+    weights = np.zeros(len(terms), np.float32)
+    for a, b, at in runs:
+        order = np.argsort(terms[at], kind="stable")
+        by, owner = terms[at][order], np.repeat(np.arange(a, b), sizes[a:b])[order]
+        distinct, first, n = np.unique(by, return_index=True, return_counts=True)
+        to = np.arange(len(by)) + np.repeat(next_[distinct] - first, n)
+        postings[to] = owner
+        weights[to] = _LEVELS[levels[at][order]] * worth[by] / lengths[owner]
+        next_[distinct] += n
     most = np.zeros((len(vocabulary), 1), np.float32)
     used = np.flatnonzero(np.diff(pointers))
     if len(used):
@@ -162,6 +177,35 @@ def build(vocabulary: list[int], worth: np.ndarray, examples: Iterable[tuple[int
     )
 
 
+class Examples:
+    """What the driver holds of the examples: packed term lists. Each worker makes its index of them once."""
+
+    def __init__(self, vocabulary: np.ndarray, worth: np.ndarray, packed: pa.Table):
+        self.vocabulary, self.worth, self.packed, self.index = vocabulary, worth, packed, None
+
+    def __getstate__(self):
+        return self.__dict__ | {"index": None}
+
+    def entries(self) -> Entries:
+        if self.index is None:
+            ids, labels, lists = (self.packed.column(c).to_pylist() for c in ("id", "label", "terms"))
+            order = sorted(range(len(ids)), key=lambda i: (ids[i], labels[i], lists[i]))
+            self.index = build(
+                self.vocabulary, self.worth, ((ids[i], labels[i], *_unpacked(lists[i])) for i in order)
+            )
+        return self.index
+
+
+def _packed(places: np.ndarray, counts: np.ndarray) -> bytes:
+    return zlib.compress(np.diff(places, prepend=0).astype(np.int32).tobytes() + np.minimum(counts, 4).astype(np.uint8).tobytes(), 1)
+
+
+def _unpacked(terms: bytes) -> tuple[np.ndarray, np.ndarray]:
+    whole = zlib.decompress(terms)
+    n = len(whole) // 5
+    return np.cumsum(np.frombuffer(whole, np.int32, n)), np.frombuffer(whole, np.uint8, n, 4 * n)
+
+
 def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The positions of runs that begin at `starts`."""
     return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
@@ -246,12 +290,12 @@ def _weighed(examples: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic",
-        rows: int = TRAIN_ROWS) -> Entries:
-    """The index of a sample of about `rows` labelled rows.
+        rows: int = TRAIN_ROWS) -> Examples:
+    """The examples of a sample of about `rows` labelled rows.
 
     Null labels and ids are left out; an id, or a text, with several labels takes the rounded mean. Near
-    copies all stay, but count as one where terms are weighed. Terms are counted in Spark; the driver gets the terms and the sample's term
-    lists, at most INDEX_BYTES, never texts.
+    copies all stay, but count as one where terms are weighed. Terms are counted in Spark; the driver gets the terms and the sample's packed
+    term lists, never texts. An index over INDEX_BYTES is an error.
     """
     known = (
         labels.where(F.col(label).isNotNull() & F.col(id).isNotNull())
@@ -287,30 +331,25 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     )
     p, q = (F.col("toxic") + 0.5) / (yes + 1.0), (F.col("texts") - F.col("toxic") + 0.5) / (no + 1.0)
     z = F.abs(p - q) / F.sqrt(p / (yes + 1.0) + q / (no + 1.0))
-    told = counts.select("term", "texts", z.alias("z")).toArrow().sort_by("term")
+    told = counts.select("term", "texts", z.alias("z")).toArrow()
     vocabulary, texts, sure = (told.column(c).to_numpy() for c in ("term", "texts", "z"))
+    del told
     worth = np.log(1 + (no + yes + 1) / (texts + 1.0)) * np.maximum(LEAST_WORTH, np.minimum(1, sure / SURE_Z) ** 4)
+    order = np.argsort(vocabulary)
+    vocabulary, worth = vocabulary[order], worth[order]
+    del texts, sure, order
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = TermReader(sent.value, 50_000)
         for batch in batches:
             for part in text_slices(batch, 2):
-                found = [(t, np.minimum(n, 4)) for t, n in reader.counts(part.column(2).to_pylist())]
-                lists = [pa.array([f[i] for f in found], pa.list_(kind)) for i, kind in enumerate((pa.int32(), pa.int8()))]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), *lists], names=["id", "label", "places", "counts"]
-                )
+                found = pa.array([_packed(*f) for f in reader.counts(part.column(2).to_pylist())], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), found], names=["id", "label", "terms"])
 
-    examples = chosen.mapInArrow(tidy(read), "id long, label int, places array<int>, counts array<byte>").toArrow()
+    packed = chosen.mapInArrow(tidy(read), "id long, label int, terms binary").toArrow()
     sent.destroy()
-    return build(vocabulary, worth, _rows(examples.sort_by("id")))
-
-
-def _rows(examples: pa.Table) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    for batch in examples.to_batches():
-        lists = [[x.values.to_numpy() for x in batch.column(c)] for c in (2, 3)]
-        yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), *lists)
+    return Examples(vocabulary, worth, packed)
 
 
 def score_texts(texts: list[str], index: Entries, reader: TermReader) -> list[tuple[float, list[tuple]]]:
@@ -328,7 +367,7 @@ def score_texts(texts: list[str], index: Entries, reader: TermReader) -> list[tu
     return out
 
 
-def scored(docs: DataFrame, index: Entries, id: str = "doc_id", text: str = "text") -> DataFrame:
+def scored(docs: DataFrame, index: Examples, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: doc_id, score (0 to 1), evidence (example id, cosine, toxic share).
 
     The whole text counts. A text without any term of the vocabulary, such as a null or empty one,
@@ -341,10 +380,11 @@ def scored(docs: DataFrame, index: Entries, id: str = "doc_id", text: str = "tex
     evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = TermReader(sent.value.vocabulary)
+        entries = sent.value.entries()
+        reader = TermReader(entries.vocabulary)
         for batch in batches:
             for part in text_slices(batch, 1):
-                out = score_texts(part.column(1).to_pylist(), sent.value, reader)
+                out = score_texts(part.column(1).to_pylist(), entries, reader)
                 shown = [[dict(zip(names, x)) for x in o[1]] for o in out]
                 columns = [part.column(0), pa.array([o[0] for o in out], pa.float64()), pa.array(shown, evidence)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "evidence"])
@@ -355,15 +395,16 @@ def scored(docs: DataFrame, index: Entries, id: str = "doc_id", text: str = "tex
     )
 
 
-def without_toxic(docs: DataFrame, index: Entries, text: str = "text", limit: float = REJECTED) -> DataFrame:
+def without_toxic(docs: DataFrame, index: Examples, text: str = "text", limit: float = REJECTED) -> DataFrame:
     """The rows of `docs` whose text scores below `limit`, with all their columns."""
     sent = docs.sparkSession.sparkContext.broadcast(index)
 
     def scores(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        reader = TermReader(sent.value.vocabulary)
+        entries = sent.value.entries()
+        reader = TermReader(entries.vocabulary)
         for texts in parts:
             block = texts.str.len().cumsum() // BLOCK_BYTES
-            found = [o[0] for _, run in texts.groupby(block) for o in score_texts(run.tolist(), sent.value, reader)]
+            found = [o[0] for _, run in texts.groupby(block) for o in score_texts(run.tolist(), entries, reader)]
             yield pd.Series(found, dtype="float64")
 
     @F.pandas_udf("double")
