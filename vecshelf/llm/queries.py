@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecshelf.llm import (
-    bpe, exact_dedup, html_extract, language, mixing, near_dedup, quality, topk, toxicity, url_filter
+    bpe, cross_tokens, exact_dedup, html_extract, language, mixing, near_dedup, quality, rules, topk, toxicity, turns, url_filter
 )
 from vecshelf.llm.common import remainder
 
@@ -116,6 +116,23 @@ def op10_toxicity(spark, sf):
     )
 
 
+@query
+def op11_quality_rules(spark, sf):
+    found = rules.checked(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return found.withColumn("failed", F.array_join("failed", ","))
+
+
+@query
+def op12_cross_tokens(spark, sf):
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return cross_tokens.aligned(table(spark, sf, "documents"), *paths)
+
+
+@query
+def op13_turn_repair(spark, sf):
+    return turns.repairs(table(spark, sf, "conversations"))
+
+
 def _inverse_sql(schedule: mixing.Schedule, share: str) -> str:
     """When a schedule's integral reaches a share of its whole, as `mixing.inverse_demand` has it."""
     whole, done, cases = mixing.integral(schedule), 0.0, ""
@@ -209,5 +226,84 @@ QUALIFY rank <= 20
 """
 
 
+
+
+def _rules_sql() -> str:
+    """Figures of whole texts, then exact tails along each grid of cutoffs, as `rules.fit` has them."""
+    grid = ", ".join(
+        f"({i}, '{rule.name}', {place}, {cutoff})"
+        for i, rule in enumerate(rules.RULES) for place, cutoff in enumerate(rule.cutoffs)
+    )
+    over = " ".join(
+        f"WHEN {i} THEN 100 * {'-word_chars' if rule.over == 'minus_chars' else rule.over} > cutoff * {rule.under}"
+        for i, rule in enumerate(rules.RULES)
+    )
+    p, error = rules.RISK / len(rules.RULES), rules.ERROR
+    return rf"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '') AS stratum, coalesce(text, '') AS body FROM documents),
+words AS (
+    SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i
+    FROM (SELECT r, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS w FROM texts)
+),
+windows AS (
+    SELECT r, i, string_agg(word, ' ') OVER f AS span, count(*) OVER f AS n
+    FROM words WINDOW f AS (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)
+),
+twice AS (SELECT r, i FROM windows WHERE n = 8 QUALIFY count(*) OVER (PARTITION BY r, span) > 1),
+repeated AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, range(8) AS t(k) GROUP BY r),
+lines AS (SELECT r, unnest(string_split(body, chr(10))) AS line FROM texts),
+line_counts AS (
+    SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS dup FROM lines
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+),
+word_counts AS (SELECT r, count(*) AS n, sum(length(word)) AS chars FROM words GROUP BY r),
+figures AS (
+    SELECT doc_id, stratum, CAST(coalesce(w.n, 0) AS BIGINT) AS n_words, CAST(coalesce(w.chars, 0) AS BIGINT) AS word_chars,
+        CAST(len(regexp_extract_all(body, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(l.n, 0) AS n_lines,
+        CAST(coalesce(l.dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(p.n, 0) AS BIGINT) AS n_repeat_words
+    FROM texts LEFT JOIN word_counts w USING (r) LEFT JOIN line_counts l USING (r) LEFT JOIN repeated p USING (r)
+),
+based AS (
+    SELECT *, n_words < {rules.LEAST_WORDS} OR 100 * n_repeat_words > {rules.MOST_REPEATED} * n_words AS base_failed FROM figures
+),
+grid(rule, name, place, cutoff) AS (VALUES {grid}),
+good AS (SELECT doc_id, avg(quality) >= 0.5 AS good FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id),
+holdout AS (SELECT * FROM based JOIN good USING (doc_id) WHERE NOT base_failed),
+sizes AS (
+    SELECT stratum, count(*) FILTER (good) AS goods, count(*) FILTER (NOT good) AS bads,
+        count(*) OVER () * {len(rules.RULES)} AS tests
+    FROM holdout GROUP BY stratum
+),
+failed AS (
+    SELECT stratum, rule, place, cutoff, count(*) FILTER (good AND over) AS good, count(*) FILTER (NOT good AND over) AS bad
+    FROM (SELECT *, CASE rule {over} END AS over FROM holdout, grid) GROUP BY ALL
+),
+tails AS (
+    SELECT f.*, s.goods, s.bads, s.tests, CASE WHEN f.good >= s.goods * {p}::DOUBLE THEN 1 ELSE (
+        SELECT sum(exp(lgamma(s.goods + 1) - lgamma(i + 1) - lgamma(s.goods - i + 1)
+            + i * ln({p}::DOUBLE) + (s.goods - i) * ln({1 - p}::DOUBLE))) FROM range(f.good + 1) AS t(i)
+    ) END AS tail
+    FROM failed f JOIN sizes s USING (stratum)
+),
+passed AS (
+    SELECT *, bad::DOUBLE / greatest(1, bads) - good::DOUBLE / greatest(1, goods) AS told,
+        max(CASE WHEN tail > {error}::DOUBLE / tests THEN 1 ELSE 0 END) OVER (PARTITION BY stratum, rule ORDER BY place) AS broken
+    FROM tails
+),
+chosen AS (
+    SELECT stratum, rule, cutoff FROM passed WHERE broken = 0 AND told > 0
+    QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY round(told, 12) DESC, place) = 1
+),
+verdicts AS (
+    SELECT b.*, (SELECT string_agg(name, ',' ORDER BY rule) FROM chosen c JOIN (SELECT DISTINCT rule, name FROM grid) g USING (rule)
+        WHERE c.stratum = b.stratum AND CASE rule {over} END) AS failed
+    FROM based b
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND failed IS NULL AS kept, coalesce(failed, '') AS failed
+FROM verdicts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_source_mix": _OP4, "op8_exact_dedup": _OP8, "op9_top_k": _OP9}
+    return {"op4_source_mix": _OP4, "op8_exact_dedup": _OP8, "op9_top_k": _OP9, "op11_quality_rules": _rules_sql()}
