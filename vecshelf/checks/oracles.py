@@ -75,8 +75,7 @@ def words(source: str, dim: int) -> str:
     """Word vectors in long form with their norms, for the words of a `(id, toks)` table."""
     return f"""words AS (
   SELECT token, j, {md5_number("token || ':' || j")} / 4294967296.0::DOUBLE - 0.5 AS v
-  FROM (SELECT DISTINCT unnest(toks) AS token FROM {source}), range({dim}) t(j)
-  WHERE {md5_number('token')} % 2 = 0),
+  FROM (SELECT token FROM (SELECT unnest(toks) AS token FROM {source}) GROUP BY token HAVING count(*) > 1), range({dim}) t(j)),
 norms AS (SELECT token, sqrt(sum(v * v)) AS norm FROM words GROUP BY token)"""
 
 
@@ -186,6 +185,10 @@ SELECT id, neighbour_id, {r6('d2')} AS d2,
   row_number() OVER (PARTITION BY row_id ORDER BY round(d2, 9), neighbour_id) AS rank
 FROM near QUALIFY rank <= 12"""
 
+KEPT_UP = """WITH cat AS (
+  SELECT p_partkey AS id, CASE WHEN p_type = 'PROMO' THEN p_name || ' small' ELSE p_name END AS name FROM part WHERE p_type <> 'ECONOMY'),
+{h} SELECT 'dj_similar:deep:' || id AS key, value FROM ({lists})"""
+
 DROPOUT = f"""WITH {E},
 x AS (SELECT id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e),
 z0 AS (SELECT id, x, i, (({md5_number(f"id || ':{SEED}:1'")}::UHUGEINT
@@ -403,13 +406,15 @@ SELECT count(*) AS n,
         # The first AdamW step: both moments are the gradient's own, so the move is nearly its sign.
         "fit_step": f"""{gradient}, g2 AS (SELECT class, dim, u * norm AS w, (a - u * dot) / norm AS g FROM d)
 SELECT class AS id, dim AS place, {r6('w * (1 - 0.05::DOUBLE * 1e-4::DOUBLE) - 0.05::DOUBLE * g / (abs(g) + 1e-8::DOUBLE)')} AS value FROM g2""",
-        "learning_rate": """SELECT vec_id AS step, round(CASE WHEN vec_id < n // 4 THEN 1e-5::DOUBLE * vec_id / (n // 4)
-  ELSE 1e-5::DOUBLE * (n - vec_id) / (n - n // 4) END * 1e6, 9) + 0.0 AS rate
-FROM embeddings, (SELECT count(*) AS n FROM embeddings)""",
+        "learning_rate": """SELECT step, round(CASE WHEN step < n // 4 THEN 1e-5::DOUBLE * step / (n // 4)
+  ELSE 1e-5::DOUBLE * (n - step) / (n - n // 4) END * 1e6, 9) + 0.0 AS rate
+FROM range(8) t(step), (SELECT 8 AS n FROM embeddings LIMIT 1)""",
         "knn_self": f"WITH {E} {ranked('e', 'e', 12, other)}",
         "knn_drop_first": f"WITH {E} {ranked('e', 'e', 12, skip=1)}",
         "knn_blocks": f"WITH {E} {ranked('e', 'e', 12, other)}",
         "knn_cross": f"WITH {E}, {CENTROIDS}, k AS (SELECT class AS id, w AS v FROM c) {ranked('k', 'e', 13)}",
+        "knn_tree": f"WITH {E} {ranked('e', 'e', 12, other)}",
+        "knn_tree_cross": f"WITH {E}, {CENTROIDS}, k AS (SELECT class AS id, w AS v FROM c) {ranked('k', 'e', 13)}",
         "knn_small": scaled("1e-6"),
         "knn_small_blocks": scaled("1e-6"),
         "knn_large": scaled("1e20"),
@@ -422,7 +427,24 @@ SELECT n.id, {r6('avg((a.label = b.label)::INT)')} AS purity
 FROM n JOIN e a ON a.id = n.id JOIN e b ON b.id = n.neighbour_id GROUP BY n.id""",
         "dropout": DROPOUT,
         "publish_run": f"""WITH {E} SELECT 'dj_similar:deep:' || id AS key, value
-FROM ({listed(ranked('e', 'e', 12, other))}) WHERE id % 2 = 0""",
+FROM ({listed(ranked('e', 'e', 12, other))})""",
+        "published_batches": f"""WITH {E} SELECT 'dj_similar:deep:' || id AS key, value
+FROM ({listed(ranked('e', 'e', 12, other))})""",
+        "snapshot_difference": """WITH rows AS (
+  SELECT doc_id AS id, text AS name, lang FROM documents UNION ALL SELECT doc_id, nullif(source, 'src0'), lang FROM documents),
+told AS (SELECT id, coalesce('=' || name, '-') AS name, lang FROM rows),
+before AS (SELECT id, list(DISTINCT name ORDER BY name) AS names FROM told WHERE lang <> 'de' GROUP BY id),
+after AS (
+  SELECT id, list(DISTINCT name ORDER BY name) AS names FROM (
+    SELECT id, CASE WHEN lang = 'fr' THEN upper(name) ELSE name END AS name FROM told WHERE lang <> 'es') GROUP BY id)
+SELECT id, CASE WHEN b.names IS NULL THEN 'new' WHEN a.names IS NULL THEN 'gone' ELSE 'changed' END AS change
+FROM before b FULL JOIN after a USING (id) WHERE b.names IS DISTINCT FROM a.names""",
+        "vectors_kept": f"WITH cat AS (SELECT doc_id AS id, text FROM documents), {hashed('cat', 'text')} {long_list('h', 'v')}",
+        "lists_repaired": f"""WITH {E}, f AS (
+  SELECT id, CASE WHEN label = 2 THEN list_transform(v, lambda x: -x) ELSE v END AS v FROM e WHERE label <> 3)
+{ranked('f', 'f', 12, other)}""",
+        "daily_runs": KEPT_UP.format(h=hashed("cat", "name"), lists=listed(ranked("h", "h", 12, other))),
+        "stream_publish": KEPT_UP.format(h=hashed("cat", "name"), lists=listed(ranked("h", "h", 12, other))),
         "run_summary_baseline": """WITH cat AS (SELECT DISTINCT p_partkey, nullif(p_name, 'small ring') AS name FROM part WHERE p_type = 'ECONOMY')
 SELECT count(*) AS loaded, count(name) AS cleaned, count(*) - count(name) AS rejected,
   count(name) AS embedded, count(name) AS searched, TRUE AS balanced FROM cat""",

@@ -19,23 +19,29 @@ from vecshelf.functions import text as X
 from vecshelf.functions import vectors as V
 from vecshelf.operators import batching, clean, compare, encode, fit, head, neighbours
 from vecshelf.operators.counts import RunCounts
+from vecshelf.operators.difference import difference, fingerprints
 from vecshelf.operators.embed import (
     HashingEncoder,
     HashingIdEncoder,
     dimension_range,
     embed,
+    embed_stored,
     sentence_vectors,
 )
 from vecshelf.operators.lists import neighbour_lists
+from vecshelf.operators.repair import repaired_lists
 from vecshelf.plans.baseline import baseline_lists, baseline_tokens
+from vecshelf.plans.daily import run_snapshot
 from vecshelf.plans.deep import deep_lists
 from vecshelf.plans.train import train_head
 from vecshelf.session import durable, shared_folder, spread
 from vecshelf.sinks import records as R
 from vecshelf.sinks.heads import load_head, save_head
+from vecshelf.sinks.shelf import Shelf
 from vecshelf.sources.catalogue import named, read_catalogue
 from vecshelf.sources.labelled import FIELDS_TSV, parse_labelled, read_labelled
 from vecshelf.sources.lists import read_stopwords, read_word_vectors
+from vecshelf.streaming.publish import publish_stream
 
 STOPWORDS = ["the", "and", "des", "les", "und", "die", "der", "que", "los", "est", "那些"]
 COMMON_SHARE = 0.1  # a token in more of the documents than this is a stopword of the derived table
@@ -98,11 +104,11 @@ def document_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def word_vectors(tokens: DataFrame, dim: int, column: str = "tokens") -> DataFrame:
-    """Made-up word vectors for the table's own words; every word whose hash is even has one."""
-    words = tokens.select(F.explode(column).alias("token")).distinct()
+    """Made-up word vectors for the table's own words that occur twice or more; rarer words have none."""
+    words = tokens.select(F.explode(column).alias("token")).groupBy("token").count().where("count > 1")
     places = F.sequence(F.lit(0), F.lit(dim - 1))
     values = F.transform(places, lambda j: X.hash_number(F.col("token"), j) / F.lit(2.0**32) - 0.5)
-    return words.where(X.hash_number(F.col("token")) % 2 == 0).select("token", values.alias("vec"))
+    return words.select("token", values.alias("vec"))
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -580,14 +586,12 @@ def fit_step(spark, sf):
 
 @query
 def learning_rate(spark, sf):
-    """The rate of each step of a run with as many steps as there are vectors, in millionths."""
-    total = vectors(spark, sf).count()
-
-    @F.pandas_udf("double")
-    def rate(steps):
-        return steps.map(lambda step: fit.rate_at(step, total))
-
-    return vectors(spark, sf).select(F.col("id").alias("step"), (F.round(rate("id") * 1e6, 9) + 0.0).alias("rate"))
+    """The rates that a whole fit over the vectors used, in millionths."""
+    rows = vectors(spark, sf)
+    size = rows.agg(F.max("label").alias("top"), F.max(F.size("embedding")).alias("dim")).first()
+    model = fit.ArcHead(n_classes=size["top"] + 1, dim=size["dim"], epochs=8, log_every=1).fit(rows)
+    history = model.history_table(spark)
+    return history.select((F.col("step") - 1).alias("step"), (F.round(F.col("rate") * 1e6, 9) + 0.0).alias("rate"))
 
 
 @query
@@ -629,6 +633,21 @@ def knn_cross(spark, sf):
     return found.withColumn("d2", r6("d2"))
 
 
+@query
+def knn_tree(spark, sf):
+    """The same search through a tree of cells."""
+    found = neighbours.knn(vectors(spark, sf), block_rows=64, tree=True)
+    return found.withColumn("d2", r6("d2"))
+
+
+@query
+def knn_tree_cross(spark, sf):
+    """Class centroids searched in a tree of all vectors."""
+    centroids = _centroids(spark, sf).select(F.col("class").alias("id"), F.col("w").alias("embedding"))
+    found = neighbours.knn(centroids, vectors(spark, sf), k=13, drop=None, block_rows=64, tree=True)
+    return found.withColumn("d2", r6("d2"))
+
+
 @query
 def knn_cosine(spark, sf):
     moved = F.transform("embedding", lambda v: (v + 0.25) * (F.col("label") + 1))
@@ -724,16 +743,39 @@ def publish_records(spark, sf):
 
 @query
 def publish_run(spark, sf):
-    """Two runs publish to one folder; a reader of the compacted folder sees what is live."""
+    """Two models and two runs publish to one folder; a reader of the compacted folder sees what is live."""
     now = F.lit(NOW).cast("timestamp")
     lists = durable(neighbour_lists(neighbours.knn(vectors(spark, sf))))
     path, later = scratch(spark), scratch(spark)
-    R.publish(lists, "deep", now - F.expr("INTERVAL 8 DAYS"), path=path)
-    R.publish(lists.where("id % 2 = 0"), "deep", now - F.expr("INTERVAL 1 DAY"), path=path)
+    for model, days in (("old", 8), ("deep", 8), ("deep", 1)):
+        R.publish(lists, model, now - F.make_dt_interval(days=F.lit(days)), path=path)
     R.compact(spark, path, later, now)
     return R.live(spark.read.parquet(later), now).select("key", "value")
 
 
+@query
+def published_batches(spark, sf):
+    """Records handed to an external writer in batches: what its files hold."""
+    path = scratch(spark)
+    spark.range(1).write.parquet(path)  # the store's folder
+
+    def open_store():
+        import pyarrow.fs as pafs
+
+        store, folder = pafs.FileSystem.from_uri(path) if ":" in path else (pafs.LocalFileSystem(), path)
+
+        def write(rows):
+            with store.open_output_stream(f"{folder}/{uuid.uuid4().hex}.txt") as out:
+                out.write("".join(f"{key}\t{value}\n" for key, value, _ in rows).encode())
+
+        return write
+
+    lists = neighbour_lists(neighbours.knn(vectors(spark, sf)))
+    R.publish(lists, "deep", F.lit(NOW).cast("timestamp"), writer=open_store, batch=64)
+    line = F.split("value", "\t")
+    return spark.read.text(f"{path}/*.txt").select(line[0].alias("key"), line[1].alias("value")).distinct()
+
+
 @query
 def live_records(spark, sf):
     """Every event as a write to the key of its user and type: the last wins, some have expired."""
@@ -746,6 +788,92 @@ def live_records(spark, sf):
     return R.live(events, F.lit(NOW).cast("timestamp")).select("key", "value")
 
 
+# What is kept up from run to run
+
+
+def _snapshots(spark, sf):
+    """The documents' texts and sources under their ids, before and after: some come, some go, some change."""
+    docs = table(spark, sf, "documents")
+    rows = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("name"), "lang").unionByName(
+        docs.select(F.col("doc_id").alias("id"), F.expr("nullif(source, 'src0')").alias("name"), "lang")
+    )
+    before = rows.where("lang <> 'de'").select("id", "name")
+    again = F.when(F.col("lang") == "fr", F.upper("name")).otherwise(F.col("name")).alias("name")
+    after = rows.where("lang <> 'es'").select("id", again)
+    return before.union(before), after.union(after.limit(1).select(F.lit(None).cast("long"), "name"))
+
+
+@query
+def snapshot_difference(spark, sf):
+    before, after = _snapshots(spark, sf)
+    return difference(fingerprints(before), fingerprints(after))
+
+
+@query
+def vectors_kept(spark, sf):
+    """Encoded in two runs, the second of which finds the first one's vectors stored."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text", "lang")
+    shelf, result = Shelf(spark, scratch(spark)), None
+    for rows in (docs.where("lang <> 'en'"), docs):
+        result = embed_stored(rows.select("id", "text"), "id", "text", lambda: HashingEncoder(ENCODER_DIM), ENCODER_DIM, shelf, "hash")
+    return long_form(result, "id", "embedding")
+
+
+@query
+def lists_repaired(spark, sf):
+    """Lists after some vectors have moved, some are new and some are gone: repaired ones beside untouched ones."""
+    rows = vectors(spark, sf)
+    flipped = F.transform("embedding", lambda v: -v)
+    before = durable(rows.where("label <> 1").select("id", "embedding"))
+    lists = durable(neighbours.knn_lists(before))
+    changed = rows.where("label = 1").select("id", "embedding").unionByName(
+        rows.where("label = 2").select("id", flipped.alias("embedding"))
+    )
+    gone = rows.where("label = 3").select("id")
+    touched = durable(repaired_lists(before, lists, changed, gone, block_rows=64))
+    kept = lists.join(touched, "id", "left_anti").join(gone, "id", "left_anti")
+    found = kept.unionByName(touched.select("id", "neighbours"))
+    return found.select("id", F.posexplode("neighbours").alias("p", "n")).select(
+        "id", "n.neighbour_id", r6("n.d2").alias("d2"), (F.col("p") + 1).alias("rank")
+    )
+
+
+def _catalogue_days(spark, sf):
+    """A catalogue that changes twice: first some products go, then others get another name."""
+    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), "p_type")
+    left = parts.where("p_type <> 'ECONOMY'")
+    renamed = F.when(F.col("p_type") == "PROMO", F.concat("name", F.lit(" small"))).otherwise(F.col("name"))
+    return [d.select("id", "name") for d in (parts, left, left.withColumn("name", renamed))]
+
+
+@query
+def daily_runs(spark, sf):
+    """Three daily runs on one shelf; its records are those of a whole run on the last day."""
+    shelf = Shelf(spark, scratch(spark), buckets=8)
+    for day, catalogue in enumerate(_catalogue_days(spark, sf)):
+        run_snapshot(shelf, catalogue, lambda: HashingEncoder(ENCODER_DIM), "hash", F.lit(NOW).cast("timestamp"), ENCODER_DIM, tag=day)
+    return shelf.read("records").select("key", "value")
+
+
+@query
+def stream_publish(spark, sf):
+    """The same changes as files that a stream picks up one by one, one of them a second time."""
+    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), "p_type")
+    drops = [
+        parts.select("id", "name", F.lit("UP").alias("status"), F.lit(1).alias("at")),
+        parts.where("p_type = 'ECONOMY'").select("id", "name", F.lit("DOWN").alias("status"), F.lit(2).alias("at")),
+        parts.where("p_type = 'PROMO'").select("id", F.concat("name", F.lit(" small")).alias("name"), F.lit("UP").alias("status"), F.lit(3).alias("at")),
+    ]
+    source, shelf, checkpoint = scratch(spark), scratch(spark), scratch(spark)
+    for drop in drops:
+        drop.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(drops[0].schema).option("maxFilesPerTrigger", 1).parquet(source)
+        publish_stream(
+            stream, shelf, checkpoint, lambda: HashingEncoder(ENCODER_DIM), "hash", F.lit(NOW).cast("timestamp"), ENCODER_DIM
+        ).awaitTermination()
+    return Shelf(spark, shelf).read("records").select("key", "value")
+
+
 # Runs and comparison
 
 

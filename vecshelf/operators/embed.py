@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from vecshelf.functions.vectors import DOUBLES, content_key, from_matrix, l2_normalise, to_matrix, unit_rows
 from vecshelf.operators.lookup import lookup_join
 from vecshelf.session import durable
+from vecshelf.sinks.shelf import Shelf
 
 Encoder = Callable[..., np.ndarray]  # one list per input column, one matrix row per input row
 
@@ -88,13 +89,66 @@ def embed(
     cluster's cores and the shuffle partitions), since its cost does not show in the byte sizes
     by which partitions get merged.
     """
-    spark = df.sparkSession
     inputs = [text] if isinstance(text, str) else list(text)
-    if partitions is None:
-        partitions = max(
-            spark.sparkContext.defaultParallelism,
-            int(spark.conf.get("spark.sql.shuffle.partitions")),
-        )
+    run = _encoding(inputs, encoder_factory, dim, out)
+    if not distinct:
+        schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))])
+        return df.mapInArrow(run, schema)
+    # Inputs are told apart by two 64-bit hashes; they themselves go to the encoder only.
+    keyed = _with_keys(df, inputs)
+    texts = keyed.select(*inputs, "_k1", "_k2").dropDuplicates(["_k1", "_k2"])
+    texts = texts.repartition(partitions or _encoding_tasks(df), "_k1", "_k2")
+    schema = T.StructType([*texts.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))])
+    encoded = texts.mapInArrow(run, schema).select("_k1", "_k2", out)
+    return lookup_join(keyed, encoded, ["_k1", "_k2"], spread=[id]).drop("_k1", "_k2")
+
+
+def embed_stored(
+    df: DataFrame,
+    id: str,
+    text: str | Sequence[str],
+    encoder_factory: Callable[[], Encoder],
+    dim: int,
+    shelf: Shelf,
+    version: str,
+    partitions: int | None = None,
+    out: str = "embedding",
+) -> DataFrame:
+    """`embed` with distinct inputs, encoding only those that no earlier run with this `version` of the encoder has.
+
+    Vectors are kept in the shelf's table `vectors-<version>`, by two 64-bit hashes of the input. New ones are committed
+    before they are joined, so a run that fails later has encoded them for good.
+    """
+    inputs = [text] if isinstance(text, str) else list(text)
+    name, key = f"vectors-{version}", ["k1", "k2"]
+    keyed = _with_keys(df, inputs)
+    texts = keyed.select(*inputs, F.col("_k1").alias("k1"), F.col("_k2").alias("k2")).dropDuplicates(key)
+    kept = shelf.read(name)
+    unseen = durable(texts if kept is None else texts.join(kept.select(*key), key, "left_anti"))
+    if kept is None or not unseen.isEmpty():
+        schema = T.StructType([*unseen.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))])
+        spread_out = unseen.repartition(partitions or _encoding_tasks(df), *key)
+        change = shelf.begin()
+        change.append(name, key, spread_out.mapInArrow(_encoding(inputs, encoder_factory, dim, out), schema).select(*key, F.col(out).alias("vec")))
+        change.commit()
+    asked = texts.select(*key)
+    vectors = shelf.read(name).join(asked, key, "left_semi").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("vec").alias(out))
+    return lookup_join(keyed, vectors, ["_k1", "_k2"], spread=[id]).drop("_k1", "_k2")
+
+
+def _with_keys(df: DataFrame, inputs: list[str]) -> DataFrame:
+    k1, k2 = content_key(F.struct(*inputs))
+    there = df.where(" and ".join(f"`{c}` is not null" for c in inputs))
+    return durable(there.withColumn("_k1", k1).withColumn("_k2", k2))
+
+
+def _encoding_tasks(df: DataFrame) -> int:
+    spark = df.sparkSession
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _encoding(inputs: list[str], encoder_factory: Callable[[], Encoder], dim: int, out: str):
+    """A task that adds vectors to Arrow batches; its encoder is built at the first row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
@@ -110,17 +164,7 @@ def embed(
                 names=[*batch.schema.names, out],
             )
 
-    if not distinct:
-        schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))])
-        return df.mapInArrow(run, schema)
-    # Inputs are told apart by two 64-bit hashes; they themselves go to the encoder only.
-    k1, k2 = content_key(F.struct(*inputs))
-    there = df.where(" and ".join(f"`{c}` is not null" for c in inputs))
-    keyed = durable(there.withColumn("_k1", k1).withColumn("_k2", k2))
-    texts = keyed.select(*inputs, "_k1", "_k2").dropDuplicates(["_k1", "_k2"]).repartition(partitions, "_k1", "_k2")
-    schema = T.StructType([*texts.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))])
-    encoded = texts.mapInArrow(run, schema).select("_k1", "_k2", out)
-    return lookup_join(keyed, encoded, ["_k1", "_k2"], spread=[id]).drop("_k1", "_k2")
+    return run
 
 
 def sentence_vectors(

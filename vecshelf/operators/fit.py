@@ -203,7 +203,7 @@ class ArcHeadModel:
         return spark.createDataFrame(rows, "class bigint, w array<double>")
 
     def history_table(self, spark: SparkSession) -> DataFrame:
-        columns = "step bigint, epoch bigint, batch bigint, loss double, accuracy double, steps_per_s double, dev_loss double, dev_accuracy double"
+        columns = "step bigint, epoch bigint, batch bigint, loss double, accuracy double, steps_per_s double, dev_loss double, dev_accuracy double, rate double"
         names = [c.split()[0] for c in columns.split(",")]
         return spark.createDataFrame([tuple(h.get(n) for n in names) for h in self.history], columns)
 
@@ -294,6 +294,7 @@ class ArcHead:
                             "loss": sum(r["loss"] for r in sums) / n,
                             "accuracy": hits / seen,
                             "steps_per_s": (done - logged) / max(now - clock, 1e-9),
+                            "rate": self._rate(step, total),
                         }
                     )
                     clock, logged = now, done

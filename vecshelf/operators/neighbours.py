@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from vecshelf.constants import NEIGHBOURS
 from vecshelf.functions.vectors import content_key, from_matrix, l2_normalise, to_matrix
 from vecshelf.operators.lookup import lookup_join
+from vecshelf.operators.tree import search_tree
 from vecshelf.session import durable
 
 TIE_BITS = 30  # significant bits of a squared distance that count; about nine digits
@@ -62,9 +63,10 @@ def knn(
     drop: str | None = "self",
     block_rows: int | None = None,
     metric: str = "l2",
+    tree: bool | None = None,
 ) -> DataFrame:
     """`(id, neighbour_id, d2, rank)`: the `k` nearest items of each query, rank from 1."""
-    lists = knn_lists(queries, items, k, id, vector, drop, block_rows, metric)
+    lists = knn_lists(queries, items, k, id, vector, drop, block_rows, metric, tree)
     return lists.select("id", F.posexplode("neighbours").alias("_p", "_n")).select(
         "id",
         F.col("_n.neighbour_id").alias("neighbour_id"),
@@ -82,13 +84,15 @@ def knn_lists(
     drop: str | None = "self",
     block_rows: int | None = None,
     metric: str = "l2",
+    tree: bool | None = None,
 ) -> DataFrame:
     """`(id, neighbours ARRAY<STRUCT<d2, neighbour_id>>)`, nearest first; one list per query row.
 
     Without `items`, the queries are searched among themselves. `drop="self"` removes the query's
     own id, `drop="first"` removes whatever comes first, `None` removes nothing. Fewer than `k`
     other ids give a shorter list. `metric="cosine"` compares the vectors scaled to unit length;
-    `d2` is then 2 - 2 cos.
+    `d2` is then 2 - 2 cos. Tables of more than MAX_PIVOTS blocks are searched through a tree of cells (see
+    `operators.tree`), with the same results; `tree` asks for one or the other.
     """
     if drop not in ("self", "first", None):
         raise ValueError(drop)
@@ -118,8 +122,10 @@ def knn_lists(
         chunk = min(rows, max(CHUNK_ROWS, math.ceil(asked / cores)))
         found = _search_one_block(reps, None if alone else q, want, math.ceil(asked / chunk), repeated)
     else:
+        deep = tree if tree is not None else math.ceil(n / rows) > MAX_PIVOTS
         rows = block_rows or min(rows, max(SPLIT_ROWS, math.ceil(n / cores)))
-        found = _search_cells(reps, None if alone else q, want, n, dim, rows, repeated)
+        own = None if alone else q
+        found = search_tree(reps, own, want, dim, rows, repeated) if deep else _search_cells(reps, own, want, n, dim, rows, repeated)
     mine = lookup_join(q.select("id", "k1", "k2"), found, ["k1", "k2"], spread=["id"])
     if drop == "self":
         left = F.filter("list", lambda e: e["neighbour_id"] != F.col("id"))
@@ -315,7 +321,7 @@ def _search(
     fields = [
         T.StructField("k1", T.LongType()),
         T.StructField("k2", T.LongType()),
-        T.StructField("cell", T.IntegerType()),
+        T.StructField("cell", asked.schema["cell"].dataType),
         T.StructField("sub", T.IntegerType()),
     ]
     if keep_vec:
