@@ -231,30 +231,63 @@ def test_examples_that_share_a_passage_all_stay(spark):
     assert set(entries.ids.tolist()) >= {r[0] for r in rows + copies}
     found = toxicity.scored(both, index).where("doc_id between 900 and 919").collect()
     assert {r.evidence[0].doc_id: r.evidence[0].toxic for r in found} == {i: i % 2 for i in range(900, 920)}
-    mass = {r.id: r.mass for r in toxicity._weighed(both.selectExpr("doc_id AS id", "0 AS label", "text")).collect()}
-    assert [round(mass[i], 6) for i in (900, 950, 954, 901, 0)] == [round(1 / 6, 6)] * 3 + [1, 1]
 
 
-def test_nearest_is_exact():
-    rng = np.random.default_rng(5)
+def drawn_index(rng, n, terms, most, long):
     examples = []
-    for i in range(900):
-        places = np.sort(rng.choice(40, rng.integers(0, 7), replace=False))
-        examples.append((i, int(rng.random() < 0.3), places.tolist(), rng.integers(1, 7, len(places)).tolist()))
-    idf = rng.random(40) + 0.5
-    index = toxicity.build(list(range(40)), idf, examples)
+    for i in range(n):
+        places = np.sort(rng.choice(terms, rng.integers(0, most), replace=False))
+        examples.append((i, int(rng.random() < 0.3), places, rng.integers(1, 7, len(places))))
+    idf = rng.random(terms) + 0.5
+    index = toxicity.build(np.arange(terms), idf, examples, long)
+    dense = np.zeros((len(index.ids), terms))
+    for e, (a, b) in enumerate(zip(index.starts, index.starts[1:])):
+        dense[e, index.terms[a:b]] = index.weights[a:b]
+    return index, dense, idf
+
+
+@pytest.mark.parametrize("long", [0, 60, 10_000])
+def test_nearest_is_exact(long):
+    """Against whole TF-IDF vectors, with bounds on all lists, on some and on none."""
+    rng = np.random.default_rng(5)
+    index, dense, idf = drawn_index(rng, 900, 40, 7, long)
     assert index.examples.sum() + index.blank[0] == 900
-    dense = np.zeros((len(index.examples), 40))
-    for t in range(40):
-        a, b = index.pointers[t * index.most.shape[1]], index.pointers[(t + 1) * index.most.shape[1]]
-        dense[index.postings[a:b], t] = index.weights[a:b]
+    texts = []
     for _ in range(100):
         places = np.sort(rng.choice(40, rng.integers(1, 6), replace=False))
-        weights = toxicity.vector(places, rng.integers(1, 5, len(places)), idf)
-        e, s = toxicity.nearest(index, places, weights, 15)
+        texts.append((places, toxicity.vector(places, rng.integers(1, 5, len(places)), idf)))
+    for (places, weights), (e, s) in zip(texts, toxicity.Search(index).nearest(texts, 15)):
         want = dense[:, places] @ weights
-        best = np.sort(want[want > 0])[::-1][:15]
-        assert np.allclose(s, best) and np.allclose(want[e], s)
+        best = sorted(zip(-want[want > 0], index.ids[want > 0]))[:15]
+        assert np.allclose(s, [-c for c, _ in best]) and np.allclose(want[e], s)
+        assert [i for c, i in best if -c > s[-1] + 1e-9] == [int(i) for i, c in zip(index.ids[e], s) if c > s[-1] + 1e-9] or len(e) == 15
+        assert (np.diff(s) <= 0).all() and len(set(e.tolist())) == len(e)
+
+
+def test_blocks_that_cannot_reach_are_skipped():
+    """Entries of some topic share their words; a text of that topic visits few of the other blocks."""
+    rng = np.random.default_rng(7)
+    examples = [
+        (i, i % 2, np.sort(rng.choice(30, 12, replace=False)) + 30 * (i % 20), np.ones(12, np.int64)) for i in range(4_000)
+    ]
+    index = toxicity.build(np.arange(600), np.ones(600), examples, 50)
+    search = toxicity.Search(index)
+    texts = [(p, toxicity.vector(p, np.ones(12), index.worth)) for _, _, p, _ in examples[:200]]
+    found = search.nearest(texts, 5)
+    assert search.visited < 0.3 * search.asked
+    dense = np.zeros((len(index.ids), 600))
+    for e, (a, b) in enumerate(zip(index.starts, index.starts[1:])):
+        dense[e, index.terms[a:b]] = index.weights[a:b]
+    for (places, weights), (_, s) in zip(texts, found):
+        assert np.allclose(s, np.sort(dense[:, places] @ weights)[::-1][:5])
+
+
+def test_terms_are_words_and_their_beginnings():
+    words = ["", "Ab", "ABCD", "(abcd)!", "abcdef", "abcdefg", "é" * 7, "x" * 500, "x" * 501, "--"]
+    found, held = toxicity.word_terms(words)
+    assert held.sum(axis=1).tolist() == [0, 1, 2, 2, 3, 3, 3, 3, 3, 0]
+    assert (found[2] == found[3])[held[3]].all() and found[4][1] == found[2][1] and found[5][2] == found[4][2]
+    assert found[5][0] != found[4][0] and found[7][0] != found[8][0] and found[4][0] != found[4][2]
 
 
 PAGE = """<!doctype html><html><head><title>No</title><style>p{}</style><script>var a="</p>";</script></head><body>

@@ -1,16 +1,15 @@
 """Toxicity from the nearest labelled examples by exact cosine of weighted TF-IDF vectors.
 
-Terms are words and their beginnings; every term of the examples is in the index, weighing less the
-less it tells toxic from other examples. Examples with equal vectors are one entry that counts all of
-them. Postings are read in order of a text's weights until what is left, by the largest weight of each
-term and by the length of the rest of the vector, can lift few entries above the k-th best; those are
-then measured on their whole vectors, so neighbours are exact.
+Terms are words and their beginnings; every term of the examples is in the index. A term's weight is its
+logarithmic frequency times its inverse document frequency times a factor that is lower the less
+the term tells toxic from other examples. Examples with equal vectors are one entry that counts all of them. Entries lie
+in blocks, and long posting lists keep the largest weight of each block: blocks are scored in order of
+their bounds until none can reach the k-th best, so neighbours are exact.
 """
 
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -21,64 +20,70 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecshelf.llm.common import BLOCK_BYTES, bounded_sample, coded, text_of, text_rows, text_slices, tidy
-from vecshelf.llm.near_dedup import near_groups
+from vecshelf.llm.common import BLOCK_BYTES, bounded_sample, coded, mix64, text_of, text_slices, tidy
 from vecshelf.session import durable
 
-TRAIN_ROWS = 24_000  # bound of the labelled sample
-INDEX_BYTES = 1 << 30  # bound of the index that is sent to the workers
+TRAIN_ROWS = 24_000  # bound of the labelled sample, hence of the index that each worker holds
 SURE_Z = 4.3  # a term that differs so surely has its full weight, as hundreds of thousands are tried
 LEAST_WORTH = 1e-3  # of a term that does not differ at all
-PREFIXES = range(4, 9)
+PREFIXES = (4, 6)  # code points
+LONG_WORD = 64  # code points
 NEIGHBOURS = 15
-MEASURED = 64  # entries that are always few enough to be measured on their whole vectors
-SORTED = 2_000_000  # postings that are sorted at once
-LONG_LIST = 64  # postings of a term that are added on their own
+BLOCK = 64  # entries that share a bound
+LONG_LIST = 64  # entries of a term that has bounds of blocks, at least
+LONG_SHARE = 50  # or this share of all entries
+BATCH = 250  # texts that are searched together
+ROUNDING = np.float32(2e-5)  # of single-precision sums, by which bounds are raised
 PRIOR_WEIGHT = 0.5
 SEED = 23
 EVIDENCE = 3  # neighbours that are shown
 REJECTED = 0.7
 
 
-def word_terms(word: str) -> list[int]:
-    """The terms of a word: the word and its beginnings, as hashes."""
-    core = word.lower().strip("".join(c for c in set(word) if not c.isalnum()))
-    if not core:
-        return []
-    begins = [core[:n] + "*" for n in PREFIXES if n <= len(core)]
-    return [xxhash.xxh3_64_intdigest(x) >> 1 for x in (core, *begins)]
+def word_terms(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of words as 63-bit hashes [word, 1 + len(PREFIXES)], and which of them the word has.
 
+    The first is the word in lower case without the marks around it, the others are its beginnings. Hashes
+    run over code points, all words at once; words of over LONG_WORD code points are hashed on their own.
+    """
+    marks = "".join(c for c in set().union(*map(set, words)) if not c.isalnum()) if words else ""
+    cores = [w.lower().strip(marks) for w in words]
+    lengths = np.array([len(c) for c in cores], np.int64)
+    points = np.frombuffer("".join(cores).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    starts = np.cumsum(lengths) - lengths
+    hashes = np.zeros((len(words), 1 + len(PREFIXES)), np.uint64)
+    state = np.full(len(words), 0x9E3779B97F4A7C15, np.uint64)
+    for j in range(int(min(lengths.max(initial=0), LONG_WORD))):
+        live = np.flatnonzero(lengths > j)
+        state[live] = (state[live] ^ points[starts[live] + j]) * np.uint64(0x100000001B3)
+        state[live] ^= state[live] >> np.uint64(29)
+        if j + 1 in PREFIXES:
+            hashes[:, 1 + PREFIXES.index(j + 1)] = mix64(state + np.uint64(j + 1))
+    hashes[:, 0] = mix64(~state)
+    for i in np.flatnonzero(lengths > LONG_WORD):
+        hashes[i, 0] = xxhash.xxh3_64_intdigest(cores[i].encode("utf-8", "surrogatepass"))
+    held = np.column_stack([lengths > 0, *(lengths >= n for n in PREFIXES)])
+    return (hashes >> np.uint64(1)).astype(np.int64), held
 
-class TermReader:
-    """Term counts of texts for a vocabulary (sorted term hashes); remembers a bounded number of words."""
 
-    def __init__(self, vocabulary: np.ndarray | None, remembered: int = 50_000):
-        self.vocabulary, self.remembered, self.known = vocabulary, remembered, {}
+class TermReader:
+    """Term counts of texts for a vocabulary (sorted term hashes), or for any terms if it is None."""
 
-    def learn(self, words: list[str]) -> None:
-        """Remember the places of the terms of new words."""
-        found = [word_terms(w) for w in words]
-        if self.vocabulary is not None:
-            sizes = [len(f) for f in found]
-            terms = np.array([t for f in found for t in f], np.int64)
-            at = np.searchsorted(self.vocabulary, terms)
-            held = np.zeros(len(terms), bool)
-            inside = at < len(self.vocabulary)
-            held[inside] = self.vocabulary[at[inside]] == terms[inside]
-            places, held, ends = at.tolist(), held.tolist(), np.cumsum(sizes).tolist()
-            found = [[places[i] for i in range(b - n, b) if held[i]] for n, b in zip(sizes, ends)]
-        self.known.update(zip(words, found))
+    def __init__(self, vocabulary: np.ndarray | None):
+        self.vocabulary = vocabulary
 
     def counts(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each text its distinct terms and how often each occurs."""
+        """For each text its distinct terms (their places in the vocabulary) and how often each occurs."""
         split = [t.split() for t in texts]
         codes, distinct = coded([w for ws in split for w in ws])
-        if len(self.known) >= self.remembered:
-            self.known = {}
-        self.learn([w for w in distinct if w not in self.known])
-        found = [self.known[w] for w in distinct]
-        sizes = np.array([len(f) for f in found], np.int64)
-        flat = np.array([t for f in found for t in f], np.int64)
+        found, held = word_terms(distinct)
+        if self.vocabulary is not None:
+            at = np.searchsorted(self.vocabulary, found)
+            at[at == len(self.vocabulary)] = 0
+            held &= (self.vocabulary[at] == found) if len(self.vocabulary) else False
+            found = at
+        sizes = held.sum(axis=1)
+        flat = found[held]
         starts = np.cumsum(sizes) - sizes
         at = 0
         for ws in split:
@@ -88,91 +93,86 @@ class TermReader:
             if not len(own):
                 yield np.zeros(0, np.int64), np.zeros(0, np.int64)
                 continue
-            n = sizes[own]
-            inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            yield np.unique(flat[np.repeat(starts[own], n) + inner], return_counts=True)
+            yield np.unique(flat[_spans(starts[own], sizes[own])], return_counts=True)
 
 
 class Entries(NamedTuple):
-    """Distinct example vectors: postings by term, term lists by entry, and what entries count."""
+    """Distinct example vectors in blocks of BLOCK, and the inverted index over them.
+
+    Terms in few entries have plain postings. Long lists are kept block by block, with each block's largest weight.
+    """
 
     vocabulary: np.ndarray  # sorted term hashes
     worth: np.ndarray  # weight of each term
-    pointers: np.ndarray  # where the postings of a term begin
-    postings: np.ndarray  # entries, by term and then entry
-    weights: np.ndarray
-    most: np.ndarray  # [term, 1]: the largest weight
+    pointers: np.ndarray  # where the postings of a term begin; long lists have none
+    postings: np.ndarray  # entries, by term
+    posted: np.ndarray  # their weights
+    column: np.ndarray  # of each term among those with long lists, or -1
+    most: np.ndarray  # [column, block]: the largest weight
+    block_pointers: np.ndarray  # where the postings of a block and column begin, block by block
+    block_entries: np.ndarray  # places within the block
+    block_weights: np.ndarray
     starts: np.ndarray  # where the terms of an entry begin
     terms: np.ndarray  # by entry and then term
-    levels: np.ndarray  # how often the term occurs, at most 4
-    lengths: np.ndarray  # of the entries' vectors before they are scaled to 1
+    weights: np.ndarray  # of vectors of length 1
     examples: np.ndarray
     positives: np.ndarray
     ids: np.ndarray  # the smallest example id of each entry
     blank: tuple[int, int]  # examples without a term, and toxic ones of them
 
 
-_LEVELS = 1 + np.log(np.maximum(np.arange(5), 1))
-
-
 def vector(places: np.ndarray, counts: np.ndarray, worth: np.ndarray) -> np.ndarray:
     weights = (1 + np.log(counts)) * worth[places]
     return weights / np.sqrt(weights @ weights)
 
 
-def build(vocabulary: list[int], worth: np.ndarray, examples: Iterable[tuple[int, int, list[int], list[int]]]) -> Entries:
-    """The index of examples (id, label, places, counts); `vocabulary` is sorted."""
+def build(vocabulary: np.ndarray, worth: np.ndarray, examples: Iterable[tuple[int, int, np.ndarray, np.ndarray]],
+          long: int | None = None) -> Entries:
+    """The index of examples (id, label, places, counts); `vocabulary` is sorted. Lists of over `long` entries are long."""
     entries: dict[bytes, int] = {}
     blank = [0, 0]
-    held, terms, levels = [], array("i"), bytearray()
+    held, lists = [], []
     for id_, label, places, counts in examples:
         if not len(places):
             blank[0] += 1
             blank[1] += label
             continue
         # Counts above 3 are one level, so that equal evidence meets in one entry.
-        own, level = np.asarray(places, np.int32).tobytes(), np.minimum(counts, 4).astype(np.uint8).tobytes()
-        e = entries.setdefault(xxhash.xxh3_128_digest(own + level), len(held))
+        places, level = np.asarray(places, np.int32), np.minimum(counts, 4).astype(np.uint8)
+        e = entries.setdefault(xxhash.xxh3_128_digest(places.tobytes() + level.tobytes()), len(held))
         if e == len(held):
-            held.append([0, 0, id_, len(level)])
-            terms.frombytes(own)
-            levels += level
-            if 20 * len(vocabulary) + 11 * len(levels) > INDEX_BYTES:
-                raise ValueError(f"the terms of {len(held)} examples are over INDEX_BYTES; fit on fewer rows")
+            held.append([0, 0, id_])
+            lists.append((places, vector(places, level, worth).astype(np.float32)))
         held[e][0] += 1
         held[e][1] += label
         held[e][2] = min(held[e][2], id_)
-    sizes = np.array([h[3] for h in held], np.int64)
+    lengths = np.zeros(len(vocabulary), np.int64)
+    for places, _ in lists:
+        lengths[places] += 1
+    long = max(LONG_LIST, len(held) // LONG_SHARE) if long is None else long
+    column = np.where(lengths > long, np.cumsum(lengths > long) - 1, -1).astype(np.int32)
+    # Entries of one strongest term stand together, which keeps the blocks' bounds low.
+    order = sorted(range(len(held)), key=lambda e: (int(lists[e][0][lists[e][1].argmax()]), held[e][2]))
+    held, lists = [held[e] for e in order], [lists[e] for e in order]
+    sizes = np.array([len(t) for t, _ in lists], np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes)])
-    terms, levels = np.frombuffer(terms, np.int32), np.frombuffer(levels, np.uint8)
-    # Sorted by term a run of entries at a time, which needs less memory than all at once.
-    cuts = np.unique(np.append(np.searchsorted(starts, np.arange(0, len(terms) + 1, SORTED)), len(held)))
-    runs = [(a, b, slice(starts[a], starts[b])) for a, b in zip(cuts, cuts[1:])]
-    lengths = np.zeros(len(held))
-    next_ = np.zeros(len(vocabulary) + 1, np.int64)
-    for a, b, at in runs:
-        next_[1:] += np.bincount(terms[at], minlength=len(vocabulary))
-        squares = (_LEVELS[levels[at]] * worth[terms[at]]) ** 2
-        lengths[a:b] = np.sqrt(np.add.reduceat(squares, starts[a:b] - starts[a]))
-    pointers = np.cumsum(next_)
-    next_ = pointers.copy()
-    postings = np.zeros(len(terms), np.uint16 if len(held) < 1 << 16 else np.uint32)
-    weights = np.zeros(len(terms), np.float32)
-    for a, b, at in runs:
-        order = np.argsort(terms[at], kind="stable")
-        by, owner = terms[at][order], np.repeat(np.arange(a, b), sizes[a:b])[order]
-        distinct, first, n = np.unique(by, return_index=True, return_counts=True)
-        to = np.arange(len(by)) + np.repeat(next_[distinct] - first, n)
-        postings[to] = owner
-        weights[to] = _LEVELS[levels[at][order]] * worth[by] / lengths[owner]
-        next_[distinct] += n
-    most = np.zeros((len(vocabulary), 1), np.float32)
-    used = np.flatnonzero(np.diff(pointers))
-    if len(used):
-        most[used, 0] = np.maximum.reduceat(weights, pointers[used]) * np.float32(1.00001)
+    terms = np.concatenate([np.zeros(0, np.int32), *(t for t, _ in lists)])
+    weights = np.concatenate([np.zeros(0, np.float32), *(w for _, w in lists)])
+    del lists, entries
+    pointers = np.concatenate([[0], np.cumsum(np.where(column < 0, lengths, 0))])
+    owner = np.repeat(np.arange(len(held), dtype=np.int32), sizes)
+    at = np.flatnonzero(column[terms] < 0)
+    at = at[np.argsort(terms[at], kind="stable")]
+    most = np.zeros((int(column.max(initial=-1)) + 1, -(-len(held) // BLOCK)), np.float32)
+    there = np.flatnonzero(column[terms] >= 0)
+    np.maximum.at(most, (column[terms[there]], owner[there] // BLOCK), weights[there])
+    key = owner[there].astype(np.int64) // BLOCK * len(most) + column[terms[there]]
+    block_pointers = np.concatenate([[0], np.cumsum(np.bincount(key, minlength=most.size))])
+    there = there[np.argsort(key, kind="stable")]
     columns = [np.array([h[i] for h in held], np.int64) for i in range(3)]
     return Entries(
-        np.array(vocabulary, np.int64), worth, pointers, postings, weights, most, starts, terms, levels, lengths, *columns,
+        np.array(vocabulary, np.int64), worth, pointers, owner[at], weights[at], column, most, block_pointers,
+        (owner[there] % BLOCK).astype(np.uint8), weights[there], starts, terms, weights, *columns,
         tuple(blank),
     )
 
@@ -213,56 +213,102 @@ def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def _measured(index: Entries, entries: np.ndarray, places: np.ndarray, weights: np.ndarray, dense: np.ndarray) -> np.ndarray:
     """Cosines of entries on their whole vectors; `dense` is zero before and after."""
-    dense[places] = weights * index.worth[places]
+    dense[places] = weights
     a, n = index.starts[entries], index.starts[entries + 1] - index.starts[entries]
     at = _spans(a, n)
-    products = dense[index.terms[at]] * _LEVELS[index.levels[at]]
+    products = dense[index.terms[at]] * index.weights[at]
     dense[places] = 0
-    return np.add.reduceat(products, np.cumsum(n) - n) / index.lengths[entries]
-
-
-def nearest(
-    index: Entries, places: np.ndarray, weights: np.ndarray, k: int, dense: np.ndarray | None = None
-) -> tuple[np.ndarray, np.ndarray]:
-    """The k entries of highest cosine above 0, ties to the earlier entry, and their cosines.
-
-    `dense` is a buffer of zeros as long as the vocabulary.
-    """
-    order = np.argsort(-weights, kind="stable")
-    by, w = places[order], weights[order]
-    starts, sizes = index.pointers[by], index.pointers[by + 1] - index.pointers[by]
-    # What the terms from here on can add to any entry; vectors have length 1.
-    reach = np.append(np.cumsum((w * index.most[by, 0])[::-1])[::-1], 0)
-    rest = np.minimum(reach, np.sqrt(np.append(np.cumsum((w * w)[::-1])[::-1], 0)) * 1.00001)
-    left = np.append(np.cumsum(sizes[::-1])[::-1], 0)
-    mean = len(index.terms) / max(1, len(index.ids))
-    scores = np.zeros(len(index.ids))
-    at = 0
-    for aim in (0.3, 0.15, 0.07, 0.03, 0.01, 0.003, 0.001, 0.0):
-        upto = max(at, int(np.searchsorted(-rest, -aim)))
-        if upto == at:
-            continue
-        part = np.arange(at, upto)
-        for i in part[sizes[part] > LONG_LIST]:
-            a, b = starts[i], starts[i] + sizes[i]
-            scores[index.postings[a:b]] += w[i] * index.weights[a:b]
-        part = part[sizes[part] <= LONG_LIST]
-        if len(part):
-            where = _spans(starts[part], sizes[part])
-            scores += np.bincount(
-                index.postings[where], np.repeat(w[part], sizes[part]) * index.weights[where], len(scores)
-            )
-        at = upto
-        worst = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else 0.0
-        open_ = np.flatnonzero((scores + rest[at] * 1.00001 >= worst * 0.99999) & (scores + rest[at] > 0))
-        if not left[at] or len(open_) <= max(MEASURED, left[at] / mean):
-            break
-    if not len(open_):
-        return np.zeros(0, np.int64), np.zeros(0)
-    s = _measured(index, open_, places, weights, np.zeros(len(index.worth)) if dense is None else dense)
-    open_, s = open_[s > 0], s[s > 0]
-    best = np.lexsort((open_, -s))[:k]
-    return open_[best], s[best]
+    return np.add.reduceat(products, np.cumsum(n) - n)
+
+
+class Search:
+    """Nearest entries of batches of texts."""
+
+    def __init__(self, index: Entries):
+        self.index = index
+        self.blocks = index.most.shape[1]
+        self.dense = np.zeros(len(index.worth))
+        self.block = np.zeros((len(index.most), BLOCK), np.float32)
+        self.visited = 0  # blocks that were scored, of `asked`
+        self.asked = 0
+
+    def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each text (places, weights) the k entries of highest cosine above 0, ties to the smaller example id.
+
+        Postings of short lists are added first. Blocks are then scored in order of what they can reach, by the
+        largest weights of long lists in the block, until the next cannot reach a text's k-th best.
+        """
+        index, n = self.index, len(texts)
+        if not n or not len(index.ids):
+            return [(np.zeros(0, np.int64), np.zeros(0))] * n
+        sizes = np.array([len(p) for p, _ in texts])
+        owner = np.repeat(np.arange(n), sizes)
+        places, weights = (np.concatenate([t[i] for t in texts]) for i in (0, 1))
+        column = index.column[places]
+        at = column >= 0
+        asked = np.zeros((n, len(index.most)), np.float32)
+        asked[owner[at], column[at]] = weights[at]
+        starts, count = index.pointers[places[~at]], index.pointers[places[~at] + 1] - index.pointers[places[~at]]
+        spans = _spans(starts, count)
+        width = self.blocks * BLOCK
+        cells = np.repeat(owner[~at] * width, count) + index.postings[spans]
+        scores = np.bincount(cells, np.repeat(weights[~at], count) * index.posted[spans], n * width).astype(np.float32)
+        scores = scores.reshape(n, self.blocks, BLOCK)
+        bounds = asked @ index.most + scores.max(axis=2)
+        bounds[bounds > 0] += ROUNDING
+        order = np.argsort(-bounds, axis=1, kind="stable")
+        best = np.zeros((n, k), np.float32)  # the k highest scores of the entries seen, in any order
+        seen = np.zeros((n, self.blocks), bool)
+        at, step, rows = 0, 2, np.arange(n)
+        while at < self.blocks and len(rows):
+            part = order[rows, at : at + step]
+            wanted = (bounds[rows[:, None], part] >= best[rows].min(axis=1)[:, None]) & (bounds[rows[:, None], part] > 0)
+            rows = rows[wanted.any(axis=1)]
+            part, wanted = part[wanted.any(axis=1)], wanted[wanted.any(axis=1)]
+            row, block = np.repeat(rows, wanted.sum(axis=1)), part[wanted]
+            by = np.argsort(block, kind="stable")
+            for group in np.split(by, np.flatnonzero(np.diff(block[by])) + 1) if len(by) else ():
+                self._score(int(block[group[0]]), row[group], asked, scores)
+            seen[row, block] = True
+            for r in rows:
+                found = scores[r, part[np.searchsorted(rows, r)][wanted[np.searchsorted(rows, r)]]].ravel()
+                best[r] = np.partition(np.concatenate([best[r], found]), len(found))[len(found) :]
+            at, step = at + step, 2 * step
+        self.visited += int(seen.sum())
+        self.asked += seen.size
+        least = best.min(axis=1) - ROUNDING
+        return [self._exact(i, texts[i], seen[i], scores[i], least[i], k) for i in range(n)]
+
+    def _score(self, block: int, rows: np.ndarray, asked: np.ndarray, scores: np.ndarray) -> None:
+        """Add to the texts' scores of a block's entries what the long lists hold there."""
+        index, width = self.index, len(self.index.most)
+        first = block * width
+        a, b = index.block_pointers[first], index.block_pointers[first + width]
+        if a == b:
+            return
+        columns = np.repeat(np.arange(width), np.diff(index.block_pointers[first : first + width + 1]))
+        cells = columns * BLOCK + index.block_entries[a:b]
+        flat = self.block.reshape(-1)
+        flat[cells] = index.block_weights[a:b]
+        scores[rows, block] += asked[rows] @ self.block
+        flat[cells] = 0
+
+    def _exact(self, i, text, seen, scores, least, k) -> tuple[np.ndarray, np.ndarray]:
+        blocks = np.flatnonzero(seen)
+        found = scores[blocks]
+        block, place = np.nonzero((found >= least) & (found > 0))
+        entries = blocks[block] * BLOCK + place
+        if not len(entries):
+            return np.zeros(0, np.int64), np.zeros(0)
+        s = _measured(self.index, entries, *text, self.dense)
+        entries, s = entries[s > 0], s[s > 0]
+        order = np.lexsort((self.index.ids[entries], -s))[:k]
+        return entries[order], s[order]
+
+
+def nearest(index: Entries, places: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest entries of one text."""
+    return Search(index).nearest([(places, weights)], k)[0]
 
 
 def vote(index: Entries, entries: np.ndarray, cosines: np.ndarray) -> float:
@@ -276,26 +322,12 @@ def vote(index: Entries, entries: np.ndarray, cosines: np.ndarray) -> float:
     return float((weight @ share + PRIOR_WEIGHT * base) / (weight.sum() + PRIOR_WEIGHT))
 
 
-def _weighed(examples: DataFrame) -> DataFrame:
-    """Examples (id, label, text) with their mass: near copies, confirmed on full sets, share a mass of 1.
-
-    Else the words of a text that was often copied would look telling.
-    """
-    examples = durable(examples)
-    classes = near_groups(examples, "id").groupBy(F.col("doc_id").alias("id")).agg(F.min("component_id").alias("class"))
-    classed = durable(examples.select("id").join(classes, "id"))
-    sizes = classed.groupBy("class").agg(F.count("*").alias("size"))
-    mass = classed.distinct().join(sizes, "class").select("id", (1 / F.col("size")).alias("mass"))
-    return examples.join(F.broadcast(mass), "id").select("id", "label", "text", "mass")
-
-
 def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic",
         rows: int = TRAIN_ROWS) -> Examples:
     """The examples of a sample of about `rows` labelled rows.
 
-    Null labels and ids are left out; an id, or a text, with several labels takes the rounded mean. Near
-    copies all stay, but count as one where terms are weighed. Terms are counted in Spark; the driver gets the terms and the sample's packed
-    term lists, never texts. An index over INDEX_BYTES is an error.
+    Null labels and ids are left out; an id, or a text, with several labels takes the rounded mean. Equal texts are one
+    example. Terms are counted in Spark; the driver gets the terms and the sample's packed term lists, never texts.
     """
     known = (
         labels.where(F.col(label).isNotNull() & F.col(id).isNotNull())
@@ -308,26 +340,25 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
         .groupBy("text").agg(F.min("id").alias("id"), (F.avg("label") >= 0.5).cast("int").alias("label"))
         .select("id", "label", "text")
     )
-    chosen = durable(_weighed(chosen))
-    totals = {r["label"]: r["mass"] for r in chosen.groupBy("label").agg(F.round(F.sum("mass"), 6).alias("mass")).collect()}
-    no, yes = totals.get(0, 0.0), totals.get(1, 0.0)
+    chosen = durable(chosen)
+    totals = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
+    no, yes = totals.get(0, 0), totals.get(1, 0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = TermReader(None, 50_000)
+        reader = TermReader(None)
         for batch in batches:
             for part in text_slices(batch, 2):
-                marks, mass = part.column(1).to_numpy(), part.column(3).to_numpy()
+                marks = part.column(1).to_numpy()
                 found = [t for t, _ in reader.counts(part.column(2).to_pylist())]
                 terms = np.concatenate([np.zeros(0, np.int64), *found])
                 sizes = [len(f) for f in found]
-                weight, toxic = np.repeat(mass, sizes), np.repeat(mass * marks, sizes)
                 distinct, place = np.unique(terms, return_inverse=True)
-                sums = [pa.array(np.bincount(place, w, len(distinct))) for w in (weight, toxic)]
+                toxic = np.bincount(place[np.repeat(marks, sizes) == 1], minlength=len(distinct))
+                sums = [pa.array(np.bincount(place, minlength=len(distinct))), pa.array(toxic)]
                 yield pa.RecordBatch.from_arrays([pa.array(distinct), *sums], names=["term", "texts", "toxic"])
 
-    # Sums to six places, the same however rows are dealt.
-    counts = chosen.mapInArrow(tidy(count), "term long, texts double, toxic double").groupBy("term").agg(
-        F.round(F.sum("texts"), 6).alias("texts"), F.round(F.sum("toxic"), 6).alias("toxic")
+    counts = chosen.mapInArrow(tidy(count), "term long, texts long, toxic long").groupBy("term").agg(
+        F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic")
     )
     p, q = (F.col("toxic") + 0.5) / (yes + 1.0), (F.col("texts") - F.col("toxic") + 0.5) / (no + 1.0)
     z = F.abs(p - q) / F.sqrt(p / (yes + 1.0) + q / (no + 1.0))
@@ -341,7 +372,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = TermReader(sent.value, 50_000)
+        reader = TermReader(sent.value)
         for batch in batches:
             for part in text_slices(batch, 2):
                 found = pa.array([_packed(*f) for f in reader.counts(part.column(2).to_pylist())], pa.binary())
@@ -352,18 +383,25 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     return Examples(vocabulary, worth, packed)
 
 
-def score_texts(texts: list[str], index: Entries, reader: TermReader) -> list[tuple[float, list[tuple]]]:
+def score_texts(texts: list[str], search: Search, reader: TermReader) -> list[tuple[float, list[tuple]]]:
     """For each text its score and evidence."""
-    plain = (vote(index, np.zeros(0, np.int64), np.zeros(0)), [])
-    out, dense = [], np.zeros(len(index.worth))
-    for places, counts in reader.counts(texts):
-        if not len(places):
-            out.append(plain)
-            continue
-        e, s = nearest(index, places, vector(places, np.minimum(counts, 4), index.worth), NEIGHBOURS, dense)
-        share = index.positives[e] / index.examples[e]
-        shown = zip(index.ids[e[:EVIDENCE]].tolist(), s[:EVIDENCE].tolist(), share[:EVIDENCE].tolist())
-        out.append((vote(index, e, s), list(shown)))
+    index = search.index
+    out = [(vote(index, np.zeros(0, np.int64), np.zeros(0)), [])] * len(texts)
+    held: list[tuple[int, tuple[np.ndarray, np.ndarray]]] = []
+
+    def score() -> None:
+        for (i, _), (e, s) in zip(held, search.nearest([t for _, t in held], NEIGHBOURS)):
+            share = index.positives[e] / index.examples[e]
+            shown = zip(index.ids[e[:EVIDENCE]].tolist(), s[:EVIDENCE].tolist(), share[:EVIDENCE].tolist())
+            out[i] = (vote(index, e, s), list(shown))
+        held.clear()
+
+    for i, (places, counts) in enumerate(reader.counts(texts)):
+        if len(places):
+            held.append((i, (places, vector(places, np.minimum(counts, 4), index.worth))))
+        if len(held) == BATCH:
+            score()
+    score()
     return out
 
 
@@ -380,17 +418,17 @@ def scored(docs: DataFrame, index: Examples, id: str = "doc_id", text: str = "te
     evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries = sent.value.entries()
-        reader = TermReader(entries.vocabulary)
+        search = Search(sent.value.entries())
+        reader = TermReader(search.index.vocabulary)
         for batch in batches:
             for part in text_slices(batch, 1):
-                out = score_texts(part.column(1).to_pylist(), entries, reader)
+                out = score_texts(part.column(1).to_pylist(), search, reader)
                 shown = [[dict(zip(names, x)) for x in o[1]] for o in out]
                 columns = [part.column(0), pa.array([o[0] for o in out], pa.float64()), pa.array(shown, evidence)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "evidence"])
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    return text_rows(rows).mapInArrow(
+    return rows.mapInArrow(
         tidy(run), "doc_id long, score double, evidence array<struct<doc_id:long,cosine:double,toxic:double>>"
     )
 
@@ -400,15 +438,15 @@ def without_toxic(docs: DataFrame, index: Examples, text: str = "text", limit: f
     sent = docs.sparkSession.sparkContext.broadcast(index)
 
     def scores(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        entries = sent.value.entries()
-        reader = TermReader(entries.vocabulary)
+        search = Search(sent.value.entries())
+        reader = TermReader(search.index.vocabulary)
         for texts in parts:
             block = texts.str.len().cumsum() // BLOCK_BYTES
-            found = [o[0] for _, run in texts.groupby(block) for o in score_texts(run.tolist(), entries, reader)]
+            found = [o[0] for _, run in texts.groupby(block) for o in score_texts(run.tolist(), search, reader)]
             yield pd.Series(found, dtype="float64")
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield from tidy(scores)(parts)
 
-    return text_rows(docs).where(score(text_of(text)) < limit)
+    return docs.where(score(text_of(text)) < limit)
