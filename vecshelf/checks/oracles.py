@@ -484,5 +484,5 @@ FROM s LEFT JOIN d USING (id)""",
     }
     # The same results by the other code path.
     twins = ("stopword_join stopword_tokens", "encode_single_join encode_single", "encode_pair_join encode_pair",
-             "sentence_vector_join sentence_vector")
+             "sentence_vector_join sentence_vector", "fit_step_sharded fit_step", "eval_head_sharded eval_head")
     return found | {a: found[b] for a, b in map(str.split, twins)}

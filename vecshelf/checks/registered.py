@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from vecshelf.constants import MAX_LEN_INFER
 from vecshelf.functions import text as X
 from vecshelf.functions import vectors as V
-from vecshelf.operators import batching, clean, compare, encode, fit, head, neighbours
+from vecshelf.operators import batching, clean, compare, encode, fit, head, neighbours, sharded
 from vecshelf.operators.counts import RunCounts
 from vecshelf.operators.difference import difference, fingerprints
 from vecshelf.operators.embed import (
@@ -584,6 +584,21 @@ def fit_step(spark, sf):
     return long_form(model.weight_table(spark).withColumnRenamed("class", "id"), "id", "w")
 
 
+@query
+def fit_step_sharded(spark, sf):
+    """The same step with the classes in shards of three."""
+    rows, start = vectors(spark, sf), sharded.sharded_state(_centroids(spark, sf))
+    state, _ = sharded.sharded_step(rows, start, 0, 0.05, shards=max(1, start.count() // 3))
+    return long_form(state.withColumnRenamed("class", "id"), "id", "w")
+
+
+@query
+def eval_head_sharded(spark, sf):
+    state = sharded.sharded_state(_centroids(spark, sf))
+    found = sharded.sharded_evaluate(vectors(spark, sf), state, "id", batch_size=128, shards=max(1, state.count() // 3))
+    return found.select("n", *[r6(c).alias(c) for c in found.columns if c != "n"])
+
+
 @query
 def learning_rate(spark, sf):
     """The rates that a whole fit over the vectors used, in millionths."""
