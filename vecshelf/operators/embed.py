@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecshelf.functions.vectors import DOUBLES, content_key, from_matrix, l2_normalise, to_matrix, unit_rows
+from vecshelf.operators.index import TokenIndex
 from vecshelf.operators.lookup import lookup_join
 from vecshelf.session import durable
 from vecshelf.sinks.shelf import Shelf
@@ -196,8 +198,8 @@ def sentence_vectors(
     size = words.agg(F.sum(F.octet_length("token") + 8 * dim).alias("bytes")).first()["bytes"] or 0
     if size > broadcast_bytes:
         return _average_by_join(df, id, tokens, words, dim, mode, eos, out)
-    model = df.sparkSession.sparkContext.broadcast(words.toArrow())
-    average = _average(model, dim, mode, eos)
+    model = df.sparkSession.sparkContext.broadcast(WordVectors(words.toArrow(), dim, mode))
+    average = _average(model, mode, eos)
     return (
         df.select(id, average(F.col(tokens)).alias("_a"))
         .select(id, F.col("_a.vec").alias(out), F.col("_a.n").alias("_n"))
@@ -219,24 +221,39 @@ def _sum_words(row: np.ndarray, word: np.ndarray, matrix: np.ndarray, rows: int)
     return total
 
 
-def _average(model, dim: int, mode: str, eos: Sequence[float] | None):
+class WordVectors(TokenIndex):
+    """Word vectors by token, as the mode wants them; derived once per worker."""
+
+    def __init__(self, table: pa.Table, dim: int, mode: str):
+        super().__init__(table)
+        self.dim, self.mode = dim, mode
+
+    def __getstate__(self):
+        return {"table": self.table, "dim": self.dim, "mode": self.mode}
+
+    @cached_property
+    def matrix(self) -> np.ndarray:
+        matrix = to_matrix(self.table.column("vec")) if self.table.num_rows else np.zeros((0, self.dim))
+        return unit_rows(matrix) if self.mode == "unsupervised" else matrix
+
+    @cached_property
+    def counts(self) -> np.ndarray:
+        """Which words count: unsupervised, zero vectors do not."""
+        if self.mode == "unsupervised":
+            return np.any(self.matrix != 0.0, axis=1)
+        return np.ones(len(self.matrix), dtype=bool)
+
+
+def _average(model, mode: str, eos: Sequence[float] | None):
     kind = T.StructType([T.StructField("vec", DOUBLES), T.StructField("n", T.LongType())])
 
     @F.arrow_udf(kind)
     def average(tokens: pa.Array) -> pa.Array:
-        words = model.value.column("token").combine_chunks()
-        matrix = to_matrix(model.value.column("vec"))
-        if matrix.shape[0] == 0:
-            matrix = np.zeros((0, dim))
-        if mode == "unsupervised":
-            matrix = unit_rows(matrix)
-            counts = np.any(matrix != 0.0, axis=1)
-        else:
-            counts = np.ones(len(matrix), dtype=bool)
+        words = model.value
+        matrix, counts = words.matrix, words.counts
         sizes = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
         row = np.repeat(np.arange(len(tokens)), sizes)
-        hit = pc.index_in(tokens.flatten(), value_set=words)
-        word = pc.fill_null(hit, -1).to_numpy(zero_copy_only=False)
+        word = words.find(tokens.flatten())
         use = word >= 0
         use[use] = counts[word[use]]
         total = _sum_words(row[use], word[use], matrix, len(tokens))

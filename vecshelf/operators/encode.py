@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecshelf.constants import CLS_ID, MAX_LEN, SEP_ID, SPECIAL_TOKENS, UNK_ID
+from vecshelf.operators.index import TokenIndex
 from vecshelf.operators.lookup import lookup_join
 from vecshelf.operators.ordering import with_position
 from vecshelf.session import durable
@@ -71,7 +72,7 @@ def encode(
     words = durable(vocab.where("token is not null").groupBy("token").agg(F.min("id").alias("id")))
     size = words.agg(F.sum(F.octet_length("token") + 16).alias("bytes")).first()["bytes"] or 0
     if size <= broadcast_bytes:
-        lookup = _lookup(df.sparkSession.sparkContext.broadcast(words.toArrow()))
+        lookup = _lookup(df.sparkSession.sparkContext.broadcast(TokenIndex(words.toArrow())))
         coded = cut.select(id, *keep, *[lookup(F.col(n)).alias(n) for n in names])
     else:
         coded = _encode_by_join(cut, id, names, words, keep)
@@ -100,13 +101,12 @@ def _assemble(names: Sequence[str]) -> list[Column]:
 def _lookup(table):
     @F.arrow_udf(T.ArrayType(T.LongType()))
     def ids(tokens: pa.Array) -> pa.Array:
-        vocab = table.value
-        words = vocab.column("token").combine_chunks()
-        codes = vocab.column("id").combine_chunks()
-        hits = pc.take(codes, pc.index_in(tokens.flatten(), value_set=words))
+        index = table.value
+        place = index.find(tokens.flatten())
+        codes = np.append(index.table.column("id").to_numpy(), UNK_ID)  # place -1 is the last one
         sizes = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
         offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pc.fill_null(hits, UNK_ID))
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(codes[place], pa.int64()))
 
     return ids
 
