@@ -132,6 +132,7 @@ def build(vocabulary: np.ndarray, worth: np.ndarray, examples: Iterable[tuple[in
     entries: dict[bytes, int] = {}
     blank = [0, 0]
     held, lists = [], []
+    lengths = np.zeros(len(vocabulary), np.int64)
     for id_, label, places, counts in examples:
         if not len(places):
             blank[0] += 1
@@ -141,39 +142,58 @@ def build(vocabulary: np.ndarray, worth: np.ndarray, examples: Iterable[tuple[in
         places, level = np.asarray(places, np.int32), np.minimum(counts, 4).astype(np.uint8)
         e = entries.setdefault(xxhash.xxh3_128_digest(places.tobytes() + level.tobytes()), len(held))
         if e == len(held):
-            held.append([0, 0, id_])
-            lists.append((places, vector(places, level, worth).astype(np.float32)))
+            held.append([0, 0, id_, int(places[vector(places, level, worth).argmax()])])
+            lists.append((places, level))
+            lengths[places] += 1
         held[e][0] += 1
         held[e][1] += label
         held[e][2] = min(held[e][2], id_)
-    lengths = np.zeros(len(vocabulary), np.int64)
-    for places, _ in lists:
-        lengths[places] += 1
+    del entries
     long = max(LONG_LIST, len(held) // LONG_SHARE) if long is None else long
     column = np.where(lengths > long, np.cumsum(lengths > long) - 1, -1).astype(np.int32)
+    width, blocks = int(column.max(initial=-1)) + 1, -(-len(held) // BLOCK)
     # Entries of one strongest term stand together, which keeps the blocks' bounds low.
-    order = sorted(range(len(held)), key=lambda e: (int(lists[e][0][lists[e][1].argmax()]), held[e][2]))
-    held, lists = [held[e] for e in order], [lists[e] for e in order]
-    sizes = np.array([len(t) for t, _ in lists], np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    terms = np.concatenate([np.zeros(0, np.int32), *(t for t, _ in lists)])
-    weights = np.concatenate([np.zeros(0, np.float32), *(w for _, w in lists)])
-    del lists, entries
+    order = sorted(range(len(held)), key=lambda e: (held[e][3], held[e][2]))
+    starts = np.concatenate([[0], np.cumsum([len(lists[e][0]) for e in order], dtype=np.int64)])
+    terms, weights = np.zeros(starts[-1], np.int32), np.zeros(starts[-1], np.float32)
+    n_long = int(lengths[column >= 0].sum())
+    block_entries, block_weights = np.zeros(n_long, np.uint8), np.zeros(n_long, np.float32)
+    block_pointers = np.zeros(blocks * width + 1, np.int64)
+    most = np.zeros((width, blocks), np.float32)
+    short = np.zeros((2, len(terms) - n_long), np.int32)  # terms and entries of plain postings
+    posted = np.zeros(len(terms) - n_long, np.float32)
+    at_long = at_short = 0
+    for block in range(blocks):  # block by block, so that little is held twice
+        own = []
+        for i in range(block * BLOCK, min((block + 1) * BLOCK, len(order))):
+            places, level = lists[order[i]]
+            lists[order[i]] = None
+            terms[starts[i] : starts[i + 1]] = places
+            weights[starts[i] : starts[i + 1]] = vector(places, level, worth)
+            own.append(np.full(len(places), i, np.int32))
+        own = np.concatenate(own)
+        part = slice(starts[block * BLOCK], starts[block * BLOCK] + len(own))
+        col = column[terms[part]]
+        there = np.flatnonzero(col >= 0)
+        there = there[np.argsort(col[there], kind="stable")]
+        to = slice(at_long, at_long + len(there))
+        block_entries[to], block_weights[to] = own[there] % BLOCK, weights[part][there]
+        counts = np.bincount(col[there], minlength=width)
+        block_pointers[block * width + 1 : (block + 1) * width + 1] = counts
+        some = np.flatnonzero(counts)
+        if len(some):
+            most[some, block] = np.maximum.reduceat(weights[part][there], (np.cumsum(counts) - counts)[some])
+        rest = np.flatnonzero(col < 0)
+        to = slice(at_short, at_short + len(rest))
+        short[0, to], short[1, to], posted[to] = terms[part][rest], own[rest], weights[part][rest]
+        at_long, at_short = at_long + len(there), at_short + len(rest)
+    np.cumsum(block_pointers, out=block_pointers)
     pointers = np.concatenate([[0], np.cumsum(np.where(column < 0, lengths, 0))])
-    owner = np.repeat(np.arange(len(held), dtype=np.int32), sizes)
-    at = np.flatnonzero(column[terms] < 0)
-    at = at[np.argsort(terms[at], kind="stable")]
-    most = np.zeros((int(column.max(initial=-1)) + 1, -(-len(held) // BLOCK)), np.float32)
-    there = np.flatnonzero(column[terms] >= 0)
-    np.maximum.at(most, (column[terms[there]], owner[there] // BLOCK), weights[there])
-    key = owner[there].astype(np.int64) // BLOCK * len(most) + column[terms[there]]
-    block_pointers = np.concatenate([[0], np.cumsum(np.bincount(key, minlength=most.size))])
-    there = there[np.argsort(key, kind="stable")]
-    columns = [np.array([h[i] for h in held], np.int64) for i in range(3)]
+    by_term = np.argsort(short[0], kind="stable")
+    columns = [np.array([held[e][i] for e in order], np.int64) for i in range(3)]
     return Entries(
-        np.array(vocabulary, np.int64), worth, pointers, owner[at], weights[at], column, most, block_pointers,
-        (owner[there] % BLOCK).astype(np.uint8), weights[there], starts, terms, weights, *columns,
-        tuple(blank),
+        np.asarray(vocabulary, np.int64), worth, pointers, short[1][by_term], posted[by_term], column, most, block_pointers,
+        block_entries, block_weights, starts, terms, weights, *columns, tuple(blank),
     )
 
 
@@ -188,10 +208,11 @@ class Examples:
 
     def entries(self) -> Entries:
         if self.index is None:
-            ids, labels, lists = (self.packed.column(c).to_pylist() for c in ("id", "label", "terms"))
-            order = sorted(range(len(ids)), key=lambda i: (ids[i], labels[i], lists[i]))
+            ids, labels = (self.packed.column(c).to_pylist() for c in ("id", "label"))
+            lists = self.packed.column("terms")
+            order = sorted(range(len(ids)), key=lambda i: (ids[i], labels[i]))
             self.index = build(
-                self.vocabulary, self.worth, ((ids[i], labels[i], *_unpacked(lists[i])) for i in order)
+                self.vocabulary, self.worth, ((ids[i], labels[i], *_unpacked(lists[i].as_py())) for i in order)
             )
         return self.index
 
