@@ -50,3 +50,36 @@ def test_stages(spark, tmp_path):
     tokens = corpus_pipeline.run(spark, folder).collect()
     assert sorted(r.doc_id for r in tokens) == sorted(taken)
     assert all(r.n_tokens == len(r.ids) for r in tokens)
+
+
+CLASHING = "_group string, _group_sha int, _group_keep int, _position double, _positions string, _mixed_id int, kept string, score string, component_id int"
+
+
+def test_stages_with_clashing_columns(spark, tmp_path):
+    """Names that operators use inside come through every filtering stage with their types and values."""
+    folder = str(tmp_path)
+    make(spark, folder)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    extra = spark.createDataFrame([("g", 1, 2, 2.5, "p", 3, "k", "s", 4)], CLASHING)
+    wide = durable(docs.crossJoin(extra))
+    for (name, stage), plain in zip(corpus_pipeline.STAGES[:-1], corpus_pipeline.STAGES):
+        found = stage(spark, wide, folder)
+        assert found.schema == wide.schema, name
+        rows = found.collect()
+        assert {tuple(r)[5:] for r in rows} == {tuple(extra.first())}, name
+        assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in plain[1](spark, docs, folder).collect()), name
+    assert corpus_pipeline.encode(spark, wide, folder).count() == wide.count()
+
+
+def test_stages_on_empty_repeated_and_long(spark, tmp_path):
+    folder = str(tmp_path)
+    make(spark, folder)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    long = " ".join(f"long{i}" for i in range(40_000))
+    more = spark.createDataFrame([(500, long, "en", "src0", len(long)), (500, long, "en", "src0", len(long)), (None, "no id here", None, None, 0)], docs.schema)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), folder).collect() == [], name
+        ids = [r.doc_id for r in stage(spark, docs.union(more), folder).collect()]
+        assert 500 in ids and (None in ids or name == "near_dedup"), name
+        if name == "exact_dedup":
+            assert ids.count(500) == 1 and ids.count(None) == 1

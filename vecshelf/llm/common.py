@@ -90,6 +90,14 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, lengthened until `df` has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def remainder(id: str, of: int) -> Column:
     """crc32 of the id as text, modulo `of`: the folds that training rows are told apart by."""
     return F.pmod(F.crc32(F.col(id).cast("string")), F.lit(of))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecshelf.llm.common import SPACE, small_side, text_of
+from vecshelf.llm.common import SPACE, fresh, small_side, text_of
 from vecshelf.session import durable
 
 QUOTIENT_BITS = 10
@@ -133,12 +133,17 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
 
 
 def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with all their columns: exactly one row of each group of equal texts."""
+    """The rows of `docs` that stay, with all their columns: exactly one row of each group of equal texts.
+
+    Null texts count as empty, and empty texts equal each other. Of a group the row with the smallest id stays, of equal
+    such rows one; null ids lose against all others. Columns may have any names. An empty table gives an empty result.
+    """
+    sha_name, keep_name, found_name = (fresh(docs, name) for name in ("_group_sha", "_group_keep", "_group"))
     groups = repeated_texts(docs, id, text).select(
-        F.col("text_sha256").alias("_group_sha"), F.col("keep_id").alias("_group_keep")
-    ).withColumn("_group", F.lit(True))
+        F.col("text_sha256").alias(sha_name), F.col("keep_id").alias(keep_name), F.lit(True).alias(found_name)
+    )
     sha = F.sha2(F.regexp_replace(text_of(text), SPACE, " "), 256)
-    found = docs.withColumn("_group_sha", sha).join(small_side(groups, GROUPS_SENT), "_group_sha", "left")
-    alone = found.where("_group is null")
-    first = found.where(F.col("_group") & F.col(id).eqNullSafe(F.col("_group_keep")))
-    return alone.union(first.dropDuplicates(["_group_sha"])).select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = docs.withColumn(sha_name, sha).join(small_side(groups, GROUPS_SENT), sha_name, "left")
+    alone = found.where(F.col(found_name).isNull())
+    first = found.where(F.col(found_name) & F.col(id).eqNullSafe(F.col(keep_name)))
+    return alone.union(first.dropDuplicates([sha_name])).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vecshelf.llm.common import WORD, text_of
+from vecshelf.llm.common import WORD, fresh, text_of
 from vecshelf.session import durable
 
 Schedule = Sequence[tuple[float, float]]  # (share of the run from 0 to 1, weight), linear between
@@ -154,14 +154,16 @@ def _position(schedules: Sequence[Schedule], rank: Column, share: Column) -> Col
 def training_order(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The rows of `docs`, one for each copy that the mix takes, range-sorted by training position.
 
-    Documents that the mix does not take go. Rows that share an id are repeated as often as the
-    first of them. Columns are those of `docs`.
+    Documents that the mix does not take go, those without a word among them. Rows that share an id are repeated as often as
+    the first of them; null ids are one id. Columns are those of `docs`, whatever their names. An empty table gives an
+    empty result.
     """
+    id_name, places, place = (fresh(docs, name) for name in ("_mixed_id", "_positions", "_position"))
     plan = mixed(docs, id, text, source, **options).where("taken > 0")
-    copies = plan.groupBy("doc_id").agg(F.max("positions").alias("_positions"))
-    rows = docs.join(copies.withColumnRenamed("doc_id", "_mixed_id"), F.col(id).eqNullSafe(F.col("_mixed_id")))
+    copies = plan.groupBy(F.col("doc_id").alias(id_name)).agg(F.max("positions").alias(places))
+    rows = docs.join(copies, F.col(id).eqNullSafe(F.col(id_name)))
     return (
-        rows.withColumn("_position", F.explode("_positions"))
-        .orderBy("_position", id)
+        rows.withColumn(place, F.explode(places))
+        .orderBy(place, id)
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
