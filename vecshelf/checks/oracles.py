@@ -12,6 +12,7 @@ from vecshelf.checks.registered import (
     WORD_DIM,
     WORD_DIM_NAMES,
 )
+from vecshelf.operators.batching import ROUNDS
 
 
 def quoted(text: str) -> str:
@@ -293,6 +294,28 @@ SELECT id, pos, rank,
 FROM ranked"""
 
 
+def permuted(size: int = 32, world: int = 3, rounds: int = ROUNDS) -> str:
+    k = md5_number(f"'{SEED}:' || epoch || ':' || r")
+    other = f"(({k} % n) - x + n) % n"
+    drawn = md5_number(f"'{SEED}:' || epoch || ':' || r || ':' || greatest(x, {other})")
+    swap = f"CASE WHEN {drawn} % 2 = 1 THEN {other} ELSE x END"
+    return f"""WITH placed AS (
+  SELECT doc_id AS id, row_number() OVER (ORDER BY doc_id) - 1 AS pos, count(*) OVER () AS n FROM documents),
+mixed AS (
+  SELECT epoch, id, n, list_reduce(list_prepend(pos, range({rounds})), lambda x, r: {swap}) AS pos
+  FROM placed, range(2) e(epoch)),
+sized AS (SELECT *, (n + {world - 1}) // {world} * {world} AS total FROM mixed),
+spread AS (SELECT epoch, id, total, total % {size * world} AS tail, unnest(range(pos, total, n)) AS pos FROM sized),
+split AS (SELECT *, total - tail AS full_rows FROM spread),
+ranked AS (
+  SELECT epoch, id, pos, full_rows,
+    CASE WHEN pos < full_rows THEN pos // {size} % {world}
+         ELSE (pos - full_rows) // (tail // {world}) END AS rank FROM split)
+SELECT epoch, id, pos, rank,
+  CASE WHEN pos < full_rows THEN pos // {size * world} ELSE full_rows // {size * world} END * {world} + rank AS batch_id
+FROM ranked"""
+
+
 def oracles() -> dict[str, str]:
     economy_h = f"WITH cat AS ({ECONOMY}), {hashed('cat', 'name')}"
     other = "a.id <> b.id"
@@ -352,6 +375,7 @@ FROM doc_tokens LEFT JOIN cd USING (id)""",
         "encode_pair": encoded_pairs(),
         "batches_seq": "SELECT id, pos, pos // 128 AS batch_id FROM (SELECT doc_id AS id, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM documents)",
         "batches_shuffled": shuffled(),
+        "batches_permuted": permuted(),
         "pad_batch": f"WITH {padded()} SELECT batch_id, id, input_ids, token_type_ids FROM padded",
         "collate": f"""WITH {padded()}
 SELECT batch_id, count(*) AS n_rows, max(width) AS width,

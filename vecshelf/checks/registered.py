@@ -346,6 +346,17 @@ def batches_shuffled(spark, sf):
     return placed.select("id", "pos", "batch_id", F.col("rank").cast("bigint").alias("rank"))
 
 
+@query
+def batches_permuted(spark, sf):
+    """Two epochs over rows that are laid out once."""
+    placed, n = batching.laid_out(table(spark, sf, "documents").select(F.col("doc_id").alias("id")), "id")
+    epochs = [
+        batching.epoch_batches(placed, n, 32, SEED, epoch, world=3).withColumn("epoch", F.lit(epoch).cast("bigint"))
+        for epoch in (0, 1)
+    ]
+    return epochs[0].unionByName(epochs[1]).select("epoch", "id", "pos", "batch_id", F.col("rank").cast("bigint").alias("rank"))
+
+
 def _padded(spark, sf):
     tokens = document_tokens(spark, sf)
     labels = table(spark, sf, "labels").select(

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vecshelf.functions.text import hash_number
 from vecshelf.operators.ordering import with_position
+from vecshelf.session import durable
+
+ROUNDS = 48  # of swaps in a permutation of positions; twice the bits of a position mix well
 
 
 def batches(
@@ -34,7 +38,43 @@ def batches(
         )
     draw = F.md5(F.concat_ws(":", F.lit(seed), F.lit(epoch), F.col(key).cast("string")))
     placed, n = with_position(df.withColumn("_draw", draw), F.asc("_draw"), F.asc(key))
-    placed = placed.drop("_draw")
+    return _shared_out(placed.drop("_draw"), n, size, world)
+
+
+def laid_out(df: DataFrame, key: str) -> tuple[DataFrame, int]:
+    """`df` with its dense position in order of `key`, sorted once for all epochs, and the number of rows. A written table."""
+    placed, n = with_position(df, F.asc(key))
+    return durable(placed), n
+
+
+def epoch_batches(placed: DataFrame, n: int, size: int, seed: int = 0, epoch: int = 0, world: int = 1) -> DataFrame:
+    """Batches of one epoch over `laid_out` rows, by a permutation of their positions: nothing is sorted or shuffled.
+
+    Adds `batch_id` and `rank` and gives `pos` its place in the epoch's order, shared out as `batches` does.
+    """
+    return _shared_out(placed.withColumn("pos", permuted(F.col("pos"), n, seed, epoch)), n, size, world)
+
+
+def permuted(pos: Column, n: int, seed: int, epoch: int, rounds: int = ROUNDS) -> Column:
+    """A permutation of 0..n-1 under the key (seed, epoch), for any n.
+
+    Each round pairs x with k - x modulo n, for a k of the round's own, and swaps the two if a hash of the pair says so. A
+    swap is its own inverse, so rounds, and hence all of them, map 0..n-1 onto itself.
+    """
+    if n < 2:
+        return pos
+
+    def swap(x: Column, r: Column) -> Column:
+        k = hash_number(F.lit(seed), F.lit(epoch), r) % n
+        other = (k - x + n) % n
+        drawn = hash_number(F.lit(seed), F.lit(epoch), r, F.greatest(x, other)) % 2
+        return F.when(drawn == 1, other).otherwise(x)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), pos.cast("bigint"), swap)
+
+
+def _shared_out(placed: DataFrame, n: int, size: int, world: int) -> DataFrame:
+    """Positions of an order to ranks and batches; see `batches`."""
     if n == 0:
         return placed.withColumn("batch_id", F.col("pos")).withColumn("rank", F.lit(0))
     total = -(-n // world) * world
