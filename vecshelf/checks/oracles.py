@@ -294,6 +294,49 @@ SELECT id, pos, rank,
 FROM ranked"""
 
 
+def fit_chain(steps: int, lr: float, warmup: float = 0.25, decay: float = 1e-4) -> str:
+    """A whole fit from the class centroids, step after step: gradient, moments, decay and warm-up; one row of history a step."""
+    warm, parts = int(warmup * steps), []
+    for i in range(steps):
+        rate = lr * i / max(warm, 1) if i < warm else lr * max(0.0, (steps - i) / max(steps - warm, 1))
+        parts.append(f"""
+c{i} AS MATERIALIZED (SELECT class, list(w ORDER BY dim) AS w FROM s{i} GROUP BY class),
+z{i} AS (
+  SELECT e.id, e.label, c.class, list_dot_product(e.v, c.w) / sqrt(list_dot_product(e.v, e.v)) / sqrt(list_dot_product(c.w, c.w)) AS cos
+  FROM e, c{i} c),
+y{i} AS (SELECT *, max(z) OVER (PARTITION BY id) AS top FROM (SELECT id, label, class, cos, {margin()} AS z FROM z{i})),
+p{i} AS MATERIALIZED (SELECT *, exp(z - top) / sum(exp(z - top)) OVER (PARTITION BY id) AS p FROM y{i}),
+h{i} AS (
+  SELECT {i + 1} AS step, {rate!r}::DOUBLE AS rate, avg(loss) AS loss, avg(hit) AS hit FROM (
+    SELECT id, ln(sum(exp(z - top))) + any_value(top) - max(CASE WHEN class = label THEN z END) AS loss,
+      (arg_max(class, (z, -class)) = any_value(label))::INT AS hit FROM p{i} GROUP BY id)),
+g{i} AS (
+  SELECT id, class, 64.0 * (p - CASE WHEN class = label THEN 1 ELSE 0 END)
+    * CASE WHEN class = label AND cos > cos(pi() - 0.4) THEN cos(0.4::DOUBLE)
+        + sin(0.4::DOUBLE) * cos / greatest(sqrt(greatest(1 - cos * cos, 0)), 1e-7) ELSE 1 END
+    / (SELECT count(*) FROM e) AS g FROM p{i}),
+a{i} AS MATERIALIZED (SELECT class, dim, sum(g * x) AS a FROM g{i} JOIN x USING (id) GROUP BY class, dim),
+d{i} AS (
+  SELECT *, sum(a * w / norm) OVER (PARTITION BY class) AS dot FROM (
+    SELECT *, sqrt(sum(w * w) OVER (PARTITION BY class)) AS norm FROM s{i} JOIN a{i} USING (class, dim))),
+n{i} AS (
+  SELECT class, dim, w, 0.9::DOUBLE * m + 0.1::DOUBLE * g AS m, 0.999::DOUBLE * q + 0.001::DOUBLE * g * g AS q
+  FROM (SELECT *, (a - w / norm * dot) / norm AS g FROM d{i})),
+s{i + 1} AS MATERIALIZED (
+  SELECT class, dim, w * (1 - {rate!r}::DOUBLE * {decay}::DOUBLE)
+    - {rate!r}::DOUBLE * (m / (1 - pow(0.9::DOUBLE, {i + 1}))) / (sqrt(q / (1 - pow(0.999::DOUBLE, {i + 1}))) + 1e-8::DOUBLE) AS w, m, q
+  FROM n{i})""")
+    history = " UNION ALL ".join(f"SELECT * FROM h{i}" for i in range(steps))
+    return f"""WITH {E}, {CENTROIDS},
+x AS MATERIALIZED (
+  SELECT id, unnest(v) / norm AS x, generate_subscripts(v, 1) - 1 AS dim
+  FROM (SELECT id, v, sqrt(list_dot_product(v, v)) AS norm FROM e)),
+s0 AS MATERIALIZED (
+  SELECT class, unnest(w) AS w, generate_subscripts(w, 1) - 1 AS dim, 0.0::DOUBLE AS m, 0.0::DOUBLE AS q FROM c),{','.join(parts)}
+SELECT step, {r6('loss')} AS loss, {r6('avg(hit) OVER (ORDER BY step)')} AS accuracy, round(rate * 1e6, 6) + 0.0 AS rate
+FROM ({history})"""
+
+
 def permuted(size: int = 32, world: int = 3, rounds: int = ROUNDS) -> str:
     k = md5_number(f"'{SEED}:' || epoch || ':' || r")
     other = f"(({k} % n) - x + n) % n"
@@ -430,6 +473,8 @@ SELECT count(*) AS n,
         # The first AdamW step: both moments are the gradient's own, so the move is nearly its sign.
         "fit_step": f"""{gradient}, g2 AS (SELECT class, dim, u * norm AS w, (a - u * dot) / norm AS g FROM d)
 SELECT class AS id, dim AS place, {r6('w * (1 - 0.05::DOUBLE * 1e-4::DOUBLE) - 0.05::DOUBLE * g / (abs(g) + 1e-8::DOUBLE)')} AS value FROM g2""",
+        "fit_run": fit_chain(4, 0.05),
+        "fit_resumed": f"SELECT step, loss, rate FROM ({fit_chain(4, 0.05)}) WHERE step > 2",
         "learning_rate": """SELECT step, round(CASE WHEN step < n // 4 THEN 1e-5::DOUBLE * step / (n // 4)
   ELSE 1e-5::DOUBLE * (n - step) / (n - n // 4) END * 1e6, 9) + 0.0 AS rate
 FROM range(8) t(step), (SELECT 8 AS n FROM embeddings LIMIT 1)""",

@@ -595,6 +595,33 @@ def fit_step(spark, sf):
     return long_form(model.weight_table(spark).withColumnRenamed("class", "id"), "id", "w")
 
 
+@query
+def fit_run(spark, sf):
+    """The log of a whole fit, from the class centroids: losses depend on all steps before."""
+    rows, start = vectors(spark, sf), head.class_matrix(_centroids(spark, sf))
+    model = fit.ArcHead(
+        n_classes=start.shape[0], dim=start.shape[1], epochs=4, lr=0.05, dropout=0.0, log_every=1
+    ).fit(rows, init=start)
+    return model.history_table(spark).select(
+        "step", r6("loss").alias("loss"), r6("accuracy").alias("accuracy"), (F.round(F.col("rate") * 1e6, 6) + 0.0).alias("rate")
+    )
+
+
+@query
+def fit_resumed(spark, sf):
+    """The same fit broken off after two steps, saved, read back and gone on with: the losses of its later steps."""
+    rows, start = vectors(spark, sf), head.class_matrix(_centroids(spark, sf))
+    path = scratch(spark)
+    made = lambda: fit.ArcHead(
+        n_classes=start.shape[0], dim=start.shape[1], epochs=4, lr=0.05, dropout=0.0, log_every=1, save_every=2
+    )
+    made().fit(rows, init=start, save_path=path)
+    resumed = made().fit(rows, init=load_head(spark, path, 2))
+    return resumed.history_table(spark).select(
+        "step", r6("loss").alias("loss"), (F.round(F.col("rate") * 1e6, 6) + 0.0).alias("rate")
+    )
+
+
 @query
 def fit_step_sharded(spark, sf):
     """The same step with the classes in shards of three."""
