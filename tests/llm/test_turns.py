@@ -8,8 +8,9 @@ import zlib
 
 import pytest
 
+from tests_sql import same_rows
 from vecshelf.llm import turns
-from vecshelf.llm.queries import queries
+from vecshelf.llm.queries import oracle_sql, queries
 
 SF = "/root/testdata/sf0.01"
 KEPT = {"": "su", "s": "u", "u": "a", "a": "u"}
@@ -110,6 +111,10 @@ def test_query_against_brute_force(spark):
     same(queries()["op13_turn_repair"](spark, SF), rows)
 
 
+def test_query_against_sql(spark, sql):
+    same_rows(queries()["op13_turn_repair"](spark, SF), sql, oracle_sql()["op13_turn_repair"])
+
+
 def test_edges(spark):
     rows = [
         (None, None, None, None), (None, 3, "user", "Hi."), (1, 1, "user", ""), (1, None, "assistant", "Yes."),

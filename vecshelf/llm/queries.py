@@ -305,5 +305,71 @@ FROM verdicts
 """
 
 
+_OP13 = r"""
+WITH RECURSIVE keyed AS (
+    SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key,
+        dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c
+    FROM conversations
+),
+drawn AS (
+    SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(key, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+        lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+            lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, CAST(3988292384 AS BIGINT)) ELSE v >> 1 END)), CAST(4294967295 AS BIGINT)) % 20 AS kind
+    FROM keyed
+),
+damaged AS (
+    SELECT c, turn, CASE WHEN kind = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text
+    FROM (SELECT *, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM drawn)
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+rows AS MATERIALIZED (
+    SELECT *, left(role, 1) AS initial, CASE
+        WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+        WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+        WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault
+    FROM placed
+),
+paths(state, added, reached, made) AS (VALUES
+    (0, 0, 0, []::VARCHAR[]), (0, 1, 2, ['user:']), (0, 2, 3, ['user:', 'assistant:']), (1, 0, 1, []), (1, 1, 2, ['user:']),
+    (1, 2, 3, ['user:', 'assistant:']), (2, 0, 2, []), (2, 1, 3, ['assistant:']), (3, 0, 3, []), (3, 1, 2, ['user:'])),
+edits(letter, reached, initial, next, cost) AS (VALUES
+    ('D', 0, NULL, 0, 4), ('D', 1, NULL, 1, 4), ('D', 2, NULL, 2, 4), ('D', 3, NULL, 3, 4),
+    ('R', 0, NULL, 2, 3), ('R', 1, NULL, 2, 3), ('R', 2, NULL, 3, 3), ('R', 3, NULL, 2, 3),
+    ('K', 0, 's', 1, 0), ('K', 0, 'u', 2, 0), ('K', 1, 'u', 2, 0), ('K', 2, 'a', 3, 0), ('K', 3, 'u', 2, 0)),
+nodes(c, i, state, cost, audit, lines) AS (
+    SELECT DISTINCT c, CAST(0 AS BIGINT), 0, CAST(0 AS BIGINT), '', []::VARCHAR[] FROM keyed
+    UNION ALL
+    SELECT c, i, next, cost, audit, lines FROM (
+        SELECT n.c, r.i, e.next,
+            n.cost + 3 * p.added + e.cost + CASE WHEN r.fault = 'truncated' AND e.letter <> 'D' THEN 3 ELSE 0 END AS cost,
+            n.audit || repeat('I', p.added) || e.letter AS audit,
+            list_concat(n.lines, p.made, CASE e.letter WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [r.role || ':' || r.text]
+                ELSE [CASE e.next WHEN 2 THEN 'user:' ELSE 'assistant:' END || r.text] END) AS lines
+        FROM nodes n JOIN rows r ON r.c = n.c AND r.i = n.i + 1 JOIN paths p ON p.state = n.state
+        JOIN edits e ON e.reached = p.reached AND (e.initial IS NULL OR e.initial = r.initial)
+        WHERE e.letter = 'D' OR r.fault NOT IN ('blank', 'duplicate')
+    ) QUALIFY row_number() OVER (PARTITION BY c, next ORDER BY cost, audit) = 1
+),
+facts AS (
+    SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM (SELECT *, lag(initial) OVER (PARTITION BY c ORDER BY i) AS before FROM rows) GROUP BY c
+),
+ended AS (
+    SELECT n.c, n.cost + p.added * 3 AS cost, n.audit || repeat('I', p.added) AS audit, list_concat(n.lines, p.made) AS lines
+    FROM nodes n LEFT JOIN facts f ON f.c = n.c JOIN paths p ON p.state = n.state
+    WHERE n.i = coalesce(f.n, 0) AND (p.reached = 3 OR n.state = 0 AND p.added = 0)
+    QUALIFY row_number() OVER (PARTITION BY n.c ORDER BY n.cost + p.added * 3, n.audit || repeat('I', p.added)) = 1
+)
+SELECT k.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(cost AS BIGINT) AS cost, audit,
+    sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+FROM (SELECT DISTINCT c, conv_id FROM keyed) k JOIN ended e ON e.c = k.c LEFT JOIN facts f ON f.c = k.c
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_source_mix": _OP4, "op8_exact_dedup": _OP8, "op9_top_k": _OP9, "op11_quality_rules": _rules_sql()}
+    return {"op4_source_mix": _OP4, "op8_exact_dedup": _OP8, "op9_top_k": _OP9, "op11_quality_rules": _rules_sql(), "op13_turn_repair": _OP13}
