@@ -302,12 +302,29 @@ def test_blocks():
     found = [(path[-1], text) for path, text in html_blocks.blocks(PAGE)]
     assert ("h1", "A title & more") in found and ("p", "First bold\xa0x.") in found
     assert ("p", "Second é <b> 1 < 2 line") in found or ("p", "Second é <b> 1 < 2") in found
-    assert not any("hidden" in t or "var a" in t or t == "No" for _, t in found)
+    assert not any("hidden" in t or "var a" in t for _, t in found)
+    assert all("noscript" in path for path, text in html_blocks.blocks(PAGE) if text == "No")  # judged, not dropped
     assert html_blocks.blocks("") == [] and html_blocks.blocks("<script>x") == []
     assert html_blocks.blocks("plain <b>te</b>xt") == [((), "plain text")]
     assert html_blocks.blocks("a<!-- open") == [((), "a")]
 
 
+def test_blocks_of_bad_markup():
+    texts = lambda page: [t for _, t in html_blocks.blocks(page)]
+    assert texts("<article><p title=it's>Hello there</p><p>second para it's fine</p></article>") == [
+        "Hello there", "second para it's fine",
+    ]
+    assert texts('<div><a href="x" title="5" tall">link</a></div>') == ["link"]
+    assert texts('<p>a <a href="x>text</a> b <a href="y">c</a></p>') == ["a text b c"]
+    assert texts('<p data-x="<b>hi</b>" class=k>t</p>') == ["t"]
+    for left_open in ("<noscript>", "<svg>", "<iframe>", "<object>", "<textarea>", "<div><script>var x</div>"):
+        found = html_blocks.blocks(f"<body>{left_open}<article><p>kept</p></article></body>")
+        assert [t for _, t in found] == ["kept"] and not {"noscript", "iframe", "object", "textarea"} & {*found[0][0]}
+    assert texts("<head><title>T</head><body><p>x") == ["x"]
+    assert html_blocks.blocks("<object>o</object>") == [(("object",), "o")]
+    assert len(texts("<noscript><p>a" * 20_000)) == 20_000  # each search for an end is made once
+
+
 def test_gradient():
     rng = np.random.default_rng(0)
     page = html_extract.Page([("p",), ("p", ".x"), ("a",)], ["one two", "three", "four."])

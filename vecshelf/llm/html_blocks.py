@@ -8,23 +8,31 @@ from functools import lru_cache
 
 #: Fixed values of HTML: elements without content, whose text is no content, and that end a line of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template noscript iframe svg math object textarea title".split())
+RAW = frozenset("script style template title".split())
+FALLBACK = frozenset("noscript iframe object textarea".split())  # their text is judged like any other
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr img".split()
+    "strike strong sub sup svg math time tt u var wbr img".split()
 )
 SELF_CLOSING = {  # an open element that ends where another of these begins
     "p": None, "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th", "tr"),
     "th": ("td", "th", "tr"), "option": ("option", "optgroup"),
 }
 SPACES = re.compile(r"[\x20\x09-\x0D]+")
+# A value is quoted only if it starts with a quote. A quote that closes amid another word, with tags before it,
+# closes no value: the value was left open, and the tag ends at its first `>`.
+_QUOTED = r"\"[^\"<>]*\"|'[^'<>]*'|\"[^\"]*\"(?=[\s/>]|\Z)|'[^']*'(?=[\s/>]|\Z)"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>=]++|=\s*+(?:{_QUOTED})|=)*+)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
     re.S,
 )
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
+
+
+@lru_cache(maxsize=1_000)
+def _end_tag(name: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I)
 
 
 @lru_cache(maxsize=10_000)
@@ -38,8 +46,9 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str]]:
     """(path, text) of each block with text, in page order.
 
     A block is the text between two elements that are not inline; character references are decoded
-    and white space becomes single spaces. Scripts, styles, comments and the like give no text.
-    Elements left open end with the element around them; what was never closed ends with the page.
+    and white space becomes single spaces. Scripts, styles, templates, titles and comments give no text.
+    Elements left open, these too, end with the element around them; what was never closed ends with the page.
+    A noscript, iframe, object or textarea that is never closed counts as not opened.
     """
     out: list[tuple[tuple[str, ...], str]] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
@@ -55,6 +64,14 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str]]:
             gathered.clear()
         place = None
 
+    open_ended: set[str] = set()  # names without an end tag in the rest of the page
+
+    def end_of(name: str, at: int) -> re.Match | None:
+        found = None if name in open_ended else _end_tag(name).search(page, at)
+        if found is None:
+            open_ended.add(name)
+        return found
+
     at, size = 0, len(page)
     while at < size:
         token = _TOKEN.match(page, at)
@@ -84,8 +101,14 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str]]:
             if name not in VOID:
                 _close_implied(stack, name)
         if name in RAW:
-            end = None if token["rest"].endswith("/") and name in ("svg", "math") else _RAW_END[name].search(page, at)
-            at = end.end() if end else (at if token["rest"].endswith("/") else size)
+            end = end_of(name, at)
+            if end:
+                at = end.end()
+            elif not token["rest"].endswith("/"):
+                around = (end_of(n, at) for n, _ in reversed(stack))
+                at = next((found.start() for found in around if found), size)
+        elif name in FALLBACK and end_of(name, at) is None:
+            continue
         elif name not in VOID and not (token["rest"].endswith("/") and name in INLINE):
             stack.append((name, element(name, token["rest"])))
     flush()

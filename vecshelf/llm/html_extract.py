@@ -29,7 +29,7 @@ EPOCHS, BATCH, RATE = 14, 16, 0.01
 SEED = 41
 
 #: Kinds of boilerplate that are planted: fixed values, element names and words of classes and ids.
-BOILERPLATE_TAGS = "nav header footer aside form button dialog menu select fieldset label".split()
+BOILERPLATE_TAGS = "nav header footer aside form button dialog menu select fieldset label noscript iframe object textarea".split()
 BOILERPLATE_WORDS = (
     "ad ads advert advertisement sponsor sponsored promo banner cookie cookies consent notice gdpr popup modal "
     "newsletter subscribe signup sidebar side widget related recommended share social comment comments reply "

@@ -19,9 +19,12 @@ from vecshelf.session import durable
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 Rule = tuple[str, str]  # ("allow" or "block", host and path such as "example.org/es/")
 
-_LINK = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
-_HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-_REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*?\burl\s*=\s*[\"']?([^\"'\s>]+)"
+_COMMENTS = r"(?is)<!--.*?-->|<script\b.*?</script\s*>"
+_TAGS = r"(?is)<(?:link|meta)\s[^>]*>"
+_CANONICAL = r"(?is)^<link\b.*\brel\s*=\s*(?:\"[^\"]*\bcanonical\b|'[^']*\bcanonical\b|canonical\b)"
+_REFRESH = r"(?is)^<meta\b.*\bhttp-equiv\s*=\s*[\"']?\s*refresh\b"
+_VALUE = r"(?is)\s{}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+_REFRESH_URL = r"(?is)^[\s\d.]*[;,\s]\s*url\s*=\s*[\"']?([^\"']*)"
 
 
 def _after_scheme(url: Column) -> Column:
@@ -39,30 +42,87 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(_after_scheme(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def _attribute(tag: Column, name: str) -> Column:
+    return F.concat(*(F.regexp_extract(tag, _VALUE.format(name), i) for i in (1, 2, 3)))
+
+
+def _decoded(value: Column) -> Column:
+    """`value` with the character references that URLs need decoded: visible ASCII, `&` last."""
+    for name, sign in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'")):
+        value = F.replace(value, F.lit(f"&{name};"), F.lit(sign))
+    numbers = F.array_distinct(F.regexp_extract_all(value, F.lit(r"(&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});)"), 1))
+
+    def put(text, reference):
+        digits = F.regexp_extract(reference, r"([0-9a-fA-F]+);", 1)
+        code = F.when(F.lower(F.substring(reference, 3, 1)) == "x", F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+        plain = code.between(33, 126) & (code != 38)
+        return F.when(plain, F.replace(text, reference, F.char(code))).otherwise(text)
+
+    value = F.aggregate(numbers, value, put)
+    return F.regexp_replace(value, "&(?:amp|AMP|#0*38|#[xX]0*26);", "&")
+
+
+def _without_dots(path: Column) -> Column:
+    """A path with its `.` and `..` segments resolved."""
+    parts = F.split(path, "/")
+    up = lambda done: F.when(F.size(done) > 1, F.slice(done, 1, F.size(done) - 1)).otherwise(done)
+    kept = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda done, part: F.when(part == ".", done).when(part == "..", up(done)).otherwise(F.concat(done, F.array(part))),
+    )
+    ended = F.when(F.element_at(parts, -1).isin(".", ".."), "/").otherwise("")
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(F.array_join(kept, "/"), ended)).otherwise(path)
+
+
+def resolved(base: Column, target: Column) -> Column:
+    """`target`, as a page at `base` writes it, as an absolute URL; null if it names no page or `base` is not absolute."""
+    target = F.trim(F.regexp_replace(target, r"[\t\n\f\r]", ""))
+    scheme = F.substring_index(base, "://", 1)
+    root = F.concat(scheme, F.lit("://"), url_host(base))
+    path = url_path(base)
+    folder = F.when(path == "", "/").otherwise(F.regexp_replace(path, "[^/]*$", ""))
+    whole = (
+        F.when(target.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*://"), target)
+        .when(target.rlike("^(#|$|[a-zA-Z][a-zA-Z0-9+.-]*:)"), F.lit(None))
+        .when(F.instr(base, "://") == 0, F.lit(None))
+        .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
+        .when(target.startswith("/"), F.concat(root, target))
+        .when(target.startswith("?"), F.concat(root, path, target))
+        .otherwise(F.concat(root, folder, target))
+    )
+    tail = F.regexp_extract(whole, r"(?s)^[^?#]*(.*)$", 1)
+    return F.concat(F.substring_index(whole, "://", 1), F.lit("://"), url_host(whole), _without_dots(url_path(whole)), tail)
+
+
 def canonical_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Alias edges (a, b) that pages declare: canonical links and meta refreshes to another URL.
+    """Alias edges (a, b) that pages declare: all their canonical links and meta refreshes to another URL.
 
-    Absolute targets, `//host/path` and `/path` are understood; other relative ones are not edges.
-    Pages without a url or html declare nothing.
+    Targets are decoded (character references of visible ASCII) and resolved against the page's url, which
+    relative ones need; `mailto:` and the like, fragments and empty targets are no edges, nor is what stands
+    in comments or scripts. Pages without a url or html declare nothing, nor does an empty table.
     """
-    link = F.regexp_extract(F.regexp_extract(F.col(html), _LINK, 0), _HREF, 1)
-    refresh = F.regexp_extract(F.col(html), _REFRESH, 1)
     found = (
         pages.where(F.col(html).rlike("(?i)canonical|refresh"))  # a cheap look before the dear one
-        .select(F.col(url).cast("string").alias("a"), F.explode(F.array(link, refresh)).alias("to"))
+        .select(
+            F.col(url).cast("string").alias("a"),
+            F.explode(F.regexp_extract_all(F.regexp_replace(F.col(html), _COMMENTS, ""), F.lit(f"({_TAGS})"), 1)).alias("tag"),
+        )
     )
-    scheme = F.substring_index("a", "://", 1)
-    target = (
-        F.when(F.col("to").startswith("//"), F.concat(scheme, F.lit(":"), "to"))
-        .when(F.col("to").startswith("/"), F.concat(scheme, F.lit("://"), url_host(F.col("a")), "to"))
-        .when(F.instr("to", "://") > 0, F.col("to"))
+    to = F.when(F.col("tag").rlike(_CANONICAL), _decoded(_attribute(F.col("tag"), "href"))).when(
+        F.col("tag").rlike(_REFRESH), F.regexp_extract(_decoded(_attribute(F.col("tag"), "content")), _REFRESH_URL, 1)
     )
-    return found.select("a", target.alias("b")).where("a is not null and b is not null and b != ''")
+    return found.select("a", to.alias("to")).where("a is not null and to is not null").select(
+        "a", resolved(F.col("a"), F.col("to")).alias("b")
+    ).where("b is not null")
 
 
 def _node(url: Column) -> Column:
-    """The URL without its fragment, which no server sees."""
-    return F.substring_index(url, "#", 1)
+    """The URL with its scheme and host in lower case and without its fragment, which no server sees."""
+    bare = F.substring_index(url, "#", 1)
+    scheme = F.translate(F.substring_index(bare, "://", 1), UPPER, LOWER)
+    rest = F.regexp_extract(_after_scheme(bare), r"(?s)^[^/?#]*(.*)$", 1)
+    return F.when(F.instr(bare, "://") > 0, F.concat(scheme, F.lit("://"), url_host(bare), rest)).otherwise(bare)
 
 
 def rule_matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
