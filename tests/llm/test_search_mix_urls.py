@@ -137,28 +137,6 @@ def test_canonical_links(spark):
     ]
 
 
-def test_links_of_all_kinds(spark):
-    from urllib.parse import urljoin
-
-    base = "HTTP://A.net/x/y/1?q=2"
-    targets = ["/c", "//c.net/z", "d", "../e", "./f/../g", "?p=1", "https://B.net/q", "..", "h/?a=1&b=2", "/../k"]
-    tags = [f'<link rel="canonical" href="{t.replace("&", "&amp;")}">' for t in targets]
-    others = ["mailto:a@b.net", "#top", "", "javascript:x()"]
-    html = "<p>".join(tags + [f"<link href='{t}' rel=canonical>" for t in others])
-    html += "<!-- <link rel=canonical href=/no> --><script>'<link rel=canonical href=/no>'</script>"
-    html += "<meta content=\"3; URL='/m&#x2F;n'\" http-equiv=Refresh><link rel='alternate' href='/no'>"
-    pages = spark.createDataFrame([(base, html), (None, html), ("http://a.net", None)], "url string, html string")
-    lower = lambda u: u.split("://")[0].lower() + "://" + u.split("://")[1].split("/")[0].lower() + "/" + u.split("://")[1].partition("/")[2]
-    found = url_filter.canonical_links(pages)
-    wanted = sorted(lower(urljoin(base, t)) for t in [*targets, "/m/n"])
-    assert sorted(lower(r.b) for r in found.where("a is not null").collect()) == wanted
-    assert {r.a for r in found.collect()} == {base}
-    assert url_filter.canonical_links(pages.limit(0)).count() == 0
-    df = spark.createDataFrame([(1, "https://b.NET/q#x"), (2, base), (3, "http://a.net/x/y/d")], "page_id int, url string")
-    judged = url_filter.judged(df, [("block", "b.net/")], found)
-    assert {(r.page_id, r.verdict, r.inherited) for r in judged.collect()} == {(1, "block", False), (2, "block", True), (3, "block", True)}
-
-
 def test_url_query_against_brute_force(spark):
     from vecshelf.llm.queries import URL_RULES
 
