@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from vecshelf.constants import NEIGHBOURS
 from vecshelf.operators import neighbours as N
 from vecshelf.operators import tree
+from vecshelf.operators.sweep import sweep, unit_rows
 from vecshelf.session import durable
 
 
@@ -80,24 +81,17 @@ def _entered(whole: DataFrame, changed: DataFrame, k: int, block_rows: int | Non
         F.col("id").alias("item"), F.xxhash64(F.lit(1), "id").alias("k1"), F.xxhash64(F.lit(2), "id").alias("k2"), "vec",
         F.lit(0.0).alias("bound"),
     )
-    called = durable(tree.visits(built, coming, rows))
-    leaves = durable(built.leaves.select("leaf", F.ceil(F.col("n") / rows).cast("int").alias("subs")))
-    # Vectors that come are cut into parts, so that many of them in one leaf are no single group.
-    parts = max(1, math.ceil(seen["n"] / rows))
-    part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-    sub = (F.col("sub") * parts + F.col("part")).cast("int").alias("sub")
-    held = (
-        tree._subbed(built.items, leaves).join(called.select("leaf").distinct(), "leaf", "left_semi")
-        .withColumn("part", part).select("k1", "k2", "vec", "leaf", sub, "bound")
+    size = unit_rows(seen["dim"])
+    levels = tree.bundles(built, size)
+    bundled = durable(tree.bundle_of(built, levels).withColumnRenamed("bundle", "node"))
+    called = durable(
+        tree.calls(levels, coming, size).withColumn("node", F.element_at("calls", 1))
+        .select(F.col("item").alias("id"), "k1", "vec", "node", "calls")
     )
-    stock = (
-        tree._numbered(called, leaves, "leaf").withColumn("part", F.pmod("k1", F.lit(parts)))
-        .withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)))
-        .select(F.col("item").alias("id"), "k1", "k2", "vec", "leaf", sub)
-    )
-    found = tree._searched(held, stock, k, rows, False)
+    held = durable(tree._numbered(built.items, bundled, "leaf").select("k1", "k2", "vec", "bound", "node"))
+    found = sweep(held, called, k, seen["dim"], False)
     found = found.where(F.size("list") > 0).select("k1", "k2", F.col("list").alias("found"))
-    better = found.groupBy("k1", "k2").agg(F.flatten(F.collect_list("found")).alias("found"))  # one list a part
+    better = found.groupBy("k1", "k2").agg(F.flatten(F.collect_list("found")).alias("found"))  # one list a task
     old = whole.select("id", "neighbours", k1.alias("k1"), k2.alias("k2"))
     kind = whole.schema["neighbours"].dataType
 
