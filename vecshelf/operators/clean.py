@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecshelf.functions import text as X
+from vecshelf.operators.index import sliced
 from vecshelf.operators.lookup import lookup_join
 from vecshelf.session import durable
 
 INLINE_STOPWORDS = 20_000
+SLICE_BYTES = 4 * 1024 * 1024  # of texts whose tokens are Python objects at a time
 
 
 def split_rejects(
@@ -80,9 +82,11 @@ def tokenize(
         except Exception:  # noqa: BLE001 - any failure of the user's segmenter rejects the row
             return None
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(one)
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def run(texts: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.string())
+        cut = [pa.array([one(t) for t in part.to_pylist()], kind) for part in sliced(texts, SLICE_BYTES)]
+        return pa.concat_arrays(cut) if cut else pa.array([], kind)
 
     return df.withColumn(out, run(F.col(col)))
 

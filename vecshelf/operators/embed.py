@@ -3,27 +3,30 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator, Sequence
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecshelf.functions.vectors import DOUBLES, content_key, from_matrix, l2_normalise, to_matrix, unit_rows
-from vecshelf.operators.index import TokenIndex
+from vecshelf.functions.vectors import DOUBLES, content_key, from_matrix, to_matrix, unit_rows
+from vecshelf.operators.index import TokenIndex, sliced
 from vecshelf.operators.lookup import lookup_join
 from vecshelf.session import durable
 from vecshelf.sinks.shelf import Shelf
 
 Encoder = Callable[..., np.ndarray]  # one list per input column, one matrix row per input row
 
-BROADCAST_BYTES = 256 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024  # of word vectors; each Python worker holds them, and an index and a matrix of that size
+BLOCK_VALUES = 32 * 1024 * 1024  # numbers in the vectors of a block, if each of its tokens were another word
+BLOCK_TOKENS = (100_000, 2_000_000)
+GROUPS_PER_TASK = 4
+SLICE_BYTES = 4 * 1024 * 1024  # of a batch that become Python objects at a time
 GATHER_VALUES = 8 * 1024 * 1024  # numbers gathered at a time while averaging
 
 
@@ -42,7 +45,7 @@ class HashingEncoder:
         if slot is None:
             number = int(hashlib.md5(token.encode()).hexdigest()[:8], 16)
             slot = (number % self.dim, 1 - 2 * (number // self.dim % 2))
-            if len(self._slots) < 1_000_000:
+            if len(self._slots) < 100_000:
                 self._slots[token] = slot
         return slot
 
@@ -158,13 +161,14 @@ def _encoding(inputs: list[str], encoder_factory: Callable[[], Encoder], dim: in
             if batch.num_rows == 0:
                 continue
             encoder = encoder or encoder_factory()
-            matrix = np.asarray(encoder(*[batch.column(c).to_pylist() for c in inputs]), dtype=np.float32)
-            if matrix.shape != (batch.num_rows, dim):
-                raise ValueError(f"encoder gave {matrix.shape}, expected {(batch.num_rows, dim)}")
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, from_matrix(matrix, pa.float32())],
-                names=[*batch.schema.names, out],
-            )
+            for part in sliced(batch, SLICE_BYTES):
+                matrix = np.asarray(encoder(*[part.column(c).to_pylist() for c in inputs]), dtype=np.float32)
+                if matrix.shape != (part.num_rows, dim):
+                    raise ValueError(f"encoder gave {matrix.shape}, expected {(part.num_rows, dim)}")
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, from_matrix(matrix, pa.float32())],
+                    names=[*part.schema.names, out],
+                )
 
     return run
 
@@ -187,7 +191,7 @@ def sentence_vectors(
     Unknown tokens do not count; a text with nothing to average gets the zero vector and
     `is_empty`. Of rows with one token the smallest vector counts; rows without token or vector do
     not. A word table of up to `broadcast_bytes` (summed up first) is broadcast and averaged in Arrow
-    batches; a larger one is joined on tokens counted per row. Both ways give the same.
+    batches; a larger one is joined to the different words of each block of rows. Both ways give the same.
     """
     if mode not in ("unsupervised", "supervised"):
         raise ValueError(mode)
@@ -249,52 +253,62 @@ def _average(model, mode: str, eos: Sequence[float] | None):
 
     @F.arrow_udf(kind)
     def average(tokens: pa.Array) -> pa.Array:
-        words = model.value
-        matrix, counts = words.matrix, words.counts
-        sizes = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
-        row = np.repeat(np.arange(len(tokens)), sizes)
-        word = words.find(tokens.flatten())
-        use = word >= 0
-        use[use] = counts[word[use]]
-        total = _sum_words(row[use], word[use], matrix, len(tokens))
-        n = np.bincount(row[use], minlength=len(tokens)).astype(np.int64)
-        if mode == "supervised":
-            total += np.asarray(eos, dtype=np.float64)
-            n += 1
-        mean = total / np.maximum(n, 1)[:, None]
-        return pa.StructArray.from_arrays([from_matrix(mean), pa.array(n)], names=["vec", "n"])
+        return pa.StructArray.from_arrays(_means(model.value, tokens, mode, eos), names=["vec", "n"])
 
     return average
 
 
+def _means(words: WordVectors, tokens: pa.Array, mode: str, eos: Sequence[float] | None) -> list[pa.Array]:
+    """The mean of each row's words, and how many count."""
+    matrix, counts = words.matrix, words.counts
+    sizes = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(tokens)), sizes)
+    word = words.find(tokens.flatten())
+    use = word >= 0
+    use[use] = counts[word[use]]
+    total = _sum_words(row[use], word[use], matrix, len(tokens))
+    n = np.bincount(row[use], minlength=len(tokens)).astype(np.int64)
+    if mode == "supervised":
+        total += np.asarray(eos, dtype=np.float64)
+        n += 1
+    return [from_matrix(total / np.maximum(n, 1)[:, None]), pa.array(n)]
+
+
 def _average_by_join(
     df: DataFrame, id: str, tokens: str, words: DataFrame, dim: int, mode: str, eos, out: str
 ) -> DataFrame:
-    table = words.withColumn("vec", F.col("vec").cast("array<double>"))
-    if mode == "unsupervised":
-        table = table.withColumn("vec", l2_normalise(F.col("vec"))).where(
-            F.exists("vec", lambda v: v != 0.0)
-        )
-    # Rows get a key of their own, written with them: ids may repeat or be missing.
-    rows = durable(df.select(id, F.monotonically_increasing_id().alias("_row"), tokens))
-    counted = rows.select("_row", F.explode(tokens).alias("token"))
-    counted = counted.where("token is not null").groupBy("_row", "token").count()
-    found = lookup_join(counted, table, "token", spread=["_row"])
-    found = found.select("_row", "vec", "count")
-    if mode == "supervised":
-        end = F.array(*[F.lit(float(v)) for v in eos])
-        found = found.unionByName(
-            rows.select("_row", end.alias("vec"), F.lit(1).cast("bigint").alias("count"))
-        )
-    means = found.groupBy("_row").agg(
-        vector_to_array(
-            Summarizer.mean(array_to_vector("vec"), F.col("count").cast("double"))
-        ).alias("_mean")
-    )
-    zero = F.array_repeat(F.lit(0.0), dim)
-    return rows.select(id, "_row").join(means, "_row", "left").select(
-        id, F.coalesce("_mean", zero).alias(out), F.col("_mean").isNull().alias("is_empty")
+    """Rows in blocks that lie together, each beside the vectors of its own words: a word is sent once a block."""
+    spark = df.sparkSession
+    # Blocks are written with their rows: a row's number holds its partition above bit 33, and its place there.
+    rows = durable(df.select(F.col(id).alias("id"), F.col(tokens).alias("tokens"), F.monotonically_increasing_id().alias("_row")))
+    size = F.sum(F.greatest(F.size("tokens"), F.lit(0)).cast("long"))
+    seen = rows.agg(F.count(F.lit(1)).alias("n"), size.alias("tokens")).first()
+    most = min(max(BLOCK_VALUES // max(dim, 1), BLOCK_TOKENS[0]), BLOCK_TOKENS[1])
+    per_block = max(1, int(most * seen["n"] // max(seen["tokens"] or 0, 1)))
+    place = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
+    block = F.col("_row") - F.pmod(place, F.lit(per_block))
+    rows = rows.select("id", "tokens", block.alias("block"))
+    used = rows.select("block", F.explode("tokens").alias("token")).where("token is not null").distinct()
+    table = words.select("token", F.col("vec").cast("array<double>").alias("vec"))
+    found = used.join(table, "token").select(F.col("block").alias("word_block"), "token", "vec")
+    kind = T.StructType([rows.schema["id"], T.StructField("vec", DOUBLES), T.StructField("n", T.LongType())])
+
+    def run(left, right):
+        if not left.num_rows:
+            return pa.table({"id": left.column("id"), "vec": pa.array([], pa.list_(pa.float64())), "n": pa.array([], pa.int64())})
+        own = WordVectors(right.select(["token", "vec"]), dim, mode)
+        vec, n = _means(own, left.column("tokens").combine_chunks(), mode, eos)
+        return pa.table({"id": left.column("id"), "vec": vec, "n": n})
+
+    blocks = math.ceil(seen["n"] / per_block)
+    least = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tasks = max(1, min(blocks, max(least, blocks // GROUPS_PER_TASK)))
+    means = (
+        rows.repartition(tasks, "block").groupBy("block")
+        .cogroup(found.repartition(tasks, "word_block").groupBy("word_block"))
+        .applyInArrow(run, kind)
     )
+    return means.select(F.col("id").alias(id), F.col("vec").alias(out), (F.col("n") == 0).alias("is_empty"))
 
 
 def dimension_range(df: DataFrame, col: str = "embedding") -> DataFrame:

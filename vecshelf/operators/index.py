@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import cached_property
 
 import numpy as np
@@ -9,6 +10,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+SLICE_BYTES = 1024 * 1024
+
 
 class TokenIndex:
     """Places of tokens in a column of distinct ones, by sorted 64-bit hashes.
@@ -18,7 +21,7 @@ class TokenIndex:
     """
 
     def __init__(self, table: pa.Table):
-        self.table = table
+        self.table = table.combine_chunks()  # before it is sent, so that no worker has to copy it
 
     def __getstate__(self):
         return {"table": self.table}
@@ -61,4 +64,12 @@ class TokenIndex:
 
 
 def _hashes(tokens: pa.Array) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(t) for t in tokens.to_pylist()), np.uint64, len(tokens))
+    words = (t for part in sliced(tokens, SLICE_BYTES) for t in part.to_pylist())
+    return np.fromiter((xxhash.xxh3_64_intdigest(t) for t in words), np.uint64, len(tokens))
+
+
+def sliced(rows: pa.Array | pa.RecordBatch, size: int) -> Iterator[pa.Array | pa.RecordBatch]:
+    """Slices of about `size` bytes, so that few of the rows are Python objects at a time."""
+    step = max(1, int(size * len(rows) // max(rows.nbytes, 1)))
+    for start in range(0, len(rows), step):
+        yield rows.slice(start, step)
