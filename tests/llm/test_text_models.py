@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -264,6 +265,44 @@ def test_nearest_is_exact(long):
         assert (np.diff(s) <= 0).all() and len(set(e.tolist())) == len(e)
 
 
+def test_search_holds_little_for_a_batch():
+    """Postings of a batch's texts are not held at once: they were some 25 million here."""
+    index, dense, idf = drawn_index(np.random.default_rng(8), 2_000, 400, 200, 10_000)
+    places = np.arange(0, 400, 2)
+    texts = [(places, toxicity.vector(places, 1 + (places + i) % 4, idf)) for i in range(250)]
+    search = toxicity.Search(index)
+    tracemalloc.start()
+    found = search.nearest(texts, 15)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
+    for (places, weights), (_, s) in zip(texts[::50], found[::50]):
+        assert np.allclose(s, np.sort(dense[:, places] @ weights)[::-1][:15])
+
+
+@pytest.mark.parametrize("long", [60, 10_000])
+def test_nearest_is_exact_with_light_terms(long):
+    """Texts with few and with only light terms, and some without a near entry."""
+    rng = np.random.default_rng(11)
+    worth = np.where(np.arange(300) < 40, 1.0, 0.02)
+    examples = []
+    for i in range(700):
+        places = np.sort(rng.choice(300, rng.integers(1, 60), replace=False))
+        examples.append((i, i % 2, places, rng.integers(1, 7, len(places))))
+    index = toxicity.build(np.arange(300), worth, examples, long)
+    dense = np.zeros((len(index.ids), 300))
+    for e, (a, b) in enumerate(zip(index.starts, index.starts[1:])):
+        dense[e, index.terms[a:b]] = index.weights[a:b]
+    texts = []
+    for i in range(90):
+        places = np.sort(rng.choice(np.arange(40 * (i % 3 == 0), 300), rng.integers(1, 50), replace=False))
+        texts.append((places, toxicity.vector(places, rng.integers(1, 5, len(places)), worth)))
+    for (places, weights), (e, s) in zip(texts, toxicity.Search(index).nearest(texts, 15)):
+        want = dense[:, places] @ weights
+        best = np.sort(want[want > 0])[::-1][:15]
+        assert np.allclose(s, best) and np.allclose(want[e], s) and len(set(e.tolist())) == len(e)
+
+
 def test_blocks_that_cannot_reach_are_skipped():
     """Entries of some topic share their words; a text of that topic visits few of the other blocks."""
     rng = np.random.default_rng(7)

@@ -29,9 +29,17 @@ LEAST_WORTH = 1e-3  # of a term that does not differ at all
 PREFIXES = (4, 6)  # code points
 LONG_WORD = 64  # code points
 NEIGHBOURS = 15
+LEVELS = 4  # of counts: 1, 2, 3 and more
+LEVEL_WEIGHTS = np.append(0, 1 + np.log(np.arange(1, LEVELS + 1, dtype=np.uint8))).astype(np.float64)  # as `vector` has them
 BLOCK = 64  # entries that share a bound
-LONG_LIST = 64  # entries of a term that has bounds of blocks, at least
-LONG_SHARE = 50  # or this share of all entries
+LONG_LIST = 64  # entries of a frequent term, at least
+LONG_SHARE = 8  # or this share of all entries: below it, adding postings takes less time than a matrix
+MATRIX_CELLS = 20_000_000  # weights of frequent terms at most; other lists stay postings
+LIGHT = 0.03  # of the examples' squared weights: terms of least worth with so much are light
+LIGHT_TEXT = 0.1  # of a text's squared weights: if its light terms have more, they are added as others are
+GROUPS = 32  # of light terms
+FIRST, STEP = 8, 64  # blocks that a text is compared with first, and how many times more each time after
+MEASURED = 256  # entries whose whole vectors are read at once
 BATCH = 250  # texts that are searched together
 ROUNDING = np.float32(2e-5)  # of single-precision sums, by which bounds are raised
 PRIOR_WEIGHT = 0.5
@@ -49,16 +57,22 @@ def word_terms(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     marks = "".join(c for c in set().union(*map(set, words)) if not c.isalnum()) if words else ""
     cores = [w.lower().strip(marks) for w in words]
     lengths = np.array([len(c) for c in cores], np.int64)
-    points = np.frombuffer("".join(cores).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    starts = np.cumsum(lengths) - lengths
+    by = np.argsort(lengths, kind="stable")  # words of over j code points are the last ones
+    points = np.frombuffer("".join([cores[i] for i in by]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    ordered = lengths[by]
+    starts = np.cumsum(ordered) - ordered
     hashes = np.zeros((len(words), 1 + len(PREFIXES)), np.uint64)
-    state = np.full(len(words), 0x9E3779B97F4A7C15, np.uint64)
+    states = np.full(len(words), 0x9E3779B97F4A7C15, np.uint64)
     for j in range(int(min(lengths.max(initial=0), LONG_WORD))):
-        live = np.flatnonzero(lengths > j)
-        state[live] = (state[live] ^ points[starts[live] + j]) * np.uint64(0x100000001B3)
-        state[live] ^= state[live] >> np.uint64(29)
+        first = np.searchsorted(ordered, j, side="right")
+        live = states[first:]
+        live ^= points[starts[first:] + j]
+        live *= np.uint64(0x100000001B3)
+        live ^= live >> np.uint64(29)
         if j + 1 in PREFIXES:
-            hashes[:, 1 + PREFIXES.index(j + 1)] = mix64(state + np.uint64(j + 1))
+            hashes[by[first:], 1 + PREFIXES.index(j + 1)] = mix64(live + np.uint64(j + 1))
+    state = np.empty_like(states)
+    state[by] = states
     hashes[:, 0] = mix64(~state)
     for i in np.flatnonzero(lengths > LONG_WORD):
         hashes[i, 0] = xxhash.xxh3_64_intdigest(cores[i].encode("utf-8", "surrogatepass"))
@@ -99,22 +113,23 @@ class TermReader:
 class Entries(NamedTuple):
     """Distinct example vectors in blocks of BLOCK, and the inverted index over them.
 
-    Terms in few entries have plain postings. Long lists are kept block by block, with each block's largest weight.
+    A list of postings is ordered by the level of the count, so a weight of a term and level is kept once. Frequent
+    terms have none: their weights stand in a matrix, with the largest of each block beside it. Its last GROUPS columns
+    are the lengths of entries in the groups of light terms, those of least worth with LIGHT of all squared weights.
     """
 
     vocabulary: np.ndarray  # sorted term hashes
     worth: np.ndarray  # weight of each term
-    pointers: np.ndarray  # where the postings of a term begin; long lists have none
-    postings: np.ndarray  # entries, by term
-    posted: np.ndarray  # their weights
-    column: np.ndarray  # of each term among those with long lists, or -1
+    pointers: np.ndarray  # where the postings of a term and level begin
+    postings: np.ndarray  # entries, by term and level
+    column: np.ndarray  # of each term among the frequent ones, or -1
+    group: np.ndarray  # column of the group of each light term, or -1
+    matrix: np.ndarray  # [block, place in it, column]: weights of frequent terms, lengths in groups
     most: np.ndarray  # [column, block]: the largest weight
-    block_pointers: np.ndarray  # where the postings of a block and column begin, block by block
-    block_entries: np.ndarray  # places within the block
-    block_weights: np.ndarray
     starts: np.ndarray  # where the terms of an entry begin
     terms: np.ndarray  # by entry and then term
     weights: np.ndarray  # of vectors of length 1
+    shares: np.ndarray  # of an entry: by what its weights were multiplied to be of length 1
     examples: np.ndarray
     positives: np.ndarray
     ids: np.ndarray  # the smallest example id of each entry
@@ -126,9 +141,34 @@ def vector(places: np.ndarray, counts: np.ndarray, worth: np.ndarray) -> np.ndar
     return weights / np.sqrt(weights @ weights)
 
 
+def _frequent(lengths: np.ndarray, entries: int, long: int | None) -> np.ndarray:
+    """The column of each term whose list has over `long` entries, or -1; the longest lists, if the matrix is full."""
+    long = max(LONG_LIST, entries // LONG_SHARE) if long is None else long
+    chosen = np.flatnonzero(lengths > long)
+    room = max(1, MATRIX_CELLS // max(1, entries))
+    if len(chosen) > room:
+        chosen = np.sort(chosen[np.argsort(-lengths[chosen], kind="stable")[:room]])
+    column = np.full(len(lengths), -1, np.int32)
+    column[chosen] = np.arange(len(chosen))
+    return column
+
+
+def _light(worth: np.ndarray, mass: np.ndarray, column: np.ndarray, entries: int, width: int) -> np.ndarray:
+    """The column of the group of each light term, or -1: terms of least worth that are not frequent.
+
+    `mass` is what the squared weights of a term sum to over the entries.
+    """
+    rest = np.flatnonzero(column < 0)
+    rest = rest[np.argsort(worth[rest], kind="stable")]
+    light = rest[: np.searchsorted(np.cumsum(mass[rest]), LIGHT * entries)]
+    group = np.full(len(worth), -1, np.int32)
+    group[light] = width + np.arange(len(light)) % GROUPS
+    return group
+
+
 def build(vocabulary: np.ndarray, worth: np.ndarray, examples: Iterable[tuple[int, int, np.ndarray, np.ndarray]],
           long: int | None = None) -> Entries:
-    """The index of examples (id, label, places, counts); `vocabulary` is sorted. Lists of over `long` entries are long."""
+    """The index of examples (id, label, places, counts); `vocabulary` is sorted. Terms in over `long` entries are frequent."""
     entries: dict[bytes, int] = {}
     blank = [0, 0]
     held, lists = [], []
@@ -139,64 +179,64 @@ def build(vocabulary: np.ndarray, worth: np.ndarray, examples: Iterable[tuple[in
             blank[1] += label
             continue
         # Counts above 3 are one level, so that equal evidence meets in one entry.
-        places, level = np.asarray(places, np.int32), np.minimum(counts, 4).astype(np.uint8)
+        places, level = np.asarray(places, np.int32), np.minimum(counts, LEVELS).astype(np.uint8)
         e = entries.setdefault(xxhash.xxh3_128_digest(places.tobytes() + level.tobytes()), len(held))
         if e == len(held):
-            held.append([0, 0, id_, int(places[vector(places, level, worth).argmax()])])
-            lists.append((places, level))
+            unit = vector(places, level, worth)
+            held.append([0, 0, id_, int(places[unit.argmax()]), unit[0] / (LEVEL_WEIGHTS[level[0]] * worth[places[0]])])
+            lists.append((places, level, unit.astype(np.float32)))
             lengths[places] += 1
         held[e][0] += 1
         held[e][1] += label
         held[e][2] = min(held[e][2], id_)
     del entries
-    long = max(LONG_LIST, len(held) // LONG_SHARE) if long is None else long
-    column = np.where(lengths > long, np.cumsum(lengths > long) - 1, -1).astype(np.int32)
-    width, blocks = int(column.max(initial=-1)) + 1, -(-len(held) // BLOCK)
+    n = len(held)
+    column = _frequent(lengths, n, long)
+    blocks, width = -(-n // BLOCK), int(column.max(initial=-1)) + 1
     # Entries of one strongest term stand together, which keeps the blocks' bounds low.
-    order = sorted(range(len(held)), key=lambda e: (held[e][3], held[e][2]))
+    order = sorted(range(n), key=lambda e: (held[e][3], held[e][2]))
     starts = np.concatenate([[0], np.cumsum([len(lists[e][0]) for e in order], dtype=np.int64)])
-    terms, weights = np.zeros(starts[-1], np.int32), np.zeros(starts[-1], np.float32)
-    n_long = int(lengths[column >= 0].sum())
-    block_entries, block_weights = np.zeros(n_long, np.uint8), np.zeros(n_long, np.float32)
-    block_pointers = np.zeros(blocks * width + 1, np.int64)
-    most = np.zeros((width, blocks), np.float32)
-    short = np.zeros((2, len(terms) - n_long), np.int32)  # terms and entries of plain postings
-    posted = np.zeros(len(terms) - n_long, np.float32)
-    at_long = at_short = 0
-    for block in range(blocks):  # block by block, so that little is held twice
-        own = []
-        for i in range(block * BLOCK, min((block + 1) * BLOCK, len(order))):
-            places, level = lists[order[i]]
-            lists[order[i]] = None
-            terms[starts[i] : starts[i + 1]] = places
-            weights[starts[i] : starts[i + 1]] = vector(places, level, worth)
-            own.append(np.full(len(places), i, np.int32))
-        own = np.concatenate(own)
-        part = slice(starts[block * BLOCK], starts[block * BLOCK] + len(own))
-        col = column[terms[part]]
-        there = np.flatnonzero(col >= 0)
-        there = there[np.argsort(col[there], kind="stable")]
-        to = slice(at_long, at_long + len(there))
-        block_entries[to], block_weights[to] = own[there] % BLOCK, weights[part][there]
-        counts = np.bincount(col[there], minlength=width)
-        block_pointers[block * width + 1 : (block + 1) * width + 1] = counts
-        some = np.flatnonzero(counts)
-        if len(some):
-            most[some, block] = np.maximum.reduceat(weights[part][there], (np.cumsum(counts) - counts)[some])
-        rest = np.flatnonzero(col < 0)
-        to = slice(at_short, at_short + len(rest))
-        short[0, to], short[1, to], posted[to] = terms[part][rest], own[rest], weights[part][rest]
-        at_long, at_short = at_long + len(there), at_short + len(rest)
-    np.cumsum(block_pointers, out=block_pointers)
-    pointers = np.concatenate([[0], np.cumsum(np.where(column < 0, lengths, 0))])
-    by_term = np.argsort(short[0], kind="stable")
+    terms, levels = np.zeros(starts[-1], np.int32), np.zeros(starts[-1], np.uint8)
+    weights = np.zeros(starts[-1], np.float32)
+    sizes, mass = np.zeros(len(vocabulary) * LEVELS, np.int32), np.zeros(len(vocabulary))
+    for i, e in enumerate(order):
+        part = slice(starts[i], starts[i + 1])
+        places, level, unit = lists[e]
+        lists[e] = None
+        terms[part], levels[part], weights[part] = places, level, unit
+        sizes[_rows(places, level)] += 1
+        mass[places] += unit * unit
+    del lists
+    sizes[np.repeat(column >= 0, LEVELS)] = 0
+    pointers = np.zeros(len(sizes) + 1, np.int32 if starts[-1] < 1 << 31 else np.int64)
+    np.cumsum(sizes, out=pointers[1:])
+    group = _light(worth, mass, column, n, width)
+    del sizes, mass
+    postings = np.zeros(pointers[-1], np.int32)
+    matrix = np.zeros((blocks, BLOCK, width + GROUPS), np.float32)
+    filled = pointers[:-1].copy()
+    for i in range(n):
+        part = slice(starts[i], starts[i + 1])
+        own, unit, cells = terms[part], weights[part], matrix[i // BLOCK, i % BLOCK]
+        light = group[own] >= 0
+        cells += np.sqrt(np.bincount(group[own[light]], unit[light].astype(np.float64) ** 2, width + GROUPS))
+        there = column[own] >= 0
+        cells[column[own[there]]] = unit[there]
+        rows = _rows(own, levels[part])[~there]
+        postings[filled[rows]] = i
+        filled[rows] += 1
+    del filled, levels
     columns = [np.array([held[e][i] for e in order], np.int64) for i in range(3)]
     return Entries(
-        np.asarray(vocabulary, np.int64), worth, pointers, short[1][by_term], posted[by_term], column, most, block_pointers,
-        block_entries, block_weights, starts, terms, weights, *columns, tuple(blank),
+        np.asarray(vocabulary, np.int64), worth, pointers, postings, column, group, matrix, matrix.max(axis=1).T.copy(), starts,
+        terms, weights, np.array([held[e][4] for e in order], np.float64), *columns, tuple(blank),
     )
 
 
+def _rows(terms: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    return terms * np.int64(LEVELS) + levels - 1
+
+
 class Examples:
     """What the driver holds of the examples: packed term lists. Each worker makes its index of them once."""
 
@@ -247,84 +287,86 @@ class Search:
 
     def __init__(self, index: Entries):
         self.index = index
-        self.blocks = index.most.shape[1]
+        self.blocks = len(index.matrix)
         self.dense = np.zeros(len(index.worth))
-        self.block = np.zeros((len(index.most), BLOCK), np.float32)
         self.visited = 0  # blocks that were scored, of `asked`
         self.asked = 0
 
     def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """Of each text (places, weights) the k entries of highest cosine above 0, ties to the smaller example id.
 
-        Postings of short lists are added first. Blocks are then scored in order of what they can reach, by the
-        largest weights of long lists in the block, until the next cannot reach a text's k-th best.
+        Postings are added first. A text's light terms, if they are little of it, are not: an entry gains by them no more
+        than the product of both lengths in each group. Blocks are then scored in order of what they can reach, by the
+        largest weights of the block, and those that cannot reach a text's k-th best are left out. Entries whose score,
+        which is an upper bound, reaches the k-th best are measured on their whole vectors.
         """
         index, n = self.index, len(texts)
         if not n or not len(index.ids):
             return [(np.zeros(0, np.int64), np.zeros(0))] * n
-        sizes = np.array([len(p) for p, _ in texts])
-        owner = np.repeat(np.arange(n), sizes)
-        places, weights = (np.concatenate([t[i] for t in texts]) for i in (0, 1))
-        column = index.column[places]
-        at = column >= 0
-        asked = np.zeros((n, len(index.most)), np.float32)
-        asked[owner[at], column[at]] = weights[at]
-        starts, count = index.pointers[places[~at]], index.pointers[places[~at] + 1] - index.pointers[places[~at]]
-        spans = _spans(starts, count)
-        width = self.blocks * BLOCK
-        cells = np.repeat(owner[~at] * width, count) + index.postings[spans]
-        scores = np.bincount(cells, np.repeat(weights[~at], count) * index.posted[spans], n * width).astype(np.float32)
-        scores = scores.reshape(n, self.blocks, BLOCK)
-        bounds = asked @ index.most + scores.max(axis=2)
+        asked = np.zeros((n, index.matrix.shape[2]), np.float32)
+        scores = np.zeros((n, self.blocks, BLOCK), np.float32)
+        for i, (places, weights) in enumerate(texts):
+            column, group = index.column[places], index.group[places]
+            at, light = column >= 0, group >= 0
+            asked[i, column[at]] = weights[at]
+            squares = np.bincount(group[light], weights[light] ** 2, asked.shape[1])
+            if squares.sum() <= LIGHT_TEXT:
+                asked[i] += np.sqrt(squares)
+                at |= light
+            scores[i].reshape(-1)[: len(index.ids)] = self._posted(places[~at], weights[~at])
+        bounds = scores.max(axis=2)
+        bounds += asked @ index.most
         bounds[bounds > 0] += ROUNDING
-        order = np.argsort(-bounds, axis=1, kind="stable")
-        best = np.zeros((n, k), np.float32)  # the k highest scores of the entries seen, in any order
-        seen = np.zeros((n, self.blocks), bool)
-        at, step, rows = 0, 2, np.arange(n)
+        order = np.argsort(-bounds, axis=1)
+        found = [(np.zeros(0, np.int64), np.zeros(0))] * n
+        least = np.zeros(n)  # the k-th highest cosine so far
+        at, step, rows = 0, FIRST, np.arange(n)
         while at < self.blocks and len(rows):
             part = order[rows, at : at + step]
-            wanted = (bounds[rows[:, None], part] >= best[rows].min(axis=1)[:, None]) & (bounds[rows[:, None], part] > 0)
-            rows = rows[wanted.any(axis=1)]
-            part, wanted = part[wanted.any(axis=1)], wanted[wanted.any(axis=1)]
+            reach = bounds[rows[:, None], part]
+            wanted = (reach >= least[rows][:, None]) & (reach > 0)
+            rows, part, wanted = (x[wanted.any(axis=1)] for x in (rows, part, wanted))
             row, block = np.repeat(rows, wanted.sum(axis=1)), part[wanted]
             by = np.argsort(block, kind="stable")
             for group in np.split(by, np.flatnonzero(np.diff(block[by])) + 1) if len(by) else ():
-                self._score(int(block[group[0]]), row[group], asked, scores)
-            seen[row, block] = True
-            for r in rows:
-                found = scores[r, part[np.searchsorted(rows, r)][wanted[np.searchsorted(rows, r)]]].ravel()
-                best[r] = np.partition(np.concatenate([best[r], found]), len(found))[len(found) :]
-            at, step = at + step, 2 * step
-        self.visited += int(seen.sum())
-        self.asked += seen.size
-        least = best.min(axis=1) - ROUNDING
-        return [self._exact(i, texts[i], seen[i], scores[i], least[i], k) for i in range(n)]
-
-    def _score(self, block: int, rows: np.ndarray, asked: np.ndarray, scores: np.ndarray) -> None:
-        """Add to the texts' scores of a block's entries what the long lists hold there."""
-        index, width = self.index, len(self.index.most)
-        first = block * width
-        a, b = index.block_pointers[first], index.block_pointers[first + width]
-        if a == b:
-            return
-        columns = np.repeat(np.arange(width), np.diff(index.block_pointers[first : first + width + 1]))
-        cells = columns * BLOCK + index.block_entries[a:b]
-        flat = self.block.reshape(-1)
-        flat[cells] = index.block_weights[a:b]
-        scores[rows, block] += asked[rows] @ self.block
-        flat[cells] = 0
-
-    def _exact(self, i, text, seen, scores, least, k) -> tuple[np.ndarray, np.ndarray]:
-        blocks = np.flatnonzero(seen)
-        found = scores[blocks]
-        block, place = np.nonzero((found >= least) & (found > 0))
-        entries = blocks[block] * BLOCK + place
-        if not len(entries):
-            return np.zeros(0, np.int64), np.zeros(0)
-        s = _measured(self.index, entries, *text, self.dense)
-        entries, s = entries[s > 0], s[s > 0]
-        order = np.lexsort((self.index.ids[entries], -s))[:k]
-        return entries[order], s[order]
+                own = row[group]
+                scores[own, block[group[0]]] += asked[own] @ index.matrix[block[group[0]]].T
+            self.visited += len(block)
+            for r, seen in zip(rows, (p[w] for p, w in zip(part, wanted))):
+                found[r], least[r] = self._measured(texts[r], scores[r], seen, found[r], least[r], k)
+            at, step = at + step, STEP * step
+        self.asked += n * self.blocks
+        return found
+
+    def _measured(self, text, scores, blocks, found, least, k) -> tuple[tuple[np.ndarray, np.ndarray], float]:
+        """The best k of `found` and of the entries of `blocks`, and the k-th cosine."""
+        bounds = scores[blocks].ravel()
+        at = np.flatnonzero((bounds >= least - ROUNDING) & (bounds > 0))
+        if len(at) > k:
+            at = at[np.argsort(-bounds[at])]
+        size = k
+        while len(at):
+            now, at = at[:size], at[size:]
+            entries = blocks[now // BLOCK] * BLOCK + now % BLOCK
+            s = _measured(self.index, entries, *text, self.dense)
+            entries, s = (np.concatenate([a, b[s > 0]]) for a, b in zip(found, (entries, s)))
+            best = np.lexsort((self.index.ids[entries], -s))[:k]
+            found = entries[best], s[best]
+            least = found[1][-1] if len(best) == k else 0.0
+            at, size = at[bounds[at] >= least - ROUNDING], MEASURED
+        return found, least
+
+    def _posted(self, places: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What the postings of a text's terms add to each entry's score."""
+        index = self.index
+        starts, ends = index.pointers[places * LEVELS], index.pointers[places * LEVELS + LEVELS]
+        found = [index.postings[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+        if not found:
+            return np.zeros(len(index.ids))
+        rows = (places[:, None] * LEVELS + np.arange(LEVELS)).ravel()
+        each = ((weights * index.worth[places])[:, None] * LEVEL_WEIGHTS[1:]).ravel()
+        each = np.repeat(each, index.pointers[rows + 1] - index.pointers[rows])
+        return np.bincount(np.concatenate(found), each, len(index.ids)) * index.shares
 
 
 def nearest(index: Entries, places: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
