@@ -33,15 +33,20 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-            if trim is not None:
-                trim(0)
+            give_back()
 
     return whole
 
 
+def give_back() -> None:
+    """Give freed memory back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def text_rows(df: DataFrame) -> DataFrame:
     """`df`, whose rows hold whole texts, with Arrow batches of ARROW_ROWS rows instead of Spark's default.
 

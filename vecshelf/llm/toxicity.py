@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecshelf.llm.common import BLOCK_BYTES, bounded_sample, coded, mix64, text_of, text_slices, tidy
+from vecshelf.llm.common import BLOCK_BYTES, bounded_sample, coded, give_back, mix64, text_of, text_slices, tidy
 from vecshelf.session import durable
 
 TRAIN_ROWS = 24_000  # bound of the labelled sample, hence of the index that each worker holds
@@ -206,7 +206,9 @@ def build(vocabulary: np.ndarray, worth: np.ndarray, examples: Iterable[tuple[in
         terms[part], levels[part], weights[part] = places, level, unit
         sizes[_rows(places, level)] += 1
         mass[places] += unit * unit
+        places = level = unit = None
     del lists
+    give_back()  # some 9 bytes a weight, in small pieces that larger arrays cannot use
     sizes[np.repeat(column >= 0, LEVELS)] = 0
     pointers = np.zeros(len(sizes) + 1, np.int32 if starts[-1] < 1 << 31 else np.int64)
     np.cumsum(sizes, out=pointers[1:])
